@@ -32,10 +32,10 @@ def favourite_category(ratings: DataFrame, items: DataFrame, min_ratings: int =
     The activity test counts rating rows, also of items without category. A
     null category, added to every rating, counts them in the same pass.
     """
-    genres = F.coalesce("genres", F.array().cast("array<string>"))
-    marked = items.select("item_id", "genres")
+    no_category = F.lit(None).cast("string")
+    marked = items.select("item_id", F.array_append(F.array_compact("genres"), no_category).alias("marked"))
     rated = ratings.select("user_id", "item_id").join(marked, "item_id", "left")
-    tagged = F.array_append(F.array_compact(genres), F.lit(None).cast("string"))
+    tagged = F.coalesce("marked", F.array(no_category))
     counts = (
         rated.select("user_id", F.explode(tagged).alias("genre"))
         .groupBy("user_id", "genre")

@@ -29,19 +29,26 @@ def best_first():
     return F.desc("avg_rating"), F.asc("item_id")
 
 
-def top_items(ratings: DataFrame, items: DataFrame, min_ratings: int = 10, n: int = 10) -> DataFrame:
+def top_of(averages: DataFrame, min_ratings: int = 10, n: int = 10) -> DataFrame:
     """The ``n`` best items among those with at least ``min_ratings`` ratings."""
-    supported = item_averages(ratings, items).where(F.col("rating_count") >= min_ratings)
-    return supported.orderBy(*best_first()).limit(n)
+    return averages.where(F.col("rating_count") >= min_ratings).orderBy(*best_first()).limit(n)
 
 
-def ranked_top_items(ratings: DataFrame, items: DataFrame, min_ratings: int = 10, n: int = 10) -> DataFrame:
-    """``top_items`` as a keyed list. The window has one partition, after the limit."""
+def with_rank(top: DataFrame) -> DataFrame:
+    """Rank and constant partition key for an already limited list; its window
+    has one partition."""
     ranks = F.row_number().over(Window.orderBy(*best_first()))
-    top = top_items(ratings, items, min_ratings, n)
     return top.withColumn("rank", ranks).withColumn("partition_key", F.lit(1))
 
 
+def top_items(ratings: DataFrame, items: DataFrame, min_ratings: int = 10, n: int = 10) -> DataFrame:
+    return top_of(item_averages(ratings, items), min_ratings, n)
+
+
+def ranked_top_items(ratings: DataFrame, items: DataFrame, min_ratings: int = 10, n: int = 10) -> DataFrame:
+    return with_rank(top_items(ratings, items, min_ratings, n))
+
+
 def grand_mean(averages: DataFrame) -> DataFrame:
     """Mean of item means, each item counting once."""
     return averages.agg(F.avg("avg_rating").alias("mean_avg_rating"))

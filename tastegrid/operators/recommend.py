@@ -16,9 +16,9 @@ from tastegrid.operators.ranking import dense_positions, top_n_per_key
 from tastegrid.operators.ratings import item_stats
 from tastegrid.session import broadcast_up_to
 
-# Ranking rows per join key: users meet the ranking in blocks, so a user with
-# a very long stretch needs a row per block before the join, not per item.
-BLOCK = 64
+# Users meet the ranking in blocks of 64 positions, so a user with a very long
+# stretch needs a row per block before the join, not one per item.
+BLOCK_BITS = 6
 
 
 def category_item_stats(stats: DataFrame, items: DataFrame, min_support: int = 5) -> DataFrame:
@@ -58,10 +58,10 @@ def best_unrated(
         "first",
         F.least("last", F.col("first") + n + F.col("genre_rating_count") - 1).alias("until"),
     )
-    blocks = F.sequence(F.floor(F.col("first") / BLOCK), F.floor(F.col("until") / BLOCK))
+    blocks = F.sequence(F.shiftright("first", BLOCK_BITS), F.shiftright("until", BLOCK_BITS))
     reach = reach.withColumn("block", F.explode(blocks))
 
-    ranking = ranking.withColumn("block", F.floor(F.col("position") / BLOCK))
+    ranking = ranking.withColumn("block", F.shiftright("position", BLOCK_BITS))
     candidates = reach.join(ranking, "block").where(F.col("position").between(F.col("first"), F.col("until")))
     unseen = candidates.join(seen_pairs(ratings), ["user_id", "item_id"], "left_anti")
     return top_n_per_key(unseen, ["user_id"], [F.col("position")], n).select(

@@ -6,6 +6,7 @@ from tastegrid.sources.delimited import (
     read_ratings,
     read_users,
     split_bad_lines,
+    with_input_order,
 )
 from tastegrid.sources.stored import path_exists, read_documents, read_export, read_first_available, read_table
 from tastegrid.sources.vocabulary import outside_vocabulary, vocabulary
@@ -23,4 +24,5 @@ __all__ = [
     "read_users",
     "split_bad_lines",
     "vocabulary",
+    "with_input_order",
 ]

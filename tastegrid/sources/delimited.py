@@ -87,6 +87,20 @@ def _required_long(name: str) -> Column:
     return F.coalesce(number, F.raise_error(problem).cast("bigint")).alias(name)
 
 
+def with_input_order(df: DataFrame, name: str = "line") -> DataFrame:
+    """Add a sortable, unique place of each row in the files of a fresh scan.
+
+    Store the result before using it twice: a second scan may cut the files in
+    other pieces.
+    """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("piece"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    return df.select("*", place.alias(name))
+
+
 def split_bad_lines(
     spark: SparkSession, path: str, schema: T.StructType, sep: str
 ) -> tuple[DataFrame, DataFrame]:
