@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastegrid.schemas import GENRES
+
 
 def item_categories(items: DataFrame) -> DataFrame:
     """One row per item and category; items without any are left out."""
@@ -25,28 +29,42 @@ def category_counts(ratings: DataFrame, items: DataFrame) -> DataFrame:
     return per_category.groupBy("user_id", "genre").agg(F.count("*").alias("genre_count"))
 
 
-def favourite_category(ratings: DataFrame, items: DataFrame, min_ratings: int = 1) -> DataFrame:
+def label_flags(items: DataFrame, labels: Sequence[str]) -> list[Column]:
+    """One boolean per label: does the item carry it? A label outside the
+    vocabulary stops the job, since it would be counted nowhere."""
+    known = F.array(*[F.lit(label) for label in labels])
+    unknown = F.array_except("genres", known)
+    problem = F.concat(F.lit("labels outside the vocabulary: "), F.array_join(unknown, ", "))
+    checked = F.when(F.size(unknown) > 0, F.raise_error(problem)).otherwise(F.col("genres"))
+    return [F.array_contains(checked, label).alias(f"is_{i}") for i, label in enumerate(labels)]
+
+
+def most_counted(counts: Sequence[Column], labels: Sequence[str]) -> tuple[Column, Column]:
+    """Label with the largest count, the first name among equals, and the count."""
+    largest = F.array_max(F.array(*counts))
+    by_name = sorted(zip(labels, counts), key=lambda pair: pair[0])
+    return F.coalesce(*[F.when(count == largest, F.lit(label)) for label, count in by_name]), largest
+
+
+def favourite_category(
+    ratings: DataFrame, items: DataFrame, min_ratings: int = 1, labels: Sequence[str] = GENRES
+) -> DataFrame:
     """Most rated category of each user with at least ``min_ratings`` ratings;
     ties go to the first name.
 
-    The activity test counts rating rows, also of items without category. A
-    null category, added to every rating, counts them in the same pass.
+    The activity test counts rating rows, also of items without category. With
+    a known vocabulary each category is a counter of one aggregate by user:
+    ratings are not multiplied by their categories, and a user who rates very
+    much is one row per map task.
     """
-    no_category = F.lit(None).cast("string")
-    marked = items.select("item_id", F.array_append(F.array_compact("genres"), no_category).alias("marked"))
-    rated = ratings.select("user_id", "item_id").join(marked, "item_id", "left")
-    tagged = F.coalesce("marked", F.array(no_category))
-    counts = (
-        rated.select("user_id", F.explode(tagged).alias("genre"))
-        .groupBy("user_id", "genre")
-        .agg(F.count("*").alias("n"))
-    )
-    category = F.when(F.col("genre").isNotNull(), F.struct((-F.col("n")).alias("minus_n"), "genre"))
-    per_user = counts.groupBy("user_id").agg(
-        F.min(category).alias("best"), F.max(F.when(F.col("genre").isNull(), F.col("n"))).alias("rated")
-    )
-    return per_user.where((F.col("rated") >= min_ratings) & F.col("best").isNotNull()).select(
-        "user_id",
-        F.col("best.genre").alias("favorite_genre"),
-        (-F.col("best.minus_n")).alias("genre_rating_count"),
+    flagged = items.select("item_id", *label_flags(items, labels))
+    rated = ratings.select("user_id", "item_id").join(flagged, "item_id", "left")
+    counters = [f"n_{i}" for i in range(len(labels))]
+    per_user = rated.groupBy("user_id").agg(
+        F.count("*").alias("rated"),
+        *[F.count_if(f"is_{i}").alias(name) for i, name in enumerate(counters)],
     )
+    label, count = most_counted([F.col(name) for name in counters], labels)
+    active = per_user.where(F.col("rated") >= min_ratings)
+    best = active.select("user_id", label.alias("favorite_genre"), count.alias("genre_rating_count"))
+    return best.where(F.col("genre_rating_count") > 0)

@@ -8,13 +8,15 @@ candidates grow with the ratings, not with users times items.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegrid.operators.preferences import category_counts, favourite_category
+from tastegrid.operators.preferences import favourite_category, label_flags, most_counted
 from tastegrid.operators.ranking import dense_positions, top_n_per_key
 from tastegrid.operators.ratings import item_stats
-from tastegrid.session import broadcast_up_to
+from tastegrid.schemas import GENRES
 
 # Users meet the ranking in blocks of 64 positions, so a user with a very long
 # stretch needs a row per block before the join, not one per item.
@@ -42,6 +44,7 @@ def best_unrated(
     min_support: int = 5,
     direction: str = "desc",
     stats: DataFrame | None = None,
+    labels: Sequence[str] = GENRES,
 ) -> DataFrame:
     """Per user the first ``n`` unrated items of the favourite category, by
     rounded mean in ``direction`` and then item id. ``stats`` takes item means
@@ -51,9 +54,10 @@ def best_unrated(
     order = [F.col("genre"), mean.asc() if direction == "asc" else mean.desc(), F.col("item_id")]
     ranking = dense_positions(category_item_stats(stats, items, min_support).drop("rating_count"), order)
 
+    # One row per label of the vocabulary at most, hence the broadcast.
     spans = ranking.groupBy("genre").agg(F.min("position").alias("first"), F.max("position").alias("last"))
-    reach = favourite_category(ratings, items).withColumnRenamed("favorite_genre", "genre")
-    reach = reach.join(broadcast_up_to(spans), "genre").select(
+    reach = favourite_category(ratings, items, 1, labels).withColumnRenamed("favorite_genre", "genre")
+    reach = reach.join(F.broadcast(spans), "genre").select(
         "user_id",
         "first",
         F.least("last", F.col("first") + n + F.col("genre_rating_count") - 1).alias("until"),
@@ -69,35 +73,41 @@ def best_unrated(
     )
 
 
-def recommend(ratings: DataFrame, items: DataFrame, n: int = 5, min_support: int = 5, **kwargs) -> DataFrame:
-    return best_unrated(ratings, items, n, min_support, "desc", **kwargs)
-
-
-def exclude(ratings: DataFrame, items: DataFrame, n: int = 5, min_support: int = 5, **kwargs) -> DataFrame:
-    return best_unrated(ratings, items, n, min_support, "asc", **kwargs)
-
-
 def unrated_counts(
-    ratings: DataFrame, items: DataFrame, min_support: int = 5, stats: DataFrame | None = None
+    ratings: DataFrame,
+    items: DataFrame,
+    min_support: int = 5,
+    stats: DataFrame | None = None,
+    labels: Sequence[str] = GENRES,
 ) -> DataFrame:
     """How many qualified items of the favourite category each user has not
-    rated: the category's size less the distinct ones seen, so that no list of
-    candidates is made."""
+    rated: the category's size less the distinct ones rated, so that no list of
+    candidates is made. Ratings are folded to user-item pairs once, which give
+    both the favourite and the rated items."""
     stats = item_stats(ratings) if stats is None else stats
-    supported = stats.where(F.col("rating_count") >= min_support).select("item_id")
-    qualified = items.select("item_id", "genres").join(supported, "item_id")
-    sizes = qualified.select(F.explode("genres").alias("favorite_genre")).groupBy("favorite_genre")
-    sizes = sizes.agg(F.count("*").alias("qualified"))
-    seen = category_counts(seen_pairs(ratings), qualified).withColumnRenamed("genre", "favorite_genre")
-    favourites = favourite_category(ratings, items).select("user_id", "favorite_genre")
-    return (
-        favourites.join(sizes, "favorite_genre")
-        .join(seen, ["user_id", "favorite_genre"], "left")
-        .select(
-            "user_id",
-            "favorite_genre",
-            (F.col("qualified") - F.coalesce("genre_count", F.lit(0))).alias("candidates"),
+    supported = stats.where(F.col("rating_count") >= min_support).select("item_id", F.lit(True).alias("qualified"))
+    known = items.select("item_id", "genres", *label_flags(items, labels)).join(supported, "item_id", "left")
+    pairs = ratings.groupBy("user_id", "item_id").agg(F.count("*").alias("times"))
+    each = range(len(labels))
+    per_user = (
+        pairs.join(known.drop("genres"), "item_id")
+        .groupBy("user_id")
+        .agg(
+            *[F.sum(F.when(F.col(f"is_{i}"), F.col("times")).otherwise(0)).alias(f"n_{i}") for i in each],
+            *[F.count_if(F.col(f"is_{i}") & F.col("qualified")).alias(f"rated_{i}") for i in each],
         )
+    )
+    label, count = most_counted([F.col(f"n_{i}") for i in each], labels)
+    rated = F.coalesce(*[F.when(label == name, F.col(f"rated_{i}")) for i, name in enumerate(labels)])
+    favourites = per_user.where(count > 0).select(
+        "user_id", label.alias("favorite_genre"), rated.alias("rated_qualified")
+    )
+    qualified = known.where("qualified").select(F.explode("genres").alias("favorite_genre"))
+    sizes = qualified.groupBy("favorite_genre").agg(F.count("*").alias("qualified_items"))
+    left = F.col("qualified_items") - F.col("rated_qualified")
+    return (
+        favourites.join(F.broadcast(sizes), "favorite_genre")
+        .select("user_id", "favorite_genre", left.alias("candidates"))
         .where(F.col("candidates") > 0)
     )
 

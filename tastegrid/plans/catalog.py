@@ -73,7 +73,7 @@ def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _active_favourites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preferences.favourite_category(
-        views.ratings(spark, sf_dir), views.items(spark, sf_dir), MIN_RATINGS_ACTIVE
+        views.ratings(spark, sf_dir), views.items(spark, sf_dir), MIN_RATINGS_ACTIVE, WORDS
     )
 
 
@@ -160,7 +160,7 @@ def favourite_genre_active(spark, sf_dir):
 
 @query
 def favourite_genre_all(spark, sf_dir):
-    return preferences.favourite_category(views.ratings(spark, sf_dir), views.items(spark, sf_dir))
+    return preferences.favourite_category(views.ratings(spark, sf_dir), views.items(spark, sf_dir), 1, WORDS)
 
 
 # Recommendations
@@ -178,17 +178,21 @@ def seen_pairs(spark, sf_dir):
 
 @query
 def unrated_candidates(spark, sf_dir):
-    return rec.unrated_counts(
-        views.ratings(spark, sf_dir), views.items(spark, sf_dir), stats=_stats(spark, sf_dir)
-    )
+    ratings, items = views.ratings(spark, sf_dir), views.items(spark, sf_dir)
+    return rec.unrated_counts(ratings, items, stats=_stats(spark, sf_dir), labels=WORDS)
+
+
+def _best_unrated(spark: SparkSession, sf_dir: str, direction: str, n: int = 5) -> DataFrame:
+    ratings, items = views.ratings(spark, sf_dir), views.items(spark, sf_dir)
+    return rec.best_unrated(ratings, items, n, 5, direction, _stats(spark, sf_dir), WORDS)
 
 
 def _recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rec.recommend(views.ratings(spark, sf_dir), views.items(spark, sf_dir), stats=_stats(spark, sf_dir))
+    return _best_unrated(spark, sf_dir, "desc")
 
 
 def _exclusions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rec.exclude(views.ratings(spark, sf_dir), views.items(spark, sf_dir), stats=_stats(spark, sf_dir))
+    return _best_unrated(spark, sf_dir, "asc")
 
 
 @query
@@ -278,10 +282,8 @@ def recs_wide_lookup(spark, sf_dir):
 
 
 def _short_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists with fewer than five lines: items with high support only."""
-    return rec.recommend(
-        views.ratings(spark, sf_dir), views.items(spark, sf_dir), n=3, stats=_stats(spark, sf_dir)
-    )
+    """Lists of three, so that the last two of five ranks are missing."""
+    return _best_unrated(spark, sf_dir, "desc", 3)
 
 
 @query

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Runtime re-planning does the skew splitting and the size-checked broadcasts.
 DEFAULTS = {
@@ -53,10 +52,3 @@ def pin(df: DataFrame) -> DataFrame:
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
-
-def broadcast_up_to(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Mark ``df`` for broadcast if a count shows it is small; else leave the
-    join to shuffle. ``df`` should be cheap to count (pinned or aggregated)."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
