@@ -9,6 +9,8 @@ the lenient way.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +37,11 @@ def read_delimited(
 
 
 def _strict(spark: SparkSession, path: str, schema: T.StructType, sep: str) -> DataFrame:
-    # Pruned columns are not parsed, so pruning would let bad values through.
-    reader = spark.read.option("columnPruning", False)
-    return reader.csv(path, schema=schema, sep=sep, encoding=LATIN_1, quote="", mode="FAILFAST")
+    lines = spark.read.csv(path, schema=schema, sep=sep, encoding=LATIN_1, quote="", mode="FAILFAST")
+    # Columns that a query leaves out are not parsed, and then not checked
+    # either. This condition needs all of them, and stops at a missing value.
+    complete = reduce(and_, [F.col(name).isNotNull() for name in schema.names])
+    return lines.where(F.when(complete, True).otherwise(F.raise_error("line with a missing value").cast("boolean")))
 
 
 def read_ratings(spark: SparkSession, path: str, rating_type: str = "int") -> DataFrame:

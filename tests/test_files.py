@@ -1,0 +1,269 @@
+"""Readers, sinks and batch jobs on invented files."""
+
+import os
+import subprocess
+import sys
+
+import brute
+import pytest
+from pyspark.errors import SparkRuntimeException
+from pyspark.sql import functions as F
+
+from tastegrid import schemas, session, sinks, sources
+from tastegrid.plans import jobs
+
+
+def write(path, lines, encoding="utf-8"):
+    path.write_bytes("".join(f"{line}\n" for line in lines).encode(encoding))
+    return str(path)
+
+
+def flags(*names):
+    return "|".join("1" if label in names else "0" for label in schemas.GENRES)
+
+
+ITEM_LINES = [
+    f"21|Example, The (1990)|01-Jan-1990||http://example.org|{flags('Action', 'Comedy')}",
+    f"22|Caf\xe9 \"x\" (1991)|01-Jan-1991||http://example.org|{flags()}",
+    "23|Short line (1992)|01-Jan-1992||http://example.org|0|1",
+    f"24|unknown||||{flags('unknown')}",
+]
+USER_LINES = [
+    "7|19|F|student|01234",
+    "8|30|M|scientist|A1B2C ",
+    "9|40|M|scientist|99999",
+    "10|41|F|scientist|99998",
+    "11|20|M|student|99997",
+]
+BAD_LINE = "MALFORMED_CSV_RECORD|line with a missing value"
+RATING_LINES = ["7\t21\t4\t880000001", "7\t22\t5\t880000002", "8\t21\t1\t880000003"]
+
+
+def test_ratings(spark, tmp_path):
+    path = write(tmp_path / "r", RATING_LINES)
+    ratings = sources.read_ratings(spark, path)
+    assert ratings.schema == schemas.RATING
+    assert [tuple(r) for r in ratings.collect()] == [tuple(map(int, line.split())) for line in RATING_LINES]
+    assert dict(sources.read_ratings(spark, path, "double").dtypes)["rating"] == "double"
+
+
+@pytest.mark.parametrize("line", ["7\t21\tx\t1", "7\t21\t4", "7\t21\t4\tnever", "7\t\t4\t1", "7\t21\t4\t1\textra"])
+def test_bad_rating_lines_fail_whatever_is_read(spark, tmp_path, line):
+    ratings = sources.read_ratings(spark, write(tmp_path / "r", [*RATING_LINES, line]))
+    for name in ratings.columns:
+        with pytest.raises(Exception, match=BAD_LINE):
+            ratings.select(name).collect()
+    with pytest.raises(Exception, match=BAD_LINE):
+        ratings.count()
+
+
+def test_bad_lines_can_be_set_aside(spark, tmp_path):
+    bad = ["7\t21\tx\t1", "7\t21\t4", "7\t21\t4\t1\textra", ""]
+    path = write(tmp_path / "r", [*RATING_LINES, *bad])
+    good, rest = sources.split_bad_lines(spark, path, schemas.RATING, "\t")
+    assert good.count() == 3 and dict(good.dtypes) == dict(sources.read_ratings(spark, path).dtypes)
+    assert sorted(r[0] for r in rest.collect()) == sorted(bad)
+
+
+def test_items(spark, tmp_path):
+    path = write(tmp_path / "i", ITEM_LINES, "latin-1")
+    got = {r.item_id: r for r in sources.read_items(spark, path).collect()}
+    assert {i: r.genres for i, r in got.items()} == {21: ["Action", "Comedy"], 22: [], 23: ["Action"], 24: ["unknown"]}
+    assert got[22].title == 'Caf\xe9 "x" (1991)' and got[24].release_date == ""
+    assert "release_date" not in sources.read_items(spark, path, with_date=False).columns
+    with pytest.raises(SparkRuntimeException, match="not a number in item_id: x"):
+        sources.read_items(spark, write(tmp_path / "bad", ["x|t|d"])).collect()
+
+
+def test_users_keep_zip_codes_as_trimmed_text(spark, tmp_path):
+    users = sources.read_users(spark, write(tmp_path / "u", USER_LINES))
+    assert users.schema == schemas.USER
+    assert [r.zip_code for r in users.orderBy("user_id").collect()][:2] == ["01234", "A1B2C"]
+
+
+def test_column_subset_prunes_the_scan(spark, tmp_path):
+    path = write(tmp_path / "u", USER_LINES)
+    some = sources.read_delimited(spark, path, schemas.USER, "|", columns=["user_id", "age"])
+    assert some.columns == ["user_id", "age"] and some.count() == 5
+    assert "ReadSchema: struct<user_id:bigint,age:int>" in some._jdf.queryExecution().toString()
+
+
+def test_first_available(spark, tmp_path):
+    path = write(tmp_path / "u", USER_LINES)
+    read = lambda p: sources.read_users(spark, p)
+    assert sources.read_first_available([str(tmp_path / "none"), path], read).count() == 5
+    assert sources.read_first_available([str(tmp_path / "none")], read) is None
+
+
+def test_vocabulary(spark):
+    assert sources.vocabulary(spark, schemas.GENRES).orderBy("genre_index").first()[0] == "unknown"
+    values = spark.createDataFrame([("War",), ("Odd",), ("Odd",)], "genre string")
+    assert [tuple(r) for r in sources.outside_vocabulary(values, "genre", schemas.GENRES).collect()] == [("Odd", 2)]
+
+
+def test_keyed_table_keeps_the_newest_row(spark, tmp_path):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 3, "c"), (1, 2, "b"), (2, 1, "x")], "id int, at int, v string")
+    path = str(tmp_path / "t")
+    for _ in range(2):
+        sinks.replace_table(df.repartition(3), path, ["id"], [F.desc("at")])
+    assert sorted(r.v for r in sources.read_table(spark, path).collect()) == ["c", "x"]
+
+
+def test_clustered_write_splits_a_hot_partition_and_keeps_the_order(spark, tmp_path):
+    df = spark.range(20_000).select(F.lit(1).alias("partition_key"), (20_000 - F.col("id")).alias("rank"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    sinks.write_clustered(df, str(tmp_path / "t"), ["partition_key", "rank"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [f for f in os.listdir(tmp_path / "t") if f.endswith(".parquet")]
+    assert len(files) > 4
+    for name in files:
+        ranks = [r["rank"] for r in spark.read.parquet(str(tmp_path / "t" / name)).collect()]
+        assert ranks == sorted(ranks) and ranks[-1] - ranks[0] == len(ranks) - 1
+
+
+def test_export_roundtrip_and_differences(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, 'A "quoted", title', 4.3333, 3), (2, "back\\slash", 1.0, 1)], schemas.ITEM_AVERAGE
+    )
+    path = str(tmp_path / "e")
+    sinks.write_export(df, path)
+    assert sinks.differences(sources.read_export(spark, path, schemas.ITEM_AVERAGE), df).count() == 0
+    inferred = sources.read_export(spark, path)
+    assert dict(inferred.dtypes) == {"item_id": "int", "title": "string", "avg_rating": "double", "rating_count": "int"}
+    assert sinks.differences(df.union(df), df).count() == 2
+
+
+def test_stored_results_follow_their_parameters(spark, tmp_path):
+    calls = []
+
+    def build(n):
+        calls.append(n)
+        return spark.createDataFrame([(n, "War", n)], schemas.FAVOURITE)
+
+    def load(n):
+        params = {"min_ratings": n, "source": "/a b/c"}
+        args = (spark, str(tmp_path), "favourites", params, lambda: build(n), schemas.FAVOURITE)
+        return sinks.materialize_or_load(*args).collect()
+
+    assert load(1) == load(1) and load(2)[0].user_id == 2
+    assert calls == [1, 2]
+    done = next(p for p in tmp_path.rglob("_SUCCESS") if "min_ratings=1" in str(p))
+    done.rename(done.with_name("_unfinished"))
+    load(1)
+    assert calls == [1, 2, 1]
+
+
+def test_documents_without_an_array_give_no_lines(spark, tmp_path):
+    lines = [
+        '{"_id":"user_000001","user_id":1,"favorite_genre":"War"}',
+        '{"user_id":2,"blacklisted_movies":[{"avoid_rank":1,"item_id":5},{"avoid_rank":2,"title":"t"}]}',
+    ]
+    from tastegrid.operators.reshape import flatten_documents
+
+    documents = sources.read_documents(spark, write(tmp_path / "d", lines), schemas.EXCLUSION_DOCUMENT)
+    got = [tuple(r) for r in flatten_documents(documents).orderBy("avoid_rank").collect()]
+    assert got == [(2, None, 1, 5, None, None), (2, None, 2, None, "t", None)]
+
+
+@pytest.fixture
+def inputs(tmp_path):
+    labels = ["Drama", "Action", "Comedy", "War"]
+    items = brute.labelled_items([*labels, "unused"])
+    items = [(i, title.replace("|", "/"), names) for i, title, names in items]
+    ratings = brute.skewed_ratings()
+    paths = {
+        "ratings": write(tmp_path / "ratings", ["\t".join(map(str, r)) for r in ratings]),
+        "items": write(tmp_path / "items", [f"{i}|{t}|d|||{flags(*names)}" for i, t, names in items]),
+        "users": write(tmp_path / "users", USER_LINES),
+    }
+    return ratings, items, paths, str(tmp_path / "out")
+
+
+def test_average_and_user_jobs(spark, inputs):
+    ratings, items, paths, out = inputs
+    stored = jobs.average_ratings(spark, paths["ratings"], paths["items"], out)
+    averages = sources.read_table(spark, stored["avg_ratings"], schemas.ITEM_AVERAGE).collect()
+    assert {r.item_id: (r.avg_rating, r.rating_count) for r in averages} == brute.means(ratings)
+    top = sources.read_table(spark, stored["top_items"], schemas.TOP_ITEM).orderBy("rank").collect()
+    want = sorted((-m, i) for i, (m, n) in brute.means(ratings).items() if n >= 10)[:10]
+    assert [(-r.avg_rating, r.item_id) for r in top] == want
+
+    stored = jobs.user_tables(spark, *paths.values(), out, min_ratings=18)
+    found = {name: sources.read_table(spark, path).collect() for name, path in stored.items()}
+    want = brute.favourites(ratings, items, 18)
+    assert {r.user_id: (r.favorite_genre, r.genre_rating_count) for r in found["user_fav_genres"]} == want
+    assert [r.user_id for r in found["young_users"]] == [7]
+    assert sorted(r.user_id for r in found["group_users"]) == [8, 9]
+
+
+def test_recommendation_and_exclusion_jobs(spark, inputs):
+    ratings, items, paths, out = inputs
+    stored = jobs.recommendations(spark, paths["ratings"], paths["items"], out)
+    want = brute.best_unrated(ratings, items, 5, 5, True)
+    wide = sources.read_table(spark, stored["wide_recommendations"])
+    assert wide.count() == len({row[0] for row in want})
+    shown = jobs.show_profiles(spark, stored["wide_recommendations"], [1, 2]).collect()
+    assert [(r.row_key, r.found) for r in shown][-1] == ("user_000002", False)
+    assert [int(r.movie_id) for r in shown if r.found and r.movie_id != "N/A"] == [row[2] for row in want if row[0] == 1]
+
+    stored = jobs.exclusions(spark, paths["ratings"], paths["items"], out)
+    export = sources.read_export(spark, stored["export"], schemas.EXCLUSION_FLAT)
+    got = sorted((r.user_id, r.avoid_rank, r.item_id, r.title, r.global_avg_rating, r.favorite_genre) for r in export.collect())
+    assert got == brute.best_unrated(ratings, items, 5, 5, False)
+
+
+def test_split_and_matrix_jobs(spark, inputs):
+    ratings, _, paths, out = inputs
+    stored = jobs.evaluation_splits(spark, paths["ratings"], out, max_test=60)
+    folds = sources.read_table(spark, stored["folds"])
+    in_order = {r.ts: r.fold for r in folds.collect()}
+    want = {row[3]: i * 5 // len(ratings) + 1 for i, row in enumerate(ratings)}
+    assert in_order == want
+    for start, stop in ((1, 10), (11, 20)):
+        got = sources.read_table(spark, stored[f"holdout_{start}_{stop}"]).collect()
+        roles = brute.holdout([(i, row[0]) for i, row in enumerate(ratings)], start, stop, 60)
+        assert {r.ts: r.role for r in got} == {row[3]: roles[i] for i, row in enumerate(ratings)}
+    matrix = sources.read_table(spark, jobs.rating_matrix(spark, paths["ratings"], out)["rating_matrix"])
+    assert matrix.select(F.sum(F.size("ratings"))).first()[0] == len({(r[0], r[1]) for r in ratings})
+
+
+def test_input_order_over_several_file_pieces(spark, tmp_path):
+    path = write(tmp_path / "r", [f"{i % 50}\t{i}\t3\t{i}" for i in range(3000)])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    lines = sources.with_input_order(sources.read_ratings(spark, path))
+    assert lines.rdd.getNumPartitions() > 3
+    assert [r.ts for r in lines.orderBy("line").collect()] == list(range(3000))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_command_line(inputs):
+    ratings, _, paths, out = inputs
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    command = [sys.executable, "-m", "tastegrid", "average-ratings", "--ratings", paths["ratings"]]
+    command += ["--items", paths["items"], "--out", out]
+    done = subprocess.run(command, cwd=root, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr
+    assert f"avg_ratings: {out}/avg_ratings" in done.stdout
+
+
+class FakeSession:
+    """Stands in for a cluster session, which tests cannot start."""
+
+    def __init__(self, master, configured):
+        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
+        self.master, self.checkpoint_dir = master, None
+        self.sparkContext = self
+
+    def getCheckpointDir(self):
+        return self.checkpoint_dir
+
+    def setCheckpointDir(self, folder):
+        self.checkpoint_dir = folder
+
+
+def test_shared_folder_is_the_configured_one():
+    cluster = FakeSession("yarn", "hdfs:///shared")
+    assert session.shared_dir(cluster) == "hdfs:///shared" == cluster.checkpoint_dir
+    assert session.fresh_path(cluster, "x").startswith("hdfs:///shared/x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(FakeSession("yarn", None))
