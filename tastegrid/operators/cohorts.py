@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastegrid.operators.ranking import salted_join
+
 
 def users_below(users: DataFrame, limit: float, column: str = "age") -> DataFrame:
     """Strictly below ``limit``."""
@@ -19,7 +21,7 @@ def users_of_group(users: DataFrame, occupation: str, low: float, high: float, c
 
 def ratings_of(ratings: DataFrame, users: DataFrame) -> DataFrame:
     """Ratings by any of ``users``, each rating once."""
-    return ratings.join(users.select("user_id"), "user_id", "left_semi")
+    return salted_join(ratings, users.select("user_id"), "user_id", "item_id", "left_semi")
 
 
 def cohort_top_items(

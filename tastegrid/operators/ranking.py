@@ -29,13 +29,8 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
     return top_n_per_key(df, keys, order_by, 1, "_first").drop("_first")
 
 
-def dense_positions(df: DataFrame, order_by: Sequence[Column | str], name: str = "position") -> DataFrame:
-    """Number all rows 0, 1, 2, … in ``order_by`` order, in parallel.
-
-    ``order_by`` must be unique. Rows are range-partitioned and sorted, and
-    stored once so that the sizes and the numbering see the same partitions.
-    The offsets hold one row per partition, which bounds their broadcast.
-    """
+def _numbered(df: DataFrame, order_by: Sequence[Column | str], name: str) -> DataFrame:
+    """Rows with their position and ``_part``, the stored partition they are in."""
     ranged = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
     pinned = pin(ranged.withColumn("_slot", F.monotonically_increasing_id()))
     slots = pinned.withColumn("_part", F.shiftright("_slot", _ROW_BITS))
@@ -43,19 +38,46 @@ def dense_positions(df: DataFrame, order_by: Sequence[Column | str], name: str =
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     in_part = F.col("_slot").bitwiseAND((1 << _ROW_BITS) - 1)
-    return (
-        slots.join(F.broadcast(offsets), "_part")
-        .withColumn(name, F.col("_offset") + in_part)
-        .drop("_slot", "_part", "_offset")
-    )
+    placed = slots.join(F.broadcast(offsets), "_part")
+    return placed.withColumn(name, F.col("_offset") + in_part).drop("_slot", "_offset")
+
+
+def dense_positions(df: DataFrame, order_by: Sequence[Column | str], name: str = "position") -> DataFrame:
+    """Number all rows 0, 1, 2, … in ``order_by`` order, in parallel.
+
+    ``order_by`` must be unique. Rows are range-partitioned and sorted, and
+    stored once so that the sizes and the numbering see the same partitions.
+    The offsets hold one row per partition, which bounds their broadcast.
+    """
+    return _numbered(df, order_by, name).drop("_part")
 
 
 def ordinals(df: DataFrame, key: str, order_by: Sequence[str], name: str = "ordinal") -> DataFrame:
-    """Running number per key from 1, for keys too large for one window task."""
-    numbered = dense_positions(df, [key, *order_by], "_position")
-    starts = numbered.groupBy(key).agg(F.min("_position").alias("_start"))
+    """Running number per key from 1, for keys too large for one window task.
+
+    The start of each key is joined by key and stored partition, so the rows of
+    a very large key stay as spread out as they were stored.
+    """
+    numbered = _numbered(df, [key, *order_by], "_position")
+    pieces = numbered.groupBy("_part", key).agg(F.min("_position").alias("_piece"))
+    starts = pieces.select("_part", key, F.min("_piece").over(Window.partitionBy(key)).alias("_start"))
     return (
-        numbered.join(starts, key)
+        numbered.join(starts, ["_part", key])
         .withColumn(name, F.col("_position") - F.col("_start") + 1)
-        .drop("_position", "_start")
+        .drop("_part", "_position", "_start")
     )
+
+
+def salted_join(
+    facts: DataFrame, keyed: DataFrame, key: str, spread: str, how: str = "inner", salts: int = 8
+) -> DataFrame:
+    """Join by ``key`` when one key may hold much of ``facts``.
+
+    Spark splits a hot key by itself if both sides are shuffled for the join.
+    It cannot if ``keyed`` is partitioned by the key already, as the result of
+    a group or join on it. So the key is salted: ``facts`` by the value of
+    ``spread``, ``keyed``, the smaller side, once per salt.
+    """
+    salt = F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")
+    copies = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return facts.withColumn("_salt", salt).join(copies, [key, "_salt"], how).drop("_salt")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.operators.preferences import favourite_category, label_flags, most_counted
-from tastegrid.operators.ranking import dense_positions, top_n_per_key
+from tastegrid.operators.ranking import dense_positions, salted_join, top_n_per_key
 from tastegrid.operators.ratings import item_stats
 from tastegrid.schemas import GENRES
 
@@ -90,7 +90,7 @@ def unrated_counts(
     pairs = ratings.groupBy("user_id", "item_id").agg(F.count("*").alias("times"))
     each = range(len(labels))
     per_user = (
-        pairs.join(known.drop("genres"), "item_id")
+        salted_join(pairs, known.drop("genres"), "item_id", "user_id")
         .groupBy("user_id")
         .agg(
             *[F.sum(F.when(F.col(f"is_{i}"), F.col("times")).otherwise(0)).alias(f"n_{i}") for i in each],

@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.functions.text import fixed4, or_default, row_key
+from tastegrid.operators.ranking import salted_join
 
 # Distinct items one map of the rating matrix can hold at most.
 SEGMENT = 1024
+_RATING_BITS = 16
 
 
 def _cell(rank: int, name: str) -> str:
@@ -83,10 +85,18 @@ def flatten_documents(documents: DataFrame) -> DataFrame:
 
 
 def latest_cells(ratings: DataFrame) -> DataFrame:
-    """One rating per user and item: the latest, and the highest among equals."""
-    newest = F.max(F.struct("ts", "rating"))
-    cells = ratings.groupBy("user_id", "item_id").agg(newest.alias("newest"))
-    return cells.select("user_id", "item_id", F.col("newest.rating").alias("rating"))
+    """One rating per user and item: the latest, and the highest among equals.
+
+    Time and rating are compared as one number, which Spark aggregates by hash;
+    a struct of both would be sorted. Ratings are whole numbers from 0 to 5 or
+    so, and times are seconds, so that both fit with much room.
+    """
+    fits = F.col("rating").between(0, (1 << _RATING_BITS) - 1) & (F.abs("ts") < 1 << (62 - _RATING_BITS))
+    packed = F.shiftleft("ts", _RATING_BITS) + F.col("rating")
+    checked = F.when(fits, packed).otherwise(F.raise_error("rating or time out of range").cast("bigint"))
+    cells = ratings.groupBy("user_id", "item_id").agg(F.max(checked).alias("newest"))
+    rating = F.col("newest").bitwiseAND((1 << _RATING_BITS) - 1)
+    return cells.select("user_id", "item_id", rating.cast("int").alias("rating"))
 
 
 def segment_of(item_id: str) -> Column:
@@ -110,4 +120,4 @@ def matrix_cells(matrix: DataFrame) -> DataFrame:
 
 def fetch_rows(matrix: DataFrame, users: DataFrame) -> DataFrame:
     """Cells of the asked users' rows."""
-    return matrix_cells(matrix.join(users.select("user_id"), "user_id", "left_semi"))
+    return matrix_cells(salted_join(matrix, users.select("user_id"), "user_id", "segment", "left_semi"))

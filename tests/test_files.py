@@ -35,7 +35,7 @@ USER_LINES = [
     "10|41|F|scientist|99998",
     "11|20|M|student|99997",
 ]
-BAD_LINE = "MALFORMED_CSV_RECORD|line with a missing value"
+BAD_LINE = "MALFORMED|line with a missing value"
 RATING_LINES = ["7\t21\t4\t880000001", "7\t22\t5\t880000002", "8\t21\t1\t880000003"]
 
 
