@@ -360,6 +360,17 @@ def clustered_table_roundtrip(spark, sf_dir):
     return sources.read_table(spark, path, ranked.schema)
 
 
+@query
+def table_readback_check(spark, sf_dir):
+    """A stored table against the rows that went in, counted on both sides."""
+    path = fresh_path(spark, "checked")
+    averages = _averages(spark, sf_dir)
+    sinks.replace_table(averages, path, ["item_id"])
+    stored = sources.read_table(spark, path, schemas.ITEM_AVERAGE)
+    differing = sinks.differences(stored, averages).agg(F.count("*")).scalar()
+    return stored.agg(F.count("*").alias("stored_rows")).select("stored_rows", differing.alias("differing_rows"))
+
+
 @query
 def csv_export_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "averages")
@@ -460,6 +471,11 @@ def holdout_capped(spark, sf_dir):
     return splits.holdout(views.events(spark, sf_dir), "event_id", 1, 10, CAPPED_TEST_ROWS)
 
 
+@query
+def ratings_in_order(spark, sf_dir):
+    return splits.in_rating_order(views.ratings(spark, sf_dir))
+
+
 @query
 def event_ordinals(spark, sf_dir):
     return ranking.ordinals(views.events(spark, sf_dir), "user_id", ["event_id"])

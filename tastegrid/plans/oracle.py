@@ -242,6 +242,9 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, item_id DESC,
         """SELECT *, CAST(row_number() OVER (PARTITION BY genre ORDER BY avg_rating DESC, item_id) AS INTEGER) AS rank
 FROM genre_items QUALIFY rank <= 100""",
     ),
+    "table_readback_check": _sql(
+        _AVG, "SELECT count(*) AS stored_rows, CAST(0 AS BIGINT) AS differing_rows FROM averages"
+    ),
     "csv_export_roundtrip": _sql(_AVG, "SELECT * FROM averages"),
     "cached_result": _sql(_ACT, "SELECT * FROM active_favourites"),
     "scan_ratings_tsv": _sql([_RATINGS], "SELECT *, CAST(rating AS DOUBLE) AS rating_value FROM ratings"),
@@ -270,6 +273,7 @@ FROM folds, range(1, 6) t(s) GROUP BY 1, 2""",
     "holdout_first10": _holdout(1, 10),
     "holdout_next10": _holdout(11, 20),
     "holdout_capped": _holdout(1, 10, 100),
+    "ratings_in_order": _sql([_RATINGS], "SELECT * FROM ratings ORDER BY user_id, item_id, rating, ts"),
     "event_ordinals": """SELECT event_id, user_id, event_type,
   row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ordinal FROM events""",
 }
