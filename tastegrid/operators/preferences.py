@@ -29,21 +29,38 @@ def category_counts(ratings: DataFrame, items: DataFrame) -> DataFrame:
     return per_category.groupBy("user_id", "genre").agg(F.count("*").alias("genre_count"))
 
 
-def label_flags(items: DataFrame, labels: Sequence[str]) -> list[Column]:
-    """One boolean per label: does the item carry it? A label outside the
-    vocabulary stops the job, since it would be counted nowhere."""
-    known = F.array(*[F.lit(label) for label in labels])
-    unknown = F.array_except("genres", known)
-    problem = F.concat(F.lit("labels outside the vocabulary: "), F.array_join(unknown, ", "))
-    checked = F.when(F.size(unknown) > 0, F.raise_error(problem)).otherwise(F.col("genres"))
-    return [F.array_contains(checked, label).alias(f"is_{i}") for i, label in enumerate(labels)]
-
-
-def most_counted(counts: Sequence[Column], labels: Sequence[str]) -> tuple[Column, Column]:
-    """Label with the largest count, the first name among equals, and the count."""
-    largest = F.array_max(F.array(*counts))
-    by_name = sorted(zip(labels, counts), key=lambda pair: pair[0])
-    return F.coalesce(*[F.when(count == largest, F.lit(label)) for label, count in by_name]), largest
+def _label_array(labels: Sequence[str]) -> Column:
+    return F.split(F.lit("\n".join(labels)), "\n")
+
+
+def with_flags(items: DataFrame, labels: Sequence[str], *keep: str) -> DataFrame:
+    """``item_id``, the columns to ``keep``, and booleans ``is_0``, ``is_1``, …
+    for the labels an item carries. A label outside the vocabulary stops the
+    job, since it would be counted nowhere."""
+    known = _label_array(labels)
+    places = F.transform("genres", lambda genre: F.array_position(known, genre))
+    unknown = F.array_join(F.array_except("genres", known), ", ")
+    problem = F.concat(F.lit("labels outside the vocabulary: "), unknown)
+    checked = F.when(F.array_contains(places, F.lit(0)), F.raise_error(problem)).otherwise(places)
+    flags = [f"array_contains(_places, {i + 1}) AS is_{i}" for i in range(len(labels))]
+    return items.withColumn("_places", checked).selectExpr("item_id", *keep, *flags)
+
+
+def with_favourite(per_user: DataFrame, counters: Sequence[str], labels: Sequence[str]) -> DataFrame:
+    """Add the label with the largest counter, the first name among equals, its
+    count and its place in ``labels``; users whose counters are zero drop out."""
+    by_name = sorted(range(len(labels)), key=lambda i: labels[i])
+    entries = [
+        f"named_struct('genre_rating_count', {counters[i]}, 'minus_order', {-order}, 'label_index', {i})"
+        for order, i in enumerate(by_name)
+    ]
+    best = per_user.withColumn("best", F.expr(f"array_max(array({', '.join(entries)}))"))
+    return best.select(
+        *per_user.columns,
+        "best.genre_rating_count",
+        "best.label_index",
+        F.get(_label_array(labels), F.col("best.label_index")).alias("favorite_genre"),
+    ).where("genre_rating_count > 0")
 
 
 def favourite_category(
@@ -57,14 +74,11 @@ def favourite_category(
     ratings are not multiplied by their categories, and a user who rates very
     much is one row per map task.
     """
-    flagged = items.select("item_id", *label_flags(items, labels))
-    rated = ratings.select("user_id", "item_id").join(flagged, "item_id", "left")
+    rated = ratings.select("user_id", "item_id").join(with_flags(items, labels), "item_id", "left")
     counters = [f"n_{i}" for i in range(len(labels))]
     per_user = rated.groupBy("user_id").agg(
         F.count("*").alias("rated"),
-        *[F.count_if(f"is_{i}").alias(name) for i, name in enumerate(counters)],
+        *[F.expr(f"count_if(is_{i}) AS {name}") for i, name in enumerate(counters)],
     )
-    label, count = most_counted([F.col(name) for name in counters], labels)
     active = per_user.where(F.col("rated") >= min_ratings)
-    best = active.select("user_id", label.alias("favorite_genre"), count.alias("genre_rating_count"))
-    return best.where(F.col("genre_rating_count") > 0)
+    return with_favourite(active, counters, labels).select("user_id", "favorite_genre", "genre_rating_count")

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegrid.operators.preferences import favourite_category, label_flags, most_counted
+from tastegrid.operators.preferences import favourite_category, with_favourite, with_flags
 from tastegrid.operators.ranking import dense_positions, salted_join, top_n_per_key
 from tastegrid.operators.ratings import item_stats
 from tastegrid.schemas import GENRES
@@ -86,21 +86,20 @@ def unrated_counts(
     both the favourite and the rated items."""
     stats = item_stats(ratings) if stats is None else stats
     supported = stats.where(F.col("rating_count") >= min_support).select("item_id", F.lit(True).alias("qualified"))
-    known = items.select("item_id", "genres", *label_flags(items, labels)).join(supported, "item_id", "left")
+    known = with_flags(items, labels, "genres").join(supported, "item_id", "left")
     pairs = ratings.groupBy("user_id", "item_id").agg(F.count("*").alias("times"))
     each = range(len(labels))
     per_user = (
         salted_join(pairs, known.drop("genres"), "item_id", "user_id")
         .groupBy("user_id")
         .agg(
-            *[F.sum(F.when(F.col(f"is_{i}"), F.col("times")).otherwise(0)).alias(f"n_{i}") for i in each],
-            *[F.count_if(F.col(f"is_{i}") & F.col("qualified")).alias(f"rated_{i}") for i in each],
+            *[F.expr(f"sum(if(is_{i}, times, 0)) AS n_{i}") for i in each],
+            *[F.expr(f"count_if(is_{i} AND qualified) AS rated_{i}") for i in each],
         )
     )
-    label, count = most_counted([F.col(f"n_{i}") for i in each], labels)
-    rated = F.coalesce(*[F.when(label == name, F.col(f"rated_{i}")) for i, name in enumerate(labels)])
-    favourites = per_user.where(count > 0).select(
-        "user_id", label.alias("favorite_genre"), rated.alias("rated_qualified")
+    rated = F.get(F.array(*[f"rated_{i}" for i in each]), F.col("label_index"))
+    favourites = with_favourite(per_user, [f"n_{i}" for i in each], labels).select(
+        "user_id", "favorite_genre", rated.alias("rated_qualified")
     )
     qualified = known.where("qualified").select(F.explode("genres").alias("favorite_genre"))
     sizes = qualified.groupBy("favorite_genre").agg(F.count("*").alias("qualified_items"))

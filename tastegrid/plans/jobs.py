@@ -115,7 +115,7 @@ def evaluation_splits(
     paths = {}
     for name, (df, part) in parts.items():
         paths[name] = f"{out}/{name}"
-        keys = [part, "user_id", "item_id"]
+        keys = [part, "user_id", "item_id", "rating", "ts"]
         ordered = df.drop("line").repartitionByRange(*keys).sortWithinPartitions(*keys)
         ordered.write.mode("overwrite").partitionBy(part).parquet(paths[name])
     return paths

@@ -81,8 +81,7 @@ def test_exploded_rows_add_up_to_the_arrays(items):
     assert preferences.item_categories(items).count() == sum(len(names) for _, _, names in ITEMS)
 
 
-@pytest.mark.parametrize("direction", ["desc", "asc"])
-@pytest.mark.parametrize("n, min_support", [(5, 5), (2, 1), (40, 5)])
+@pytest.mark.parametrize("direction, n, min_support", [("desc", 5, 5), ("asc", 5, 5), ("desc", 40, 1)])
 def test_best_unrated(plan, ratings, items, direction, n, min_support):
     got = recommend.best_unrated(ratings, items, n, min_support, direction, labels=LABELS)
     want = brute.best_unrated(RATINGS, ITEMS, n, min_support, direction == "desc")

@@ -5,7 +5,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tastegrid.operators import cohorts, preferences, recommend, splits, summaries
+from tastegrid import sinks, sources
+from tastegrid.operators import cohorts, lookup, preferences, recommend, splits, summaries
 from tastegrid.operators import ratings as rating_ops
 from tastegrid.plans import catalog, testviews
 
@@ -97,8 +98,16 @@ def test_summaries_reuse_the_counts(spark, views):
     assert "ReusedExchange" in executed(summaries.shares(counts, "occupation"))
 
 
-def test_hot_item_is_split_in_the_join(spark, no_broadcast):
-    """A third of the ratings name one item; the adaptive plan cuts its partition."""
+def test_lookup_filters_in_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.replace_table(spark.range(1000).withColumnRenamed("id", "user_id"), path, ["user_id"])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = executed(lookup.lookup(sources.read_table(spark, path), [3, 5, 5000]))
+    assert "PushedFilters: [In(user_id, [3,5,5000])" in plan
+
+
+@pytest.fixture
+def small_skew_limits(spark):
     sizes = {
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
@@ -106,6 +115,30 @@ def test_hot_item_is_split_in_the_join(spark, no_broadcast):
     }
     for key, value in sizes.items():
         spark.conf.set(key, value)
+    yield
+    for key in sizes:
+        spark.conf.unset(key)
+
+
+def test_hot_user_is_spread_before_a_join_with_a_grouped_side(spark, no_broadcast):
+    """No partition of the salted join holds a third of the rows."""
+    n = 120_000
+    ratings = spark.range(0, n, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 1000 + 2).alias("user_id"),
+        (F.col("id") % 97).alias("item_id"),
+        F.lit(3).alias("rating"),
+    )
+    active = preferences.active_users(ratings, 2)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    kept = cohorts.ratings_of(ratings, active)
+    assert kept.columns == ratings.columns
+    sizes = [r["count"] for r in kept.groupBy(F.spark_partition_id()).count().collect()]
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == n and max(sizes) < n / 3
+
+
+def test_hot_item_is_split_in_the_join(spark, no_broadcast, small_skew_limits):
+    """A third of the ratings name one item; the adaptive plan cuts its partition."""
     n = 200_000
     ratings = spark.range(0, n, 1, 8).select(
         (F.col("id") % 5000).alias("user_id"),
@@ -116,7 +149,5 @@ def test_hot_item_is_split_in_the_join(spark, no_broadcast):
     )
     result = preferences.favourite_category(ratings, items, 1, ["Hot", "Cold"])
     plan = executed(result)
-    for key in sizes:
-        spark.conf.unset(key)
     assert "skew=true" in plan
     assert result.count() == 5000
