@@ -18,9 +18,11 @@ from tastegrid.operators.ranking import dense_positions, salted_join, top_n_per_
 from tastegrid.operators.ratings import item_stats
 from tastegrid.schemas import GENRES
 
-# Users meet the ranking in blocks of 64 positions, so a user with a very long
+# Users meet the ranking in blocks of 64 places, so a user with a very long
 # stretch needs a row per block before the join, not one per item.
 BLOCK_BITS = 6
+# Blocks at the head of each category, which nearly all users ask for.
+HEAD_BLOCKS = 16
 
 
 def category_item_stats(stats: DataFrame, items: DataFrame, min_support: int = 5) -> DataFrame:
@@ -50,29 +52,45 @@ def best_unrated(
     rounded mean in ``direction`` and then item id. ``stats`` takes item means
     that are already at hand."""
     stats = item_stats(ratings) if stats is None else stats
-    mean = F.col("avg_rating")
-    order = [F.col("genre"), mean.asc() if direction == "asc" else mean.desc(), F.col("item_id")]
-    ranking = dense_positions(category_item_stats(stats, items, min_support).drop("rating_count"), order)
-
+    ranking = category_ranking(category_item_stats(stats, items, min_support), direction)
     # One row per label of the vocabulary at most, hence the broadcast.
-    spans = ranking.groupBy("genre").agg(F.min("position").alias("first"), F.max("position").alias("last"))
+    sizes = ranking.groupBy("genre").agg(F.count("*").alias("size"))
     reach = favourite_category(ratings, items, 1, labels).withColumnRenamed("favorite_genre", "genre")
-    reach = reach.join(F.broadcast(spans), "genre").select(
-        "user_id",
-        "first",
-        F.least("last", F.col("first") + n + F.col("genre_rating_count") - 1).alias("until"),
+    reach = reach.join(F.broadcast(sizes), "genre").select(
+        "user_id", "genre", F.least("size", F.col("genre_rating_count") + n).alias("reach")
     )
-    blocks = F.sequence(F.shiftright("first", BLOCK_BITS), F.shiftright("until", BLOCK_BITS))
-    reach = reach.withColumn("block", F.explode(blocks))
-
-    ranking = ranking.withColumn("block", F.shiftright("position", BLOCK_BITS))
-    candidates = reach.join(ranking, "block").where(F.col("position").between(F.col("first"), F.col("until")))
-    unseen = candidates.join(seen_pairs(ratings), ["user_id", "item_id"], "left_anti")
-    return top_n_per_key(unseen, ["user_id"], [F.col("position")], n).select(
+    unseen = first_places(reach, ranking).join(seen_pairs(ratings), ["user_id", "item_id"], "left_anti")
+    return top_n_per_key(unseen, ["user_id"], [F.col("place")], n).select(
         "user_id", "rank", "item_id", "title", "avg_rating", F.col("genre").alias("fav_genre")
     )
 
 
+def category_ranking(quality: DataFrame, direction: str) -> DataFrame:
+    """``place`` of each item in its category, from 0, by mean and item id. All
+    categories are ranked in one parallel sort, as one may hold most items."""
+    mean = F.asc("avg_rating") if direction == "asc" else F.desc("avg_rating")
+    ranking = dense_positions(quality.drop("rating_count"), [F.col("genre"), mean, F.col("item_id")])
+    starts = ranking.groupBy("genre").agg(F.min("position").alias("start"))
+    placed = ranking.join(F.broadcast(starts), "genre").withColumn("place", F.col("position") - F.col("start"))
+    return placed.drop("position", "start")
+
+
+def first_places(reach: DataFrame, ranking: DataFrame) -> DataFrame:
+    """The first ``reach`` places of each user's category.
+
+    The head of every category is wanted by all who favour it, a few join keys
+    with nearly all rows. It has a fixed number of places, and is broadcast.
+    The rest, for users with long stretches, is joined by shuffle.
+    """
+    last = F.shiftright(F.col("reach") - 1, BLOCK_BITS)
+    wanted = reach.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    blocks = ranking.withColumn("block", F.shiftright("place", BLOCK_BITS))
+    in_head = F.col("block") < HEAD_BLOCKS
+    head = wanted.where(in_head).join(F.broadcast(blocks.where(in_head)), ["genre", "block"])
+    rest = wanted.where(~in_head).join(blocks.where(~in_head), ["genre", "block"])
+    return head.unionByName(rest).where(F.col("place") < F.col("reach")).drop("block", "reach")
+
+
 def unrated_counts(
     ratings: DataFrame,
     items: DataFrame,

@@ -89,8 +89,10 @@ def test_best_unrated(plan, ratings, items, direction, n, min_support):
     assert 2 not in {row[0] for row in want}
 
 
-def test_long_stretches_cross_ranking_blocks(spark):
+@pytest.mark.parametrize("head_blocks", [0, 2, 16])
+def test_long_stretches_cross_ranking_blocks(spark, monkeypatch, head_blocks):
     """A user who has rated 500 of 600 items finds the open ones at the end."""
+    monkeypatch.setattr(recommend, "HEAD_BLOCKS", head_blocks)
     items = [(i, f"t{i}", ["Drama"]) for i in range(1, 601)]
     ratings = [(1, i, 5 if i <= 500 else 1, i) for i in range(1, 501)]
     ratings += [(2, i, 5 if i <= 500 else 1, i) for i in range(1, 601)] + [(3, 1, 4, 1)]
