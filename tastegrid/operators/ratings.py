@@ -59,23 +59,19 @@ def popularity_quality(averages: DataFrame) -> DataFrame:
 
 
 def data_profile(ratings: DataFrame, min_per_user: int = 20) -> DataFrame:
-    """Sizes and limits in one row; users and items are counted from their
-    group rows, so no distinct set is gathered anywhere."""
-    per_user = ratings.groupBy("user_id").agg(
-        F.count("*").alias("n"), F.min("rating").alias("low"), F.max("rating").alias("high")
+    """Sizes and limits in one row. Ratings are grouped by user and by item in
+    one pass, and the groups counted, so that no distinct set is gathered."""
+    groups = ratings.groupingSets([["user_id"], ["item_id"]], "user_id", "item_id").agg(
+        (F.grouping("user_id") == 0).alias("is_user"),
+        F.count("*").alias("n"),
+        F.min("rating").alias("low"),
+        F.max("rating").alias("high"),
     )
-    items = ratings.groupBy("item_id").agg(F.count("*").alias("n")).agg(F.count("*"))
-    return per_user.agg(
-        F.count("*").alias("users"),
-        F.sum("n").alias("ratings"),
+    return groups.agg(
+        F.count_if("is_user").alias("users"),
+        F.count_if(~F.col("is_user")).alias("items"),
+        F.sum(F.when(F.col("is_user"), F.col("n"))).alias("ratings"),
         F.min("low").alias("min_rating"),
         F.max("high").alias("max_rating"),
-        F.count(F.when(F.col("n") < min_per_user, 1)).alias("users_below_minimum"),
-    ).select(
-        "users",
-        items.scalar().alias("items"),
-        "ratings",
-        "min_rating",
-        "max_rating",
-        "users_below_minimum",
+        F.count_if(F.col("is_user") & (F.col("n") < min_per_user)).alias("users_below_minimum"),
     )

@@ -58,9 +58,16 @@ def user_tables(
     return paths
 
 
+def _staged_ratings(spark: SparkSession, path: str) -> DataFrame:
+    """The text parsed once into columns, for jobs that read it several times."""
+    staged = fresh_path(spark, "ratings")
+    sources.read_ratings(spark, path).write.parquet(staged)
+    return sources.read_table(spark, staged, schemas.RATING)
+
+
 def _best_unrated(spark, ratings_path, items_path, out, name, n, min_support, direction) -> DataFrame:
     def build() -> DataFrame:
-        ratings, items = sources.read_ratings(spark, ratings_path), sources.read_items(spark, items_path)
+        ratings, items = _staged_ratings(spark, ratings_path), sources.read_items(spark, items_path)
         return recommend.best_unrated(ratings, items, n, min_support, direction)
 
     params = {"ratings": ratings_path, "items": items_path, "n": n, "min_support": min_support}
