@@ -103,6 +103,23 @@ def test_long_stretches_cross_ranking_blocks(spark, monkeypatch, head_blocks):
     assert rows(got, "user_id", "rank", "item_id", "title", "avg_rating", "fav_genre") == want
 
 
+def test_category_without_qualified_items_gives_no_list(spark, items):
+    ratings = spark.createDataFrame([(1, 1, 5, 1), (1, 2, 4, 2)], "user_id bigint, item_id bigint, rating int, ts bigint")
+    assert recommend.best_unrated(ratings, items, 5, 2, labels=LABELS).count() == 0
+
+
+def test_ties_in_the_mean_go_to_the_smaller_item(spark):
+    items = spark.createDataFrame([(i, f"t{i}", ["War"]) for i in range(1, 12)], "item_id bigint, title string, genres array<string>")
+    ratings = spark.createDataFrame(
+        [(u, i, 3, 1) for u in (1, 2) for i in range(1, 12) if (u, i) != (1, 4)] + [(3, 4, 3, 1), (4, 11, 3, 1)],
+        "user_id bigint, item_id bigint, rating int, ts bigint",
+    )
+    for direction in ("asc", "desc"):
+        got = recommend.best_unrated(ratings, items, 5, 1, direction, labels=["Drama", "War"])
+        lists = {u: [r.item_id for r in got.orderBy("rank").collect() if r.user_id == u] for u in (1, 3, 4)}
+        assert lists == {1: [4], 3: [1, 2, 3, 5, 6], 4: [1, 2, 3, 4, 5]}
+
+
 def test_unrated_counts(plan, ratings, items):
     got = recommend.unrated_counts(ratings, items, 5, labels=LABELS)
     want = {}
@@ -269,6 +286,12 @@ def test_documents_and_back(flat):
         assert [e.avoid_rank for e in row.blacklisted_movies] == list(range(1, len(row.blacklisted_movies) + 1))
 
 
+def test_documents_of_one_user(flat):
+    found = lookup.lookup(reshape.to_documents(flat), 1).collect()
+    assert [(r._id, r.found) for r in found] == [("user_000001", True)]
+    assert found[0].blacklisted_movies[0].avoid_rank == 1
+
+
 def test_matrix_keeps_the_latest_cell_in_bounded_maps(plan, spark, ratings, monkeypatch):
     monkeypatch.setattr(reshape, "SEGMENT", 16)
     matrix = reshape.rating_matrix(ratings)
