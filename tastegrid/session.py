@@ -37,7 +37,6 @@ def shared_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="tastegrid-")
-    if not sc.getCheckpointDir():
         sc.setCheckpointDir(folder)
     return folder
 
@@ -48,7 +47,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def pin(df: DataFrame) -> DataFrame:
-    """Store ``df`` reliably, so later reads see the same rows and partitions."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
+    """Store ``df`` in the shared folder and read it back, so that all later
+    uses see the same rows and a lost executor costs no recomputation. Columns
+    are compressed, and each use reads only those it needs."""
+    spark = df.sparkSession
+    path = fresh_path(spark, "pinned")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

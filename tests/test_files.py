@@ -263,7 +263,9 @@ class FakeSession:
 
 def test_shared_folder_is_the_configured_one():
     cluster = FakeSession("yarn", "hdfs:///shared")
-    assert session.shared_dir(cluster) == "hdfs:///shared" == cluster.checkpoint_dir
+    assert session.shared_dir(cluster) == "hdfs:///shared"
     assert session.fresh_path(cluster, "x").startswith("hdfs:///shared/x-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(FakeSession("yarn", None))
+    local = FakeSession("local[2]", None)
+    assert session.shared_dir(local) == session.shared_dir(local) == local.checkpoint_dir
