@@ -52,11 +52,9 @@ def best_unrated(
     rounded mean in ``direction`` and then item id. ``stats`` takes item means
     that are already at hand."""
     stats = item_stats(ratings) if stats is None else stats
-    ranking = category_ranking(category_item_stats(stats, items, min_support), direction)
-    # One row per label of the vocabulary at most, hence the broadcast.
-    sizes = ranking.groupBy("genre").agg(F.count("*").alias("size"))
+    ranking, spans = category_ranking(category_item_stats(stats, items, min_support), direction)
     reach = favourite_category(ratings, items, 1, labels).withColumnRenamed("favorite_genre", "genre")
-    reach = reach.join(F.broadcast(sizes), "genre").select(
+    reach = reach.join(spans, "genre").select(
         "user_id", "genre", F.least("size", F.col("genre_rating_count") + n).alias("reach")
     )
     unseen = first_places(reach, ranking).join(seen_pairs(ratings), ["user_id", "item_id"], "left_anti")
@@ -65,14 +63,16 @@ def best_unrated(
     )
 
 
-def category_ranking(quality: DataFrame, direction: str) -> DataFrame:
-    """``place`` of each item in its category, from 0, by mean and item id. All
-    categories are ranked in one parallel sort, as one may hold most items."""
+def category_ranking(quality: DataFrame, direction: str) -> tuple[DataFrame, DataFrame]:
+    """``place`` of each item in its category, from 0, by mean and item id, and
+    where categories start and how many items they have. All categories are
+    ranked in one parallel sort, as one may hold most items."""
     mean = F.asc("avg_rating") if direction == "asc" else F.desc("avg_rating")
     ranking = dense_positions(quality.drop("rating_count"), [F.col("genre"), mean, F.col("item_id")])
-    starts = ranking.groupBy("genre").agg(F.min("position").alias("start"))
-    placed = ranking.join(F.broadcast(starts), "genre").withColumn("place", F.col("position") - F.col("start"))
-    return placed.drop("position", "start")
+    # One row per label of the vocabulary at most, hence the broadcast.
+    spans = F.broadcast(ranking.groupBy("genre").agg(F.min("position").alias("start"), F.count("*").alias("size")))
+    placed = ranking.join(spans, "genre").withColumn("place", F.col("position") - F.col("start"))
+    return placed.drop("position", "start", "size"), spans
 
 
 def first_places(reach: DataFrame, ranking: DataFrame) -> DataFrame:
