@@ -5,7 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tastegrid.llm.common import checkpointed
+from tastegrid.llm.decontamination import contaminated
+from tastegrid.llm.language import fit_language_model, held_out, identify, training_sample
+from tastegrid.llm.oracle import ORACLE
 from tastegrid.llm.packing import pack_documents
+from tastegrid.llm.quality import fit_rules, judged, text_statistics
+from tastegrid.llm.sharding import interleaved_shards
+from tastegrid.llm.simhash import near_duplicates
 from tastegrid.llm.token_files import read_token_files, with_checksum, write_token_files
 from tastegrid.session import fresh_path
 
@@ -16,6 +23,31 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    statistics = checkpointed(text_statistics(_table(spark, sf_dir, "documents")))
+    return judged(statistics, fit_rules(statistics, _table(spark, sf_dir, "labels"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
+
+
+def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, distance=3)
+
+
+def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_language_model(*training_sample(docs.where(~held_out())))
+    return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+def interleaved_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interleaved_shards(_table(spark, sf_dir, "documents"), shards=8)
+
+
+def benchmark_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def packed_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), size=2048, end_id=1)
 
@@ -27,8 +59,13 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": quality_rules,
+    "op4_simhash_near_duplicates": simhash_near_duplicates,
+    "op5_language_id": languages,
+    "op7_interleaved_shards": interleaved_shard_rows,
     "op8_sum_of_squares_packing": packed_sequences,
     "op9_token_files": token_files,
+    "op10_spaced_seed_decontamination": benchmark_overlaps,
 }
 
-ORACLE: dict[str, str] = {}
+
