@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tastegrid.llm.tokens import string_column
 
@@ -173,17 +174,18 @@ def training_sample(
     return rows.column("_text").to_pylist(), rows.column("_label").to_pylist()
 
 
-def identify(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, lang_pred, score) of every whole text.
+def with_language(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with ``lang_pred`` and ``score`` of the whole text,
+    which replace columns of these names.
 
     A null text, an empty one or one without a letter is ``und`` with score 0,
     as is every text without a model. Equal scores go to the language first by
-    name. Repeated rows stay, and other columns are left out.
+    name. Repeated rows stay.
     """
 
     def predict_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = string_column(batch, "_text")
+            texts = string_column(batch, text_col)
             names: list[str] = []
             scores: list[float] = []
             for start in range(0, len(texts), _BATCH_DOCS):
@@ -191,15 +193,17 @@ def identify(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id
                 found = model.predict(part) if model else ([UNKNOWN] * len(part), [0.0] * len(part))
                 names += found[0]
                 scores += found[1]
-            arrays = [batch.column("_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["_id", "lang_pred", "score"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return (
-        docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"))
-        .mapInArrow(predict_task, f"_id {kind}, lang_pred string, score double")
-        .withColumnRenamed("_id", id_col)
-    )
+            arrays = [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "lang_pred", "score"])
+
+    plain = docs.drop("lang_pred", "score")
+    schema = StructType([*plain.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    return plain.mapInArrow(predict_task, schema)
+
+
+def identify(docs: DataFrame, model: LanguageModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, lang_pred, score) of every whole text, as ``with_language`` gives them."""
+    return with_language(docs.select(id_col, text_col), model, text_col).select(id_col, "lang_pred", "score")
 
 
 def held_out(id_col: str = "doc_id"):

@@ -4,19 +4,25 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tastegrid.llm.common import checkpointed
 from tastegrid.llm.decontamination import contaminated
+from tastegrid.llm.html_text import extract_main_text
 from tastegrid.llm.language import fit_language_model, held_out, identify, training_sample
 from tastegrid.llm.oracle import ORACLE
 from tastegrid.llm.packing import pack_documents
 from tastegrid.llm.quality import fit_rules, judged, text_statistics
 from tastegrid.llm.sharding import interleaved_shards
 from tastegrid.llm.simhash import near_duplicates
+from tastegrid.llm.suffix_dedup import remove_repeats
+from tastegrid.llm.token_counts import count_tokens
 from tastegrid.llm.token_files import read_token_files, with_checksum, write_token_files
 from tastegrid.session import fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +36,16 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def main_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
@@ -40,6 +56,10 @@ def languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def interleaved_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleaved_shards(_table(spark, sf_dir, "documents"), shards=8)
 
@@ -59,9 +79,13 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_quality_rules": quality_rules,
+    "op2_html_text": main_texts,
+    "op3_suffix_dedup": suffix_dedup,
     "op4_simhash_near_duplicates": simhash_near_duplicates,
     "op5_language_id": languages,
+    "op6_token_counts": token_counts,
     "op7_interleaved_shards": interleaved_shard_rows,
     "op8_sum_of_squares_packing": packed_sequences,
     "op9_token_files": token_files,
