@@ -112,39 +112,39 @@ def _keyed(values: np.ndarray, bands: int, distance: int) -> tuple[np.ndarray, n
     return np.tile(np.arange(len(groups), dtype=np.int32), len(values)), keys.reshape(-1)
 
 
-def _linked(values: np.ndarray, same: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs within ``distance`` bits among rows with equal ``same``, which
-    lie together: pairs k rows apart, for k = 1, 2, … until no run is as long."""
+def _joined(label: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """``label``, the least index of each one's group, after joining the pairs."""
+    while True:
+        a, b = label[left], label[right]
+        apart = a != b
+        if not apart.any():
+            return label
+        left, right, a, b = left[apart], right[apart], a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while not np.array_equal(label[label], label):
+            label = label[label]
+
+
+def _groups(values: np.ndarray, same: np.ndarray, distance: int) -> np.ndarray:
+    """Least index that each index reaches by steps of at most ``distance`` bits
+    among rows with equal ``same``, which lie together. Compares rows k apart for
+    k = 1, 2, … until no run is as long; rows joined already are passed over, and
+    the pairs of one k only are held."""
     coordinates = distance_table(values, 1)[:, 0, :].astype(np.int8)
-    left, right = [], []
+    label = np.arange(len(values))
     at = np.arange(len(values))
     for step in range(1, len(values)):
         at = at[at + step < len(values)]
         at = at[same[at] == same[at + step]]
         if not len(at):
             break
-        near = at
+        near = at[label[at] != label[at + step]]
         for pivot in range(_PIVOTS):
             column = coordinates[:, pivot]
             near = near[np.abs(column[near] - column[near + step]) <= distance]
         near = near[_bits(values[near] ^ values[near + step]) <= distance]
-        left.append(near)
-        right.append(near + step)
-    empty = np.empty(0, dtype=np.int64)
-    return np.concatenate([*left, empty]).astype(np.int64), np.concatenate([*right, empty]).astype(np.int64)
-
-
-def _least_labels(count: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Least index that each index reaches over the pairs."""
-    label = np.arange(count)
-    while True:
-        before = label.copy()
-        least = np.minimum(label[left], label[right])
-        np.minimum.at(label, left, least)
-        np.minimum.at(label, right, least)
-        label = label[label]
-        if np.array_equal(label, before):
-            return label
+        label = _joined(label, near, near + step)
+    return label
 
 
 def similar_fingerprints(distinct: DataFrame, distance: int = 3) -> DataFrame:
@@ -196,7 +196,7 @@ def similar_fingerprints(distinct: DataFrame, distance: int = 3) -> DataFrame:
             yield _links_of(values, meeting)
 
     def _links_of(values, meeting):
-        label = _least_labels(len(values), *_linked(values, meeting, distance))
+        label = _groups(values, meeting, distance)
         moved = np.flatnonzero(label != np.arange(len(values)))
         pairs = [values[moved].view(np.int64), values[label[moved]].view(np.int64)]
         return pa.RecordBatch.from_arrays([pa.array(side) for side in pairs], names=["a", "b"])
