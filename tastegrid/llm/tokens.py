@@ -13,9 +13,10 @@ from tastegrid.llm.common import slices_by_bytes
 
 _TEXT_BYTES = 4 << 20
 _KEPT_WORDS = 500_000
-# Latin letters before marks that no contraction and no composed letter holds:
+# Latin letters (but dotted I, whose small form ends in a mark) before marks that
+# no contraction and no composed letter holds:
 # every tokenizer of this kind cuts there.
-_CUT = r"([A-Za-z\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}\x{00F8}-\x{024F}])([.,!?#$%&*;:]+)"
+_CUT = r"([A-Za-z\x{00C0}-\x{00D6}\x{00D8}-\x{00F6}\x{00F8}-\x{012F}\x{0131}-\x{017F}])([.,!?#$%&*;:]+)"
 _LOADED: dict[str, "WordEncoder"] = {}
 
 
