@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -28,6 +28,7 @@ _CODE_POINTS = 0x110000
 # Symbol 0 stands for letters outside the alphabet, 1 for what lies between words.
 _OTHER, _GAP = 0, 1
 _BATCH_DOCS = 64
+_HASHES = 1 << 31
 
 
 class Alphabet:
@@ -160,18 +161,25 @@ def training_sample(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> tuple[list[str], list[str]]:
-    """At most ``each`` whole texts per language, by a hash of the id, on the driver."""
-    by_hash = Window.partitionBy("_label").orderBy(F.xxhash64("_id"), "_id", F.xxhash64("_text"))
-    told = docs.select(docs[id_col].alias("_id"), docs[text_col].alias("_text"), docs[label_col].alias("_label"))
-    rows = (
-        told.where("_text IS NOT NULL AND _label IS NOT NULL")
-        .withColumn("_rank", F.row_number().over(by_hash))
-        .where(F.col("_rank") <= each)
-        .orderBy("_label", "_rank")
-        .select("_text", "_label")
-        .toArrow()
-    )
-    return rows.column("_text").to_pylist(), rows.column("_label").to_pylist()
+    """At most ``each`` whole texts per language, those with the least hash of
+    their id, on the driver.
+
+    Languages are counted first, and only rows below the hash that some twice
+    ``each`` of a language have are fetched, so no language meets in one task.
+    """
+    told = docs.select(
+        docs[label_col].alias("label"), docs[text_col].alias("text"), F.pmod(F.xxhash64(docs[id_col]), F.lit(_HASHES)).alias("hash")
+    ).where("text IS NOT NULL AND label IS NOT NULL")
+    counts = told.groupBy("label").agg(F.count("*").alias("rows")).collect()
+    if not counts:
+        return [], []
+    limits = [F.lit(x) for row in counts for x in (row.label, min(_HASHES, 2 * each * _HASHES // row.rows))]
+    near = told.where(F.col("hash") < F.create_map(*limits)[F.col("label")])
+    found: dict[str, list[tuple]] = {}
+    for row in near.collect():
+        found.setdefault(row.label, []).append((row.hash, row.text))
+    chosen = [(text, label) for label in sorted(found) for _, text in sorted(found[label])[:each]]
+    return [text for text, _ in chosen], [label for _, label in chosen]
 
 
 def with_language(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
