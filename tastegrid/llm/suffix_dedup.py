@@ -363,7 +363,9 @@ def repeated_spans(texts: DataFrame, most_broadcast: int = _MOST_BROADCAST) -> D
     undecided = resolved.where("variant >= 0")
     count = undecided.count()
     crowded = undecided.groupBy("gram").agg((F.max("variant") + 1).alias("variants")).where(F.col("variants") > _TOGETHER)
-    sized = undecided.join(crowded, "gram", "left").select(
+    # One row for ``_TOGETHER`` open contexts at most, and no hot gram in a join.
+    few = count // _TOGETHER <= most_broadcast
+    sized = undecided.join(F.broadcast(crowded) if few else crowded, "gram", "left").select(
         "id",
         F.shiftright("place", _TAG).alias("tag"),
         F.struct("gram", "place", F.coalesce("variants", F.lit(1)).alias("variants")).alias("one"),
