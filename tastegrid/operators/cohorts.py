@@ -10,13 +10,18 @@ from tastegrid.operators.ranking import salted_join
 
 def users_below(users: DataFrame, limit: float, column: str = "age") -> DataFrame:
     """Strictly below ``limit``."""
-    return users.where(F.col(column) < limit).orderBy(column, "user_id")
+    return users.where(F.col(column) < limit)
 
 
 def users_of_group(users: DataFrame, occupation: str, low: float, high: float, column: str = "age") -> DataFrame:
     """One occupation, ``column`` within both bounds inclusive."""
     wanted = (F.col("occupation") == occupation) & F.col(column).between(low, high)
-    return users.where(wanted).orderBy(column, "user_id")
+    return users.where(wanted)
+
+
+def by_column(users: DataFrame, column: str = "age") -> DataFrame:
+    """For showing: by ``column``, then id."""
+    return users.orderBy(column, "user_id")
 
 
 def ratings_of(ratings: DataFrame, users: DataFrame) -> DataFrame:

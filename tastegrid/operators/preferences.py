@@ -30,7 +30,7 @@ def category_counts(ratings: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _label_array(labels: Sequence[str]) -> Column:
-    return F.split(F.lit("\n".join(labels)), "\n")
+    return F.lit(list(labels))
 
 
 def with_flags(items: DataFrame, labels: Sequence[str], *keep: str) -> DataFrame:
@@ -72,7 +72,8 @@ def favourite_category(
     The activity test counts rating rows, also of items without category. With
     a known vocabulary each category is a counter of one aggregate by user:
     ratings are not multiplied by their categories, and a user who rates very
-    much is one row per map task.
+    much is one row per map task. From about a hundred labels on Spark leaves
+    the counters out of its generated code: ``favourite_of_many`` is for those.
     """
     rated = ratings.select("user_id", "item_id").join(with_flags(items, labels), "item_id", "left")
     counters = [f"n_{i}" for i in range(len(labels))]
@@ -82,3 +83,16 @@ def favourite_category(
     )
     active = per_user.where(F.col("rated") >= min_ratings)
     return with_favourite(active, counters, labels).select("user_id", "favorite_genre", "genre_rating_count")
+
+
+def favourite_of_many(ratings: DataFrame, items: DataFrame, min_ratings: int = 1) -> DataFrame:
+    """``favourite_category`` for a wide or unknown vocabulary: a row per user
+    and category instead of a counter."""
+    best = (
+        category_counts(ratings, items)
+        .groupBy("user_id")
+        .agg(F.min(F.struct((-F.col("genre_count")).alias("less"), "genre")).alias("best"))
+    )
+    return best.join(active_users(ratings, min_ratings), "user_id").select(
+        "user_id", F.col("best.genre").alias("favorite_genre"), (-F.col("best.less")).alias("genre_rating_count")
+    )

@@ -34,11 +34,11 @@ def top_of(averages: DataFrame, min_ratings: int = 10, n: int = 10) -> DataFrame
     return averages.where(F.col("rating_count") >= min_ratings).orderBy(*best_first()).limit(n)
 
 
-def with_rank(top: DataFrame) -> DataFrame:
-    """Rank and constant partition key for an already limited list; its window
-    has one partition."""
+def with_rank(averages: DataFrame, n: int) -> DataFrame:
+    """The ``n`` best with rank and constant partition key; ``n`` bounds the
+    one partition of the window."""
     ranks = F.row_number().over(Window.orderBy(*best_first()))
-    return top.withColumn("rank", ranks).withColumn("partition_key", F.lit(1))
+    return averages.orderBy(*best_first()).limit(n).withColumn("rank", ranks).withColumn("partition_key", F.lit(1))
 
 
 def top_items(ratings: DataFrame, items: DataFrame, min_ratings: int = 10, n: int = 10) -> DataFrame:
@@ -46,7 +46,7 @@ def top_items(ratings: DataFrame, items: DataFrame, min_ratings: int = 10, n: in
 
 
 def ranked_top_items(ratings: DataFrame, items: DataFrame, min_ratings: int = 10, n: int = 10) -> DataFrame:
-    return with_rank(top_items(ratings, items, min_ratings, n))
+    return with_rank(item_averages(ratings, items).where(F.col("rating_count") >= min_ratings), n)
 
 
 def grand_mean(averages: DataFrame) -> DataFrame:
@@ -70,7 +70,7 @@ def data_profile(ratings: DataFrame, min_per_user: int = 20) -> DataFrame:
     return groups.agg(
         F.count_if("is_user").alias("users"),
         F.count_if(~F.col("is_user")).alias("items"),
-        F.sum(F.when(F.col("is_user"), F.col("n"))).alias("ratings"),
+        F.coalesce(F.sum(F.when(F.col("is_user"), F.col("n"))), F.lit(0)).alias("ratings"),
         F.min("low").alias("min_rating"),
         F.max("high").alias("max_rating"),
         F.count_if(F.col("is_user") & (F.col("n") < min_per_user)).alias("users_below_minimum"),

@@ -3,26 +3,26 @@
 A user who gave ``c`` ratings in a category finds the ``n`` best unrated items
 of it among its first ``n + c``. So categories are ranked once, and each user
 is joined with that stretch of the ranking instead of the whole category. The
-candidates grow with the ratings, not with users times items.
+candidates grow with the ratings, not with users times items, and of the rated
+pairs only those of items that somebody can be offered are compared.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.operators.preferences import favourite_category, with_favourite, with_flags
-from tastegrid.operators.ranking import dense_positions, salted_join, top_n_per_key
+from tastegrid.operators.ranking import salted_join, stored_in_order, top_n_per_key
 from tastegrid.operators.ratings import item_stats
 from tastegrid.schemas import GENRES
+from tastegrid.session import pin
 
 # Users meet the ranking in blocks of 64 places, so a user with a very long
 # stretch needs a row per block before the join, not one per item.
 BLOCK_BITS = 6
-# Blocks at the head of each category, which nearly all users ask for.
-HEAD_BLOCKS = 16
 
 
 def category_item_stats(stats: DataFrame, items: DataFrame, min_support: int = 5) -> DataFrame:
@@ -50,45 +50,68 @@ def best_unrated(
 ) -> DataFrame:
     """Per user the first ``n`` unrated items of the favourite category, by
     rounded mean in ``direction`` and then item id. ``stats`` takes item means
-    that are already at hand."""
+    that are already at hand.
+
+    The ranking and the users' stretches are stored, as each is used twice: for
+    the candidates, and to find the items whose ratings can matter.
+    """
     stats = item_stats(ratings) if stats is None else stats
-    ranking, spans = category_ranking(category_item_stats(stats, items, min_support), direction)
-    reach = favourite_category(ratings, items, 1, labels).withColumnRenamed("favorite_genre", "genre")
-    reach = reach.join(spans, "genre").select(
-        "user_id", "genre", F.least("size", F.col("genre_rating_count") + n).alias("reach")
-    )
-    unseen = first_places(reach, ranking).join(seen_pairs(ratings), ["user_id", "item_id"], "left_anti")
+    ranking, sizes = category_ranking(category_item_stats(stats, items, min_support), direction)
+    favourites = favourite_category(ratings, items, 1, labels).withColumnRenamed("favorite_genre", "genre")
+    wanted = F.least(_by_label(sizes), F.col("genre_rating_count") + n)
+    reach = pin(favourites.select("user_id", "genre", wanted.alias("reach")).where("reach > 0"))
+    # One row per label of the vocabulary at most.
+    deepest = dict(reach.groupBy("genre").agg(F.max("reach")).collect())
+    offered = ranking.where(F.col("place") < _by_label(deepest))
+    items_offered = pin(offered.select("item_id").distinct())
+    seen = seen_pairs(salted_join(ratings, items_offered, "item_id", "user_id", "left_semi"))
+    unseen = first_places(reach, offered).join(seen, ["user_id", "item_id"], "left_anti")
     return top_n_per_key(unseen, ["user_id"], [F.col("place")], n).select(
         "user_id", "rank", "item_id", "title", "avg_rating", F.col("genre").alias("fav_genre")
     )
 
 
-def category_ranking(quality: DataFrame, direction: str) -> tuple[DataFrame, DataFrame]:
+def _by_label(values: dict[str, int]) -> Column:
+    """The value of each row's ``genre``, null for one without."""
+    if not values:
+        return F.lit(None).cast("bigint")
+    pairs = [F.lit(x) for label, value in values.items() for x in (label, value)]
+    return F.create_map(*pairs)[F.col("genre")].cast("bigint")
+
+
+def category_ranking(quality: DataFrame, direction: str) -> tuple[DataFrame, dict[str, int]]:
     """``place`` of each item in its category, from 0, by mean and item id, and
-    where categories start and how many items they have. All categories are
-    ranked in one parallel sort, as one may hold most items."""
+    the number of items of each category.
+
+    All categories are sorted in parallel, as one may hold most items. The
+    driver gets one row per stored partition and category in it, and works out
+    where each of these pieces starts.
+    """
     mean = F.asc("avg_rating") if direction == "asc" else F.desc("avg_rating")
-    ranking = dense_positions(quality.drop("rating_count"), [F.col("genre"), mean, F.col("item_id")])
-    # One row per label of the vocabulary at most, hence the broadcast.
-    spans = F.broadcast(ranking.groupBy("genre").agg(F.min("position").alias("start"), F.count("*").alias("size")))
-    placed = ranking.join(spans, "genre").withColumn("place", F.col("position") - F.col("start"))
-    return placed.drop("position", "start", "size"), spans
+    stored = stored_in_order(quality.drop("rating_count"), [F.col("genre"), mean, F.col("item_id")])
+    pieces = stored.groupBy("_part", "genre").agg(F.min("_slot").alias("first"), F.count("*").alias("rows")).collect()
+    sizes: dict[str, int] = {}
+    shifts = []
+    for piece in sorted(pieces, key=lambda piece: piece["_part"]):
+        before = sizes.get(piece.genre, 0)
+        shifts.append((piece["_part"], piece.genre, before - piece.first))
+        sizes[piece.genre] = before + piece.rows
+    starts = quality.sparkSession.createDataFrame(shifts, "_part bigint, genre string, _shift bigint")
+    placed = stored.join(F.broadcast(starts), ["_part", "genre"])
+    return placed.withColumn("place", F.col("_slot") + F.col("_shift")).drop("_part", "_slot", "_shift"), sizes
 
 
 def first_places(reach: DataFrame, ranking: DataFrame) -> DataFrame:
     """The first ``reach`` places of each user's category.
 
-    The head of every category is wanted by all who favour it, a few join keys
-    with nearly all rows. It has a fixed number of places, and is broadcast.
-    The rest, for users with long stretches, is joined by shuffle.
+    The head of a category is wanted by all who favour it, a few join keys with
+    nearly all rows. Both sides are stored, so Spark knows their size: it
+    broadcasts a small ranking, and splits the hot keys of a large one.
     """
     last = F.shiftright(F.col("reach") - 1, BLOCK_BITS)
     wanted = reach.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
     blocks = ranking.withColumn("block", F.shiftright("place", BLOCK_BITS))
-    in_head = F.col("block") < HEAD_BLOCKS
-    head = wanted.where(in_head).join(F.broadcast(blocks.where(in_head)), ["genre", "block"])
-    rest = wanted.where(~in_head).join(blocks.where(~in_head), ["genre", "block"])
-    return head.unionByName(rest).where(F.col("place") < F.col("reach")).drop("block", "reach")
+    return wanted.join(blocks, ["genre", "block"]).where(F.col("place") < F.col("reach")).drop("block", "reach")
 
 
 def unrated_counts(
@@ -101,14 +124,15 @@ def unrated_counts(
     """How many qualified items of the favourite category each user has not
     rated: the category's size less the distinct ones rated, so that no list of
     candidates is made. Ratings are folded to user-item pairs once, which give
-    both the favourite and the rated items."""
+    both the favourite and the rated items. The items with their flags are
+    stored, so that Spark knows their size in the join."""
     stats = item_stats(ratings) if stats is None else stats
     supported = stats.where(F.col("rating_count") >= min_support).select("item_id", F.lit(True).alias("qualified"))
-    known = with_flags(items, labels, "genres").join(supported, "item_id", "left")
+    known = pin(with_flags(items, labels, "genres").join(supported, "item_id", "left"))
     pairs = ratings.groupBy("user_id", "item_id").agg(F.count("*").alias("times"))
     each = range(len(labels))
     per_user = (
-        salted_join(pairs, known.drop("genres"), "item_id", "user_id")
+        pairs.join(known.drop("genres"), "item_id")
         .groupBy("user_id")
         .agg(
             *[F.expr(f"sum(if(is_{i}, times, 0)) AS n_{i}") for i in each],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +12,6 @@ from tastegrid.operators.ranking import salted_join
 
 # Distinct items one map of the rating matrix can hold at most.
 SEGMENT = 1024
-_RATING_BITS = 16
 
 
 def _cell(rank: int, name: str) -> str:
@@ -48,15 +49,21 @@ def _wide_ranks(wide: DataFrame, n: int) -> DataFrame:
     return wide.select("row_key", F.explode(F.array(*lines)).alias("line")).select("row_key", "line.*")
 
 
-def wide_to_list(wide: DataFrame, n: int = 5) -> DataFrame:
+def stored_ranks(wide: DataFrame) -> int:
+    """How many ranks the columns of wide rows hold."""
+    return sum(name.startswith("rank_") and name.endswith("_title") for name in wide.columns)
+
+
+def wide_to_list(wide: DataFrame) -> DataFrame:
     """Ranked lines of wide rows; ranks without a title are left out."""
-    lines = _wide_ranks(wide, n).where(F.col("title").isNotNull())
+    lines = _wide_ranks(wide, stored_ranks(wide)).where(F.col("title").isNotNull())
     return lines.select("row_key", "rank", F.col("movie_id").cast("bigint").alias("item_id"), "title", "avg_rating")
 
 
-def wide_to_full_list(wide: DataFrame, n: int = 5) -> DataFrame:
-    """Always ``n`` lines per wide row, with defaults for what is missing."""
-    return _wide_ranks(wide, n).select(
+def wide_to_full_list(wide: DataFrame) -> DataFrame:
+    """A line for every stored rank of a wide row, with defaults for what is
+    missing."""
+    return _wide_ranks(wide, stored_ranks(wide)).select(
         "row_key",
         "rank",
         or_default("movie_id", "N/A").alias("movie_id"),
@@ -65,13 +72,12 @@ def wide_to_full_list(wide: DataFrame, n: int = 5) -> DataFrame:
     )
 
 
-def to_documents(exclusions: DataFrame) -> DataFrame:
-    """One document per user with its ranked items in rank order. The input is
-    a top-n list, so n bounds the array."""
+def to_documents(exclusions: DataFrame, n: int = 5) -> DataFrame:
+    """One document per user with its items of rank 1 to ``n`` in rank order."""
     entry = F.struct(
         F.col("rank").alias("avoid_rank"), "item_id", "title", F.col("avg_rating").alias("global_avg_rating")
     )
-    per_user = exclusions.groupBy("user_id").agg(
+    per_user = exclusions.where(F.col("rank") <= n).groupBy("user_id").agg(
         F.first("fav_genre").alias("favorite_genre"),
         F.array_sort(F.collect_list(entry)).alias("blacklisted_movies"),
     )
@@ -86,17 +92,10 @@ def flatten_documents(documents: DataFrame) -> DataFrame:
 
 def latest_cells(ratings: DataFrame) -> DataFrame:
     """One rating per user and item: the latest, and the highest among equals.
-
-    Time and rating are compared as one number, which Spark aggregates by hash;
-    a struct of both would be sorted. Ratings are whole numbers from 0 to 5 or
-    so, and times are seconds, so that both fit with much room.
-    """
-    fits = F.col("rating").between(0, (1 << _RATING_BITS) - 1) & (F.abs("ts") < 1 << (62 - _RATING_BITS))
-    packed = F.shiftleft("ts", _RATING_BITS) + F.col("rating")
-    checked = F.when(fits, packed).otherwise(F.raise_error("rating or time out of range").cast("bigint"))
-    cells = ratings.groupBy("user_id", "item_id").agg(F.max(checked).alias("newest"))
-    rating = F.col("newest").bitwiseAND((1 << _RATING_BITS) - 1)
-    return cells.select("user_id", "item_id", rating.cast("int").alias("rating"))
+    Ratings may be of any type that can be ordered."""
+    newest = F.max(F.struct("ts", "rating")).alias("newest")
+    cells = ratings.groupBy("user_id", "item_id").agg(newest)
+    return cells.select("user_id", "item_id", F.col("newest.rating").alias("rating"))
 
 
 def segment_of(item_id: str) -> Column:
@@ -118,6 +117,14 @@ def matrix_cells(matrix: DataFrame) -> DataFrame:
     return matrix.select("user_id", F.explode("ratings").alias("item_id", "rating"))
 
 
-def fetch_rows(matrix: DataFrame, users: DataFrame) -> DataFrame:
-    """Cells of the asked users' rows."""
-    return matrix_cells(salted_join(matrix, users.select("user_id"), "user_id", "segment", "left_semi"))
+def fetch_rows(matrix: DataFrame, users: Sequence[int]) -> DataFrame:
+    """Cells of the asked users' rows. The ids reach the scan as a filter, so a
+    matrix stored in key order reads only the row groups that can match."""
+    return matrix_cells(matrix.where(F.col("user_id").isin(sorted(set(users)))))
+
+
+def rows_of_ratings(ratings: DataFrame, users: DataFrame) -> DataFrame:
+    """Cells of the asked users' rows from ratings that are in no matrix yet:
+    other users' ratings are dropped before any is grouped."""
+    asked = users.select("user_id")
+    return matrix_cells(rating_matrix(salted_join(ratings, asked, "user_id", "item_id", "left_semi")))

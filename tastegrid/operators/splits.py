@@ -8,16 +8,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tastegrid.operators.ranking import dense_positions, ordinals, top_n_per_key
+from tastegrid.operators.ranking import dense_positions, top_n_per_key
 
 TEST, BASE = "test", "base"
-# Largest per-key limit that Spark applies before the shuffle.
-GROUP_LIMIT = 1000
 
 
 def kfold_assign(df: DataFrame, order_by: str, k: int = 5) -> DataFrame:
-    """Add ``fold`` 1..k: consecutive blocks of rows whose sizes differ by one
-    at most.
+    """Add ``fold`` 1..k: row i of n, from 0, is in fold ``i * k // n + 1``, so
+    folds are consecutive blocks whose sizes differ by one at most. With fewer
+    rows than folds some folds are empty.
 
     Only the order column is sorted and numbered. The first key of each block
     then tells the fold, so the rows themselves are not shuffled.
@@ -25,11 +24,14 @@ def kfold_assign(df: DataFrame, order_by: str, k: int = 5) -> DataFrame:
     keys = dense_positions(df.select(order_by), [order_by])
     total = keys.agg(F.count("*")).scalar()
     block = keys.select(order_by, "position", total.alias("total"))
-    opens = F.floor(F.col("position") * k / F.col("total")) > F.floor((F.col("position") - 1) * k / F.col("total"))
-    starts = block.where((F.col("position") > 0) & opens).agg(F.collect_list(order_by)).scalar()
+    fold, before = F.expr(f"position * {k} div total"), F.expr(f"(position - 1) * {k} div total")
+    opening = block.where((F.col("position") > 0) & (fold > before))
+    start = F.struct(F.col(order_by).alias("key"), (fold + 1).cast("int").alias("fold"))
+    starts = opening.agg(F.collect_list(start)).scalar()
     tagged = df.withColumn("_starts", starts)
-    passed = F.size(F.filter("_starts", lambda start: start <= F.col(order_by)))
-    return tagged.withColumn("fold", passed + 1).drop("_starts")
+    passed = F.filter("_starts", lambda start: start["key"] <= F.col(order_by))
+    folds = F.transform(passed, lambda start: start["fold"])
+    return tagged.withColumn("fold", F.coalesce(F.array_max(folds), F.lit(1))).drop("_starts")
 
 
 def fold_split(assigned: DataFrame, fold: int) -> tuple[DataFrame, DataFrame]:
@@ -56,11 +58,7 @@ def holdout(
     key with very many rows is no burden. The test rows then mark the table
     through their unique ``order_by`` value.
     """
-    narrow = df.select(key, order_by)
-    if stop < GROUP_LIMIT:
-        early = top_n_per_key(narrow, [key], [F.col(order_by)], stop, "ordinal")
-    else:
-        early = ordinals(narrow, key, [order_by]).where(F.col("ordinal") <= stop)
+    early = top_n_per_key(df.select(key, order_by), [key], [F.col(order_by)], stop, "ordinal")
     test = early.where(F.col("ordinal") >= start).select(order_by)
     if max_test > 0:
         test = dense_positions(test, [order_by]).where(F.col("position") < max_test).select(order_by)

@@ -9,21 +9,23 @@ OTHER = "Other"
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value, most first."""
-    return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
+    """Rows per value, most first; rows without a value are not counted."""
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column)
 
 
 def value_counts_in_order(df: DataFrame, column: str) -> DataFrame:
-    """Rows per value, in value order."""
-    return df.groupBy(column).agg(F.count("*").alias("n")).orderBy(column)
+    """Rows per value, in value order; rows without a value are not counted."""
+    return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n")).orderBy(column)
 
 
 def top_k_and_other(counts: DataFrame, column: str, k: int = 6) -> DataFrame:
     """The ``k`` largest counts and the sum of the rest; empty lines drop out.
 
     ``column`` becomes a label, and a value that reads "Other" stays apart from
-    the rest line. Only the ``k`` kept rows are broadcast.
+    the rest line. A count of rows without a value is no line and not in the
+    rest. Only the ``k`` kept rows are broadcast.
     """
+    counts = counts.where(F.col(column).isNotNull())
     kept = counts.orderBy(F.desc("n"), column).limit(k).select(column, F.lit(False).alias("is_rest"))
     labelled = counts.join(F.broadcast(kept), column, "left").select(
         F.coalesce("is_rest", F.lit(True)).alias("is_rest"), column, "n"
@@ -50,8 +52,9 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width bins between the smallest and largest value, the last one
     closed; empty bins are listed. If all values are equal, the range reaches
     half a unit to both sides. A value belongs to the bin whose printed edges
-    enclose it, also where the division rounds across an edge."""
-    values = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull())
+    enclose it, also where the division rounds across an edge. Nulls and NaN
+    are in no bin."""
+    values = df.select(F.col(column).cast("double").alias("x")).where("x IS NOT NULL AND NOT isnan(x)")
     low, high = values.agg(F.min("x")).scalar(), values.agg(F.max("x")).scalar()
     widen = F.when(F.col("low0") == F.col("high0"), F.lit(0.5)).otherwise(F.lit(0.0))
 

@@ -31,31 +31,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-# Words that part names are made of, in name order; the categories of the views.
-WORDS = (
-    "anvil",
-    "blue",
-    "bolt",
-    "cold",
-    "gear",
-    "gizmo",
-    "hot",
-    "large",
-    "new",
-    "old",
-    "plate",
-    "red",
-    "ring",
-    "rod",
-    "small",
-    "widget",
-)
-# A smaller vocabulary, so that the check has something to report.
-KNOWN_WORDS = WORDS[:10]
-
 MIN_SUPPORT_TOP = 25
 MIN_RATINGS_ACTIVE = 50
 CAPPED_TEST_ROWS = 100
+# Users to look up; the last one is none.
+ASKED_USERS = (1, 50, 100, -1)
 
 
 def query(function: Query) -> Query:
@@ -73,7 +53,7 @@ def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _active_favourites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preferences.favourite_category(
-        views.ratings(spark, sf_dir), views.items(spark, sf_dir), MIN_RATINGS_ACTIVE, WORDS
+        views.ratings(spark, sf_dir), views.items(spark, sf_dir), MIN_RATINGS_ACTIVE, views.words(spark, sf_dir)
     )
 
 
@@ -130,12 +110,12 @@ def dataset_profile(spark, sf_dir):
 
 @query
 def users_low_balance(spark, sf_dir):
-    return _low_balance(spark, sf_dir)
+    return cohorts.by_column(_low_balance(spark, sf_dir), "balance")
 
 
 @query
 def users_segment_range(spark, sf_dir):
-    return _segment(spark, sf_dir)
+    return cohorts.by_column(_segment(spark, sf_dir), "balance")
 
 
 @query
@@ -160,7 +140,17 @@ def favourite_genre_active(spark, sf_dir):
 
 @query
 def favourite_genre_all(spark, sf_dir):
-    return preferences.favourite_category(views.ratings(spark, sf_dir), views.items(spark, sf_dir), 1, WORDS)
+    return preferences.favourite_category(
+        views.ratings(spark, sf_dir), views.items(spark, sf_dir), 1, views.words(spark, sf_dir)
+    )
+
+
+@query
+def favourite_genre_wide(spark, sf_dir):
+    """Without a vocabulary."""
+    return preferences.favourite_of_many(
+        views.ratings(spark, sf_dir), views.items(spark, sf_dir), MIN_RATINGS_ACTIVE
+    )
 
 
 # Recommendations
@@ -179,12 +169,12 @@ def seen_pairs(spark, sf_dir):
 @query
 def unrated_candidates(spark, sf_dir):
     ratings, items = views.ratings(spark, sf_dir), views.items(spark, sf_dir)
-    return rec.unrated_counts(ratings, items, stats=_stats(spark, sf_dir), labels=WORDS)
+    return rec.unrated_counts(ratings, items, stats=_stats(spark, sf_dir), labels=views.words(spark, sf_dir))
 
 
 def _best_unrated(spark: SparkSession, sf_dir: str, direction: str, n: int = 5) -> DataFrame:
     ratings, items = views.ratings(spark, sf_dir), views.items(spark, sf_dir)
-    return rec.best_unrated(ratings, items, n, 5, direction, _stats(spark, sf_dir), WORDS)
+    return rec.best_unrated(ratings, items, n, 5, direction, _stats(spark, sf_dir), views.words(spark, sf_dir))
 
 
 def _recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,6 +237,14 @@ def genre_top6_other(spark, sf_dir):
     return summaries.top_k_and_other(counts, "favorite_genre", 6)
 
 
+@query
+def genre_top6_other_nulls(spark, sf_dir):
+    """With a line for users who have no favourite, which is neither kept nor in the rest."""
+    users = views.users(spark, sf_dir).select("user_id").join(_active_favourites(spark, sf_dir), "user_id", "left")
+    counts = users.groupBy("favorite_genre").agg(F.count("*").alias("n"))
+    return summaries.top_k_and_other(counts, "favorite_genre", 6)
+
+
 @query
 def genre_share_pct(spark, sf_dir):
     counts = summaries.value_counts(_active_favourites(spark, sf_dir), "favorite_genre")
@@ -281,14 +279,16 @@ def recs_wide_lookup(spark, sf_dir):
     return reshape.wide_to_list(reshape.to_wide(_recommendations(spark, sf_dir)))
 
 
-def _short_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lists of three, so that the last two of five ranks are missing."""
-    return _best_unrated(spark, sf_dir, "desc", 3)
+@query
+def recs_wide_lookup_defaults(spark, sf_dir):
+    """Lists of three in rows for five, so that the last two ranks are missing."""
+    return reshape.wide_to_full_list(reshape.to_wide(_best_unrated(spark, sf_dir, "desc", 3), 5))
 
 
 @query
-def recs_wide_lookup_defaults(spark, sf_dir):
-    return reshape.wide_to_full_list(reshape.to_wide(_short_lists(spark, sf_dir)))
+def recs_wide_ten(spark, sf_dir):
+    """Ten ranks stored and ten shown."""
+    return reshape.wide_to_full_list(reshape.to_wide(_best_unrated(spark, sf_dir, "desc", 10), 10))
 
 
 @query
@@ -317,6 +317,19 @@ def exclusions_flattened(spark, sf_dir):
     return reshape.flatten_documents(sources.read_documents(spark, path, schemas.EXCLUSION_DOCUMENT))
 
 
+def _stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "documents")
+    sinks.replace_table(reshape.to_documents(_exclusions(spark, sf_dir)), path, ["user_id"])
+    return sources.read_table(spark, path, schemas.EXCLUSION_DOCUMENT)
+
+
+@query
+def document_find(spark, sf_dir):
+    """Documents of a list of users, one of whom does not exist."""
+    found = lookup.lookup(_stored_documents(spark, sf_dir), ASKED_USERS)
+    return found.select("user_id", "found", "favorite_genre", F.size("blacklisted_movies").alias("entries"))
+
+
 @query
 def rating_matrix_map(spark, sf_dir):
     matrix = reshape.rating_matrix(views.ratings(spark, sf_dir))
@@ -328,8 +341,21 @@ def rating_matrix_map(spark, sf_dir):
 
 @query
 def rating_matrix_row(spark, sf_dir):
-    matrix = reshape.rating_matrix(views.ratings(spark, sf_dir))
-    return reshape.fetch_rows(matrix, _low_balance(spark, sf_dir))
+    return reshape.rows_of_ratings(views.ratings(spark, sf_dir), _low_balance(spark, sf_dir))
+
+
+@query
+def rating_matrix_fetch(spark, sf_dir):
+    """Rows of some users from a stored matrix."""
+    path = fresh_path(spark, "matrix")
+    sinks.replace_table(reshape.rating_matrix(views.ratings(spark, sf_dir)), path, ["user_id", "segment"])
+    return reshape.fetch_rows(sources.read_table(spark, path), ASKED_USERS)
+
+
+@query
+def rating_matrix_floats(spark, sf_dir):
+    halves = views.ratings(spark, sf_dir).withColumn("rating", F.col("rating") / 2 - 1)
+    return reshape.matrix_cells(reshape.rating_matrix(halves))
 
 
 @query
@@ -340,6 +366,14 @@ def profile_lookup(spark, sf_dir):
     )
 
 
+@query
+def lookup_ids(spark, sf_dir):
+    """Profiles of a list of ids, one of which does not exist."""
+    path = fresh_path(spark, "users")
+    sinks.replace_table(views.users(spark, sf_dir), path, ["user_id"])
+    return lookup.lookup(sources.read_table(spark, path), ASKED_USERS)
+
+
 # Tables and files
 
 
@@ -355,7 +389,7 @@ def keyed_table_upsert(spark, sf_dir):
 def clustered_table_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "by_genre")
     stats = rec.category_item_stats(_stats(spark, sf_dir), views.items(spark, sf_dir))
-    ranked = ranking.top_n_per_key(stats, ["genre"], list(rating_ops.best_first()), 100)
+    ranked = ranking.ordinals(stats, "genre", list(rating_ops.best_first()), "rank")
     sinks.write_clustered(ranked, path, ["genre", "rank"])
     return sources.read_table(spark, path, ranked.schema)
 
@@ -378,6 +412,35 @@ def csv_export_roundtrip(spark, sf_dir):
     return sources.read_export(spark, path, schemas.ITEM_AVERAGE)
 
 
+def _padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blanks = F.repeat(F.lit(" "), (F.col("item_id") % 3).cast("int"))
+    return _averages(spark, sf_dir).withColumn("title", F.concat(blanks, "title", F.lit('" '), blanks))
+
+
+@query
+def csv_export_padded(spark, sf_dir):
+    """Blanks and quotes around titles survive."""
+    path = fresh_path(spark, "averages")
+    sinks.write_export(_padded(spark, sf_dir), path)
+    return sources.read_export(spark, path, schemas.ITEM_AVERAGE)
+
+
+@query
+def cached_padded(spark, sf_dir):
+    base = fresh_path(spark, "results")
+    build = lambda: _padded(spark, sf_dir)
+    return sinks.materialize_or_load(spark, base, "padded", {}, build, schemas.ITEM_AVERAGE, [f"{sf_dir}/part.parquet"])
+
+
+@query
+def export_inferred(spark, sf_dir):
+    """An export read without a schema."""
+    path = fresh_path(spark, "averages")
+    sinks.write_export(_averages(spark, sf_dir), path)
+    read = sources.read_export(spark, path)
+    return read.select(F.col("item_id").cast("bigint").alias("item_id"), "title", "avg_rating", F.col("rating_count").cast("bigint").alias("rating_count"))
+
+
 @query
 def cached_result(spark, sf_dir):
     """Stored under its parameters by the first call, loaded by the second."""
@@ -409,15 +472,68 @@ def scan_ratings_tsv(spark, sf_dir):
 
 
 @query
-def scan_items_flags(spark, sf_dir):
+def scan_ratings_float(spark, sf_dir):
+    halves = views.ratings(spark, sf_dir).withColumn("rating", F.col("rating") / 2 - 1)
+    return sources.read_ratings(spark, _write_lines(halves, "\t", "ratings"), "double")
+
+
+def _bad_ratings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Ratings in a file of which some lines have text for a number, a field
+    too few or too many, or an empty one."""
+    ratings = views.ratings(spark, sf_dir)
+    lines = F.concat_ws("\t", *[F.col(name).cast("string") for name in ratings.columns])
+    spoiled = (
+        F.when(F.col("item_id") % 50 == 1, F.concat(F.lit("x"), lines))
+        .when(F.col("item_id") % 50 == 2, F.regexp_replace(lines, "\t[^\t]*$", ""))
+        .when(F.col("item_id") % 50 == 3, F.concat(lines, F.lit("\t0")))
+        .when(F.col("item_id") % 50 == 4, F.regexp_replace(lines, "\t[^\t]*\t", "\t\t"))
+        .otherwise(lines)
+    )
+    path = fresh_path(spark, "ratings")
+    ratings.select(spoiled).write.text(path)
+    return sources.split_bad_lines(spark, path, schemas.RATING, "\t")
+
+
+@query
+def good_lines(spark, sf_dir):
+    return _bad_ratings(spark, sf_dir)[0]
+
+
+@query
+def bad_lines_set_aside(spark, sf_dir):
+    bad = _bad_ratings(spark, sf_dir)[1]
+    return bad.groupBy(F.size(F.split("_bad_line", "\t")).alias("fields")).agg(F.count("*").alias("n"))
+
+
+def _item_lines(spark: SparkSession, sf_dir: str, labels) -> str:
     parts = views.table(spark, sf_dir, "part")
     words = F.split("p_name", " ")
-    flags = [F.array_contains(words, word).cast("int").alias(f"flag_{word}") for word in WORDS]
+    flags = [F.array_contains(words, word).cast("int").alias(f"flag_{word}") for word in labels]
     raw = parts.select("p_partkey", "p_name", "p_type", F.lit("").alias("video"), "p_brand", *flags)
-    read = sources.read_items(spark, _write_lines(raw, "|", "items"), WORDS)
+    return _write_lines(raw, "|", "items")
+
+
+@query
+def scan_items_flags(spark, sf_dir):
+    labels = views.words(spark, sf_dir)
+    read = sources.read_items(spark, _item_lines(spark, sf_dir, labels), labels)
+    return read.withColumn("genres", F.array_join("genres", " "))
+
+
+@query
+def scan_items_undated(spark, sf_dir):
+    labels = views.words(spark, sf_dir)
+    read = sources.read_items(spark, _item_lines(spark, sf_dir, labels), labels, with_date=False)
     return read.withColumn("genres", F.array_join("genres", " "))
 
 
+@query
+def scan_columns_subset(spark, sf_dir):
+    """Two of four named columns."""
+    path = _write_lines(views.ratings(spark, sf_dir), "\t", "ratings")
+    return sources.read_delimited(spark, path, schemas.RATING, "\t", columns=["item_id", "rating"])
+
+
 @query
 def scan_users_pipe(spark, sf_dir):
     raw = views.table(spark, sf_dir, "customer").select(
@@ -433,14 +549,24 @@ def scan_users_pipe(spark, sf_dir):
 
 @query
 def vocabulary_check(spark, sf_dir):
+    """Words of part names that are no part type."""
     exploded = preferences.item_categories(views.items(spark, sf_dir))
-    return sources.outside_vocabulary(exploded, "genre", KNOWN_WORDS)
+    types = views.table(spark, sf_dir, "part").select(F.lower("p_type").alias("genre")).distinct()
+    return sources.outside_vocabulary(exploded, "genre", types)
+
+
+@query
+def occupation_check(spark, sf_dir):
+    """Occupations that the fixed list lacks; one user in three has one of it."""
+    listed = F.when(F.col("user_id") % 3 == 0, F.lit(schemas.OCCUPATIONS[0])).otherwise(F.col("occupation"))
+    users = views.users(spark, sf_dir).withColumn("occupation", listed)
+    return sources.outside_vocabulary(users, "occupation", schemas.OCCUPATIONS)
 
 
 @query
 def vocabulary_index(spark, sf_dir):
     exploded = preferences.item_categories(views.items(spark, sf_dir)).select("item_id", "genre")
-    return exploded.join(sources.vocabulary(spark, WORDS), "genre")
+    return exploded.join(sources.vocabulary(spark, views.words(spark, sf_dir)), "genre")
 
 
 # Splits
@@ -478,4 +604,4 @@ def ratings_in_order(spark, sf_dir):
 
 @query
 def event_ordinals(spark, sf_dir):
-    return ranking.ordinals(views.events(spark, sf_dir), "user_id", ["event_id"])
+    return ranking.with_ordinals(views.events(spark, sf_dir), "user_id", "event_id")

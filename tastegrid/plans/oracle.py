@@ -1,6 +1,6 @@
-"""Plain SQL for every registered query, written the direct way: joins before
-groups, whole candidate lists, one window over everything. The queries reach
-the same rows by other plans."""
+"""Plain SQL for every registered query, from the definition of its result:
+whole candidate lists, correlated tests, one window over everything. The
+queries reach the same rows by other plans."""
 
 from __future__ import annotations
 
@@ -18,32 +18,38 @@ _USERS = """users AS (
   SELECT c_custkey AS user_id, c_mktsegment AS occupation, c_acctbal AS balance, n_name AS nation
   FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
 
-_AVERAGES = """averages AS (
-  SELECT r.item_id, i.title, round(avg(r.rating), 4) AS avg_rating, count(r.rating) AS rating_count
-  FROM ratings r JOIN items i ON r.item_id = i.item_id GROUP BY r.item_id, i.title)"""
+# An item's mean is the sum of its ratings over their number; its title is
+# looked up afterwards.
+_AVERAGES = """item_totals AS (
+  SELECT item_id, sum(rating) AS points, count(rating) AS votes FROM ratings GROUP BY item_id),
+averages AS (
+  SELECT item_id, title, round(points / votes, 4) AS avg_rating, votes AS rating_count
+  FROM item_totals JOIN items USING (item_id))"""
 
-_GENRE_COUNTS = """genre_counts AS (
-  SELECT r.user_id, g.genre, count(*) AS genre_count
-  FROM ratings r JOIN item_genres g ON r.item_id = g.item_id GROUP BY r.user_id, g.genre)"""
+# A rating counts once for each word of its item.
+_GENRE_COUNTS = """labelled AS (SELECT user_id, unnest(genres) AS genre FROM items JOIN ratings USING (item_id)),
+genre_counts AS (SELECT user_id, genre, count(*) AS genre_count FROM labelled GROUP BY ALL)"""
 
+# The word with most ratings, the first by name among equals.
 _FAVOURITES = """favourites AS (
-  SELECT user_id, genre AS favorite_genre, genre_count AS genre_rating_count FROM genre_counts
-  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY genre_count DESC, genre) = 1)"""
+  SELECT user_id, arg_min(genre, {'fewer': -genre_count, 'name': genre}) AS favorite_genre,
+         max(genre_count) AS genre_rating_count
+  FROM genre_counts GROUP BY user_id)"""
 
 _ACTIVE = """active AS (SELECT user_id, count(*) AS rating_count FROM ratings GROUP BY user_id HAVING count(*) >= 50),
 active_favourites AS (SELECT f.* FROM favourites f JOIN active a ON f.user_id = a.user_id)"""
 
+# An item with enough ratings stands, with its own mean, under each of its words.
 _GENRE_ITEMS = """genre_items AS (
-  SELECT g.genre, g.item_id, g.title, round(avg(r.rating), 4) AS avg_rating, count(*) AS rating_count
-  FROM ratings r JOIN item_genres g ON r.item_id = g.item_id
-  GROUP BY g.genre, g.item_id, g.title HAVING count(*) >= 5)"""
+  SELECT unnest(genres) AS genre, item_id, title, avg_rating, rating_count
+  FROM averages JOIN items USING (item_id, title) WHERE rating_count >= 5)"""
 
+# What is open to a user: the items of the favourite word without a rating by that user.
 _CANDIDATES = """candidates AS (
-  SELECT f.user_id, q.item_id, q.title, q.avg_rating, f.favorite_genre AS fav_genre
-  FROM favourites f JOIN genre_items q ON f.favorite_genre = q.genre
-  LEFT JOIN (SELECT DISTINCT user_id, item_id FROM ratings) s
-    ON f.user_id = s.user_id AND q.item_id = s.item_id
-  WHERE s.item_id IS NULL)"""
+  SELECT user_id, item_id, title, avg_rating, favorite_genre AS fav_genre
+  FROM genre_items, favourites
+  WHERE genre = favorite_genre AND NOT EXISTS (
+    FROM ratings WHERE ratings.user_id = favourites.user_id AND ratings.item_id = genre_items.item_id))"""
 
 
 def _ranked(name: str, direction: str, n: int = 5) -> str:
@@ -57,7 +63,7 @@ _BASE = [_RATINGS, _ITEMS]
 _AVG = [*_BASE, _AVERAGES]
 _FAV = [*_BASE, _GENRE_COUNTS, _FAVOURITES]
 _ACT = [*_FAV, _ACTIVE]
-_CAND = [*_FAV, _GENRE_ITEMS, _CANDIDATES]
+_CAND = [*_FAV, _AVERAGES, _GENRE_ITEMS, _CANDIDATES]
 _RECS = [*_CAND, _ranked("recs", "DESC")]
 _EXCL = [*_CAND, _ranked("excl", "ASC")]
 
@@ -106,25 +112,31 @@ _CELLS = """cells AS (
   SELECT user_id, item_id, rating FROM ratings
   QUALIFY row_number() OVER (PARTITION BY user_id, item_id ORDER BY ts DESC, rating DESC) = 1)"""
 
-_WORDS = "('anvil',0),('blue',1),('bolt',2),('cold',3),('gear',4),('gizmo',5),('hot',6),('large',7),\
-('new',8),('old',9),('plate',10),('red',11),('ring',12),('rod',13),('small',14),('widget',15)"
+_HALVES = "halves AS (SELECT user_id, item_id, rating / 2 - 1 AS rating, ts FROM ratings)"
+
+_ASKED = "asked AS (SELECT unnest([1, 50, 100, -1])::BIGINT AS user_id)"
+
+_FULL_LIST = """, asked AS (SELECT user_id, CAST(k AS INTEGER) AS rank
+  FROM (SELECT DISTINCT user_id FROM recs), range(1, {end}) t(k))
+SELECT printf('user_%06d', a.user_id) AS row_key, a.rank, coalesce(CAST(r.item_id AS VARCHAR), 'N/A') AS movie_id,
+  coalesce(r.title, 'Unknown Title') AS title,
+  CASE WHEN r.item_id IS NULL THEN 'N/A' ELSE printf('%.4f', r.avg_rating) END AS avg_rating
+FROM asked a LEFT JOIN recs r ON a.user_id = r.user_id AND a.rank = r.rank"""
 
 
 def _holdout(start: int, stop: int, max_test: int = 0) -> str:
     capped = f" AND eligible_before < {max_test}" if max_test else ""
     return f"""WITH numbered AS (
-  SELECT event_id, user_id, event_type,
-         row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ordinal FROM events),
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ordinal FROM events),
 running AS (
   SELECT *, coalesce(sum(CASE WHEN ordinal BETWEEN {start} AND {stop} THEN 1 ELSE 0 END) OVER (
     ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS eligible_before FROM numbered)
-SELECT event_id, user_id, event_type,
+SELECT * EXCLUDE (ordinal, eligible_before),
        CASE WHEN ordinal BETWEEN {start} AND {stop}{capped} THEN 'test' ELSE 'base' END AS role FROM running"""
 
 
 _FOLDS = """folds AS (
-  SELECT event_id, user_id, event_type,
-         CAST((row_number() OVER (ORDER BY event_id) - 1) * 5 // count(*) OVER () + 1 AS INTEGER) AS fold
+  SELECT *, CAST((row_number() OVER (ORDER BY event_id) - 1) * 5 // count(*) OVER () + 1 AS INTEGER) AS fold
   FROM events)"""
 
 ORACLE: dict[str, str] = {
@@ -152,7 +164,8 @@ ORACLE: dict[str, str] = {
     "user_genre_counts": _sql([*_BASE, _GENRE_COUNTS], "SELECT * FROM genre_counts"),
     "favourite_genre_active": _sql(_ACT, "SELECT * FROM active_favourites ORDER BY user_id"),
     "favourite_genre_all": _sql(_FAV, "SELECT * FROM favourites"),
-    "genre_item_stats": _sql([*_BASE, _GENRE_ITEMS], "SELECT * FROM genre_items"),
+    "favourite_genre_wide": _sql(_ACT, "SELECT * FROM active_favourites"),
+    "genre_item_stats": _sql([*_AVG, _GENRE_ITEMS], "SELECT * FROM genre_items"),
     "seen_pairs": _sql([_RATINGS], "SELECT DISTINCT user_id, item_id FROM ratings"),
     "unrated_candidates": _sql(
         _CAND,
@@ -174,6 +187,12 @@ GROUP BY item_id, title ORDER BY excluded_for DESC, avg_rating, item_id""",
     "genre_top6_other": _sql(
         [*_ACT, _FAV_COUNTS],
         """, placed AS (SELECT *, row_number() OVER (ORDER BY n DESC, favorite_genre) AS place FROM counts)
+SELECT place > 6 AS is_rest, CASE WHEN place > 6 THEN 'Other' ELSE favorite_genre END AS favorite_genre,
+       CAST(sum(n) AS BIGINT) AS n FROM placed GROUP BY 1, 2 HAVING sum(n) > 0""",
+    ),
+    "genre_top6_other_nulls": _sql(
+        [*_ACT, _FAV_COUNTS],
+        """, placed AS (SELECT *, row_number() OVER (ORDER BY n DESC, favorite_genre) AS place FROM counts)
 SELECT place > 6 AS is_rest, CASE WHEN place > 6 THEN 'Other' ELSE favorite_genre END AS favorite_genre,
        CAST(sum(n) AS BIGINT) AS n FROM placed GROUP BY 1, 2 HAVING sum(n) > 0""",
     ),
@@ -196,15 +215,8 @@ SELECT *, CASE WHEN pct >= 1.0 THEN printf('%.1f%%', pct) END AS label FROM pcts
         """SELECT printf('user_%06d', user_id) AS row_key, rank, item_id, title,
   printf('%.4f', avg_rating) AS avg_rating FROM recs""",
     ),
-    "recs_wide_lookup_defaults": _sql(
-        [*_CAND, _ranked("recs", "DESC", 3)],
-        """, asked AS (SELECT user_id, CAST(k AS INTEGER) AS rank
-  FROM (SELECT DISTINCT user_id FROM recs), range(1, 6) t(k))
-SELECT printf('user_%06d', a.user_id) AS row_key, a.rank, coalesce(CAST(r.item_id AS VARCHAR), 'N/A') AS movie_id,
-  coalesce(r.title, 'Unknown Title') AS title,
-  CASE WHEN r.item_id IS NULL THEN 'N/A' ELSE printf('%.4f', r.avg_rating) END AS avg_rating
-FROM asked a LEFT JOIN recs r ON a.user_id = r.user_id AND a.rank = r.rank""",
-    ),
+    "recs_wide_lookup_defaults": _sql([*_CAND, _ranked("recs", "DESC", 3)], _FULL_LIST.format(end=6)),
+    "recs_wide_ten": _sql([*_CAND, _ranked("recs", "DESC", 10)], _FULL_LIST.format(end=11)),
     "wide_key_count": _sql(_RECS, "SELECT count(DISTINCT user_id) AS stored_users FROM recs"),
     "exclusions_nested": _sql(
         _EXCL,
@@ -216,6 +228,12 @@ FROM excl GROUP BY user_id""",
         _EXCL,
         """SELECT user_id, fav_genre AS favorite_genre, rank AS avoid_rank, item_id, title,
   avg_rating AS global_avg_rating FROM excl""",
+    ),
+    "document_find": _sql(
+        [*_EXCL, _ASKED],
+        """SELECT a.user_id, count(e.item_id) > 0 AS found, min(e.fav_genre) AS favorite_genre,
+  CASE WHEN count(e.item_id) > 0 THEN CAST(count(e.item_id) AS INTEGER) END AS entries
+FROM asked a LEFT JOIN excl e ON a.user_id = e.user_id GROUP BY a.user_id""",
     ),
     "rating_matrix_map": _sql(
         [_RATINGS, _CELLS],
@@ -226,6 +244,17 @@ FROM excl GROUP BY user_id""",
         [_RATINGS, _CELLS, _USERS],
         f"SELECT user_id, item_id, rating FROM cells WHERE user_id IN (SELECT user_id FROM users WHERE {_LOW})",
     ),
+    "rating_matrix_fetch": _sql(
+        [_RATINGS, _CELLS, _ASKED], "SELECT user_id, item_id, rating FROM cells SEMI JOIN asked USING (user_id)"
+    ),
+    "rating_matrix_floats": _sql(
+        [_RATINGS, _CELLS], "SELECT user_id, item_id, rating / 2 - 1 AS rating FROM cells"
+    ),
+    "lookup_ids": _sql(
+        [_USERS, _ASKED],
+        """SELECT a.user_id, u.occupation, u.balance, u.nation, u.user_id IS NOT NULL AS found
+FROM asked a LEFT JOIN users u ON a.user_id = u.user_id""",
+    ),
     "profile_lookup": _sql(
         [*_ACT, _USERS],
         """SELECT u.user_id, coalesce(f.favorite_genre, 'Unknown') AS favorite_genre, f.genre_rating_count,
@@ -238,16 +267,34 @@ FROM users u LEFT JOIN active_favourites f ON u.user_id = f.user_id""",
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, item_id DESC, rating DESC) = 1""",
     ),
     "clustered_table_roundtrip": _sql(
-        [*_BASE, _GENRE_ITEMS],
-        """SELECT *, CAST(row_number() OVER (PARTITION BY genre ORDER BY avg_rating DESC, item_id) AS INTEGER) AS rank
-FROM genre_items QUALIFY rank <= 100""",
+        [*_AVG, _GENRE_ITEMS],
+        "SELECT *, row_number() OVER (PARTITION BY genre ORDER BY avg_rating DESC, item_id) AS rank FROM genre_items",
     ),
     "table_readback_check": _sql(
         _AVG, "SELECT count(*) AS stored_rows, CAST(0 AS BIGINT) AS differing_rows FROM averages"
     ),
     "csv_export_roundtrip": _sql(_AVG, "SELECT * FROM averages"),
+    **dict.fromkeys(
+        ("csv_export_padded", "cached_padded"),
+        _sql(
+            _AVG,
+            """SELECT * REPLACE (repeat(' ', item_id % 3) || title || '" ' || repeat(' ', item_id % 3) AS title)
+FROM averages""",
+        ),
+    ),
+    "export_inferred": _sql(_AVG, "SELECT * FROM averages"),
     "cached_result": _sql(_ACT, "SELECT * FROM active_favourites"),
     "scan_ratings_tsv": _sql([_RATINGS], "SELECT *, CAST(rating AS DOUBLE) AS rating_value FROM ratings"),
+    "scan_ratings_float": _sql([_RATINGS, _HALVES], "SELECT * FROM halves"),
+    "good_lines": _sql([_RATINGS], "SELECT * FROM ratings WHERE item_id % 50 NOT IN (1, 2, 3, 4)"),
+    "bad_lines_set_aside": _sql(
+        [_RATINGS],
+        """SELECT CAST(CASE item_id % 50 WHEN 2 THEN 3 WHEN 3 THEN 5 ELSE 4 END AS INTEGER) AS fields, count(*) AS n
+FROM ratings WHERE item_id % 50 IN (1, 2, 3, 4) GROUP BY 1""",
+    ),
+    "scan_columns_subset": _sql([_RATINGS], "SELECT item_id, rating FROM ratings"),
+    "scan_items_undated": """SELECT p_partkey AS item_id, p_name AS title,
+  array_to_string(list_sort(string_split(p_name, ' ')), ' ') AS genres FROM part""",
     "scan_items_flags": """SELECT p_partkey AS item_id, p_name AS title, p_type AS release_date,
   array_to_string(list_sort(string_split(p_name, ' ')), ' ') AS genres FROM part""",
     "scan_users_pipe": """SELECT c_custkey AS user_id, CAST(c_custkey % 60 + 10 AS INTEGER) AS age,
@@ -257,12 +304,15 @@ FROM genre_items QUALIFY rank <= 100""",
     "vocabulary_check": _sql(
         [_ITEMS],
         """SELECT genre, count(*) AS row_count FROM item_genres
-WHERE genre NOT IN ('anvil','blue','bolt','cold','gear','gizmo','hot','large','new','old') GROUP BY genre""",
+WHERE genre NOT IN (SELECT lower(p_type) FROM part) GROUP BY genre""",
+    ),
+    "occupation_check": _sql(
+        [_USERS],
+        "SELECT occupation, count(*) AS row_count FROM users WHERE user_id % 3 <> 0 GROUP BY occupation",
     ),
     "vocabulary_index": _sql(
         [_ITEMS],
-        f"""SELECT g.genre, g.item_id, CAST(v.i AS INTEGER) AS genre_index
-FROM item_genres g JOIN (VALUES {_WORDS}) v(word, i) ON g.genre = v.word""",
+        "SELECT genre, item_id, CAST(dense_rank() OVER (ORDER BY genre) - 1 AS INTEGER) AS genre_index FROM item_genres",
     ),
     "kfold_split": _sql([_FOLDS], "SELECT * FROM folds"),
     "kfold_sizes": _sql(
@@ -274,6 +324,5 @@ FROM folds, range(1, 6) t(s) GROUP BY 1, 2""",
     "holdout_next10": _holdout(11, 20),
     "holdout_capped": _holdout(1, 10, 100),
     "ratings_in_order": _sql([_RATINGS], "SELECT * FROM ratings ORDER BY user_id, item_id, rating, ts"),
-    "event_ordinals": """SELECT event_id, user_id, event_type,
-  row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ordinal FROM events""",
+    "event_ordinals": "SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS ordinal FROM events",
 }

@@ -16,7 +16,7 @@ SCHEMAS = {
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
     "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
     "nation": "n_nationkey int, n_name string",
-    "events": "event_id bigint, user_id bigint, event_type string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
 
@@ -43,8 +43,7 @@ def item_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").where("l_partkey is not null")
-    orders = table(spark, sf_dir, "orders").where("o_custkey is not null")
+    lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").alias("user_id"),
         F.col("l_partkey").alias("item_id"),
@@ -59,6 +58,20 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Most words that part names may be made of; the category operators hold a
+# counter for each.
+MOST_WORDS = 64
+
+
+def words(spark: SparkSession, sf_dir: str) -> tuple[str, ...]:
+    """The words that part names are made of, in name order: the categories."""
+    names = table(spark, sf_dir, "part").select(F.explode(F.split("p_name", " ")).alias("word"))
+    found = [row.word for row in names.distinct().orderBy("word").limit(MOST_WORDS + 1).collect()]
+    if len(found) > MOST_WORDS:
+        raise ValueError(f"part names are made of more than {MOST_WORDS} words")
+    return tuple(found)
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles; the account balance stands in for the age."""
     nations = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("nation"))

@@ -12,10 +12,8 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
 _LONG, _INT, _TEXT, _DOUBLE = T.LongType(), T.IntegerType(), T.StringType(), T.DoubleType()
 
 RATING = _struct(("user_id", _LONG), ("item_id", _LONG), ("rating", _INT), ("ts", _LONG))
+FLOAT_RATING = _struct(("user_id", _LONG), ("item_id", _LONG), ("rating", _DOUBLE), ("ts", _LONG))
 USER = _struct(("user_id", _LONG), ("age", _INT), ("gender", _TEXT), ("occupation", _TEXT), ("zip_code", _TEXT))
-ITEM = _struct(
-    ("item_id", _LONG), ("title", _TEXT), ("release_date", _TEXT), ("genres", T.ArrayType(_TEXT, False))
-)
 ITEM_AVERAGE = _struct(("item_id", _LONG), ("title", _TEXT), ("avg_rating", _DOUBLE), ("rating_count", _LONG))
 TOP_ITEM = _struct(*((f.name, f.dataType) for f in ITEM_AVERAGE), ("rank", _INT), ("partition_key", _INT))
 FAVOURITE = _struct(("user_id", _LONG), ("favorite_genre", _TEXT), ("genre_rating_count", _LONG))

@@ -1,13 +1,22 @@
 """Keyed tables, exports and stored results, all written by the executors."""
 
-from tastegrid.sinks.cache import materialize_or_load
-from tastegrid.sinks.tables import differences, keep_one_per_key, replace_table, write_clustered, write_export
+from tastegrid.sinks.cache import inputs_version, materialize_or_load
+from tastegrid.sinks.tables import (
+    differences,
+    keep_one_per_key,
+    replace_table,
+    swap_in,
+    write_clustered,
+    write_export,
+)
 
 __all__ = [
     "differences",
+    "inputs_version",
     "keep_one_per_key",
     "materialize_or_load",
     "replace_table",
+    "swap_in",
     "write_clustered",
     "write_export",
 ]

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+import hashlib
+from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tastegrid.sinks.tables import write_export
-from tastegrid.sources.stored import path_exists, read_export
+from tastegrid.sinks.tables import swap_in
+from tastegrid.sources.stored import path_exists, read_table
 
 
 def result_path(base: str, name: str, params: Mapping[str, object]) -> str:
@@ -19,6 +20,22 @@ def result_path(base: str, name: str, params: Mapping[str, object]) -> str:
     return "/".join([base.rstrip("/"), name, *parts])
 
 
+def inputs_version(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Changes with the names, lengths and times of the files below ``paths``."""
+    seen = hashlib.md5()
+    for path in paths:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
+        listed = []
+        if files.exists(jvm_path):
+            found = files.listFiles(jvm_path, True)
+            while found.hasNext():
+                one = found.next()
+                listed.append(f"{one.getPath()} {one.getLen()} {one.getModificationTime()}")
+        seen.update("\n".join([path, *sorted(listed)]).encode())
+    return seen.hexdigest()
+
+
 def materialize_or_load(
     spark: SparkSession,
     base: str,
@@ -26,10 +43,13 @@ def materialize_or_load(
     params: Mapping[str, object],
     build: Callable[[], DataFrame],
     schema: T.StructType,
+    inputs: Sequence[str] = (),
 ) -> DataFrame:
     """Load the stored result, or build and store it first. A write that did
-    not finish has no success mark and is done again."""
-    path = result_path(base, name, params)
+    not finish has no success mark and is done again, as is one from
+    ``inputs`` whose files have changed since."""
+    version = {"inputs": inputs_version(spark, inputs)} if inputs else {}
+    path = result_path(base, name, {**params, **version})
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_export(build().select(*schema.names), path)
-    return read_export(spark, path, schema)
+        swap_in(spark, path, build().select(*schema.names).write.parquet)
+    return read_table(spark, path, schema)

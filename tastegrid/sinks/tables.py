@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from tastegrid.operators.ranking import first_per_key
+from tastegrid.session import remove_path
 
 
 def keep_one_per_key(df: DataFrame, key: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
@@ -14,6 +16,29 @@ def keep_one_per_key(df: DataFrame, key: Sequence[str], newest_first: Sequence[C
     return first_per_key(df, key, newest_first)
 
 
+def swap_in(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` fill a folder beside ``path``, and put it in its place.
+
+    A reader finds the old table or the new one, but for the moment between two
+    renames, and a write that fails leaves the old one as it was.
+    """
+    mark = uuid.uuid4().hex
+    fresh, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
+    try:
+        write(fresh)
+    except BaseException:
+        remove_path(spark, fresh)
+        raise
+    to_path = spark._jvm.org.apache.hadoop.fs.Path
+    files = to_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    replaced = files.exists(to_path(path)) and files.rename(to_path(path), to_path(old))
+    files.mkdirs(to_path(path).getParent())
+    if not files.rename(to_path(fresh), to_path(path)):
+        raise RuntimeError(f"could not move {fresh} to {path}")
+    if replaced:
+        remove_path(spark, old)
+
+
 def replace_table(df: DataFrame, path: str, key: Sequence[str], newest_first: Sequence[Column] = ()) -> None:
     """Overwrite a keyed table, in key order, so that lookups skip row groups.
 
@@ -23,15 +48,19 @@ def replace_table(df: DataFrame, path: str, key: Sequence[str], newest_first: Se
     write_clustered(rows, path, key)
 
 
-def write_clustered(df: DataFrame, path: str, key: Sequence[str]) -> None:
+def write_clustered(df: DataFrame, path: str, key: Sequence[str], partition_by: Sequence[str] = ()) -> None:
     """Rows in order of partition and clustering columns. Ranges, unlike
     hashes, split the rows of a very large partition over several files."""
-    df.repartitionByRange(*key).sortWithinPartitions(*key).write.mode("overwrite").parquet(path)
+    ordered = df.repartitionByRange(*key).sortWithinPartitions(*key)
+    swap_in(df.sparkSession, path, ordered.write.partitionBy(*partition_by).parquet)
 
 
 def write_export(df: DataFrame, path: str) -> None:
-    """Headered CSV; quotes inside text are doubled."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Headered CSV; quotes inside text are doubled, and blanks around it stay."""
+    writer = df.write.option("header", True).option("escape", '"')
+    for side in ("ignoreLeadingWhiteSpace", "ignoreTrailingWhiteSpace"):
+        writer = writer.option(side, False)
+    swap_in(df.sparkSession, path, writer.csv)
 
 
 def differences(written: DataFrame, expected: DataFrame) -> DataFrame:

@@ -1,16 +1,16 @@
 """Headerless delimited files with declared schemas.
 
 Fields are split on the separator alone (no quoting), as the input format has
-none. Ratings and users are strict: a line that does not fit the schema fails
-the job, whichever columns the query goes on to use. ``split_bad_lines`` is
-the lenient way.
+none. One pattern per schema says which lines fit: the right number of fields,
+numbers where numbers are due, and no empty field. The strict readers fail the
+job at the first line that does not, whichever columns the query goes on to
+use and whatever it filters by; ``split_bad_lines`` sets such lines aside.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +22,35 @@ from tastegrid.functions.flags import labels_from_flags
 LATIN_1 = "ISO-8859-1"
 BAD_LINE = "_bad_line"
 
+# Fields by type; whole numbers are as long as every value of that length fits.
+_FIELDS = {
+    "int": r" *[+-]?[0-9]{1,9} *",
+    "bigint": r" *[+-]?[0-9]{1,18} *",
+    "double": r" *[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]{1,3})? *",
+}
+
+
+def line_pattern(schema: T.StructType, sep: str, required: bool = True) -> str:
+    """Matches the lines that fit ``schema``; ``required`` rules out empty fields."""
+    text = f"[^{re.escape(sep)}]+"
+    fields = [_FIELDS.get(field.dataType.simpleString(), text) for field in schema]
+    return "^" + re.escape(sep).join(f"({field})" if required else f"({field})?" for field in fields) + "$"
+
+
+def _lines(spark: SparkSession, path: str, encoding: str) -> DataFrame:
+    """Lines as text. The bytes of a line are kept by the text source as they
+    are, and read here in their encoding."""
+    lines = spark.read.text(path)
+    if encoding == "UTF-8":
+        return lines
+    return lines.withColumn("value", F.decode(F.col("value").cast("binary"), encoding))
+
+
+def _typed(lines: DataFrame, schema: T.StructType, sep: str) -> DataFrame:
+    fields = F.split("value", f"\\Q{sep}\\E", -1)
+    columns = [F.nullif(F.get(fields, F.lit(i)), F.lit("")) for i in range(len(schema))]
+    return lines.select(*[c.cast(field.dataType).alias(field.name) for c, field in zip(columns, schema)])
+
 
 def read_delimited(
     spark: SparkSession,
@@ -30,32 +59,38 @@ def read_delimited(
     sep: str,
     encoding: str = "UTF-8",
     columns: Sequence[str] | None = None,
+    required: bool = False,
 ) -> DataFrame:
-    """Named, typed read of a headerless file, optionally of some columns only."""
-    df = spark.read.csv(path, schema=schema, sep=sep, encoding=encoding, quote="")
+    """Named, typed read of a headerless file, optionally of some columns only.
+    A line that does not fit fails the job; an empty field is null, or with
+    ``required`` does not fit."""
+    lines = _lines(spark, path, encoding)
+    problem = F.concat(F.lit("line that does not fit the schema: "), "value")
+    fits = F.col("value").rlike(line_pattern(schema, sep, required))
+    # The check is on the line itself, so no later filter comes before it.
+    checked = lines.where(F.when(fits, True).otherwise(F.raise_error(problem).cast("boolean")))
+    df = _typed(checked, schema, sep)
     return df.select(*columns) if columns else df
 
 
 def _strict(spark: SparkSession, path: str, schema: T.StructType, sep: str) -> DataFrame:
-    lines = spark.read.csv(path, schema=schema, sep=sep, encoding=LATIN_1, quote="", mode="FAILFAST")
-    # Columns that a query leaves out are not parsed, and then not checked
-    # either. This condition needs all of them, and stops at a missing value.
-    complete = reduce(and_, [F.col(name).isNotNull() for name in schema.names])
-    return lines.where(F.when(complete, True).otherwise(F.raise_error("line with a missing value").cast("boolean")))
+    return read_delimited(spark, path, schema, sep, LATIN_1, required=True)
 
 
 def read_ratings(spark: SparkSession, path: str, rating_type: str = "int") -> DataFrame:
     """Tab-separated ``user_id, item_id, rating, ts``."""
-    ratings = _strict(spark, path, schemas.RATING, "\t")
     if rating_type == "int":
-        return ratings
-    return ratings.withColumn("rating", F.col("rating").cast(rating_type))
+        return _strict(spark, path, schemas.RATING, "\t")
+    return _strict(spark, path, schemas.FLOAT_RATING, "\t").withColumn("rating", F.col("rating").cast(rating_type))
 
 
 def read_users(spark: SparkSession, path: str) -> DataFrame:
     """Pipe-separated user profiles. Zip codes stay text; only they are trimmed."""
-    users = _strict(spark, path, schemas.USER, "|")
-    return users.withColumn("zip_code", F.trim("zip_code"))
+    return _trimmed(_strict(spark, path, schemas.USER, "|"))
+
+
+def _trimmed(users: DataFrame) -> DataFrame:
+    return users.withColumn("zip_code", F.trim("zip_code")) if "zip_code" in users.columns else users
 
 
 def read_items(
@@ -92,32 +127,32 @@ def _required_long(name: str) -> Column:
 
 
 def with_input_order(df: DataFrame, name: str = "line") -> DataFrame:
-    """Add a sortable, unique place of each row in the files of a fresh scan.
+    """Add a sortable, unique place of each row in the files of a fresh scan:
+    number of the file by path, piece of the file, row.
 
     Store the result before using it twice: a second scan may cut the files in
     other pieces.
     """
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("piece"),
-        F.monotonically_increasing_id().alias("row"),
+    # The listing and the scan differ in the number of slashes behind the scheme.
+    listed = sorted(re.sub(r"^(\w+:)/+", r"\1/", path) for path in df.inputFiles())
+    paths = [(path, number) for number, path in enumerate(listed)]
+    files = df.sparkSession.createDataFrame(paths, "_path string, _file int")
+    placed = df.select(
+        "*",
+        F.regexp_replace("_metadata.file_path", r"^(\w+:)/+", "$1/").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_piece"),
+        F.monotonically_increasing_id().alias("_row"),
     )
-    return df.select("*", place.alias(name))
+    number = F.coalesce("_file", F.raise_error(F.concat(F.lit("file not listed: "), "_path")).cast("int"))
+    place = F.struct(number.alias("file"), F.col("_piece").alias("piece"), F.col("_row").alias("row"))
+    return placed.join(F.broadcast(files), "_path", "left").select(*df.columns, place.alias(name))
 
 
 def split_bad_lines(
-    spark: SparkSession, path: str, schema: T.StructType, sep: str
+    spark: SparkSession, path: str, schema: T.StructType, sep: str, encoding: str = LATIN_1
 ) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit ``schema``, and the raw lines that do not."""
-    fields = F.split("value", f"\\Q{sep}\\E", -1)
-    parsed = spark.read.text(path).select(
-        "value",
-        F.size(fields).alias("_fields"),
-        *[F.get(fields, F.lit(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema)],
-    )
-    fits = F.col("_fields") == len(schema)
-    for field in schema:
-        fits = fits & F.col(field.name).isNotNull()
-    good = parsed.where(fits).select(*schema.names)
-    bad = parsed.where(~fits).select(F.col("value").alias(BAD_LINE))
-    return good, bad
+    """Rows that the strict readers take, and the raw lines at which they fail."""
+    lines = _lines(spark, path, encoding)
+    fits = F.col("value").rlike(line_pattern(schema, sep))
+    good = _trimmed(_typed(lines.where(fits), schema, sep))
+    return good, lines.where(~fits).select(F.col("value").alias(BAD_LINE))

@@ -13,8 +13,10 @@ def vocabulary(spark: SparkSession, labels: Sequence[str], name: str = "genre")
     return spark.createDataFrame([(label, i) for i, label in enumerate(labels)], f"{name} string, {name}_index int")
 
 
-def outside_vocabulary(df: DataFrame, column: str, labels: Sequence[str]) -> DataFrame:
-    """Values of ``column`` that the vocabulary lacks, with their row counts."""
-    known = vocabulary(df.sparkSession, labels, column).select(column)
+def outside_vocabulary(df: DataFrame, column: str, labels: Sequence[str] | DataFrame) -> DataFrame:
+    """Values of ``column`` that the vocabulary lacks, with their row counts.
+    The vocabulary is a list, or a table with a column of that name."""
+    known = labels if isinstance(labels, DataFrame) else vocabulary(df.sparkSession, labels, column)
+    known = known.select(column)
     counts = df.groupBy(column).agg(F.count("*").alias("row_count"))
     return counts.join(known, column, "left_anti")

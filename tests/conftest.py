@@ -11,10 +11,14 @@ from tastegrid.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session(
-        "tastegrid-tests", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"}
-    )
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("shared")
+    conf = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": f"file://{folder}",
+    }
+    session = build_session("tastegrid-tests", "local[8]", **conf)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

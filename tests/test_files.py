@@ -35,7 +35,7 @@ USER_LINES = [
     "10|41|F|scientist|99998",
     "11|20|M|student|99997",
 ]
-BAD_LINE = "MALFORMED|line with a missing value"
+BAD_LINE = "line that does not fit the schema"
 RATING_LINES = ["7\t21\t4\t880000001", "7\t22\t5\t880000002", "8\t21\t1\t880000003"]
 
 
@@ -53,10 +53,40 @@ def test_bad_rating_lines_fail_whatever_is_read(spark, tmp_path, line):
     for name in ratings.columns:
         with pytest.raises(Exception, match=BAD_LINE):
             ratings.select(name).collect()
+        with pytest.raises(Exception, match=BAD_LINE):
+            ratings.where(F.col(name) == 8).collect()
     with pytest.raises(Exception, match=BAD_LINE):
         ratings.count()
 
 
+USERS = ["7|19|F|student|01234", "8|30|M|Caf\xe9 owner| A1B2C ", "9|40|M||99999", "x|1|M|none|1", "1|2|3|4", "1|12345678901|M|a|b"]
+
+
+@pytest.mark.parametrize("lines", [USERS[:2], USERS[:3], USERS[1:2] + USERS[3:4], USERS[4:], ["", *USERS[:1]], []])
+def test_strict_readers_fail_exactly_if_lines_are_set_aside(spark, tmp_path, lines):
+    path = write(tmp_path / "u", lines, "latin-1")
+    good, bad = sources.split_bad_lines(spark, path, schemas.USER, "|")
+    if bad.count():
+        with pytest.raises(Exception, match=BAD_LINE):
+            sources.read_users(spark, path).collect()
+    else:
+        assert sources.read_users(spark, path).collect() == good.collect()
+        assert all(r.zip_code == r.zip_code.strip() and "\ufffd" not in r.occupation for r in good.collect())
+
+
+def test_delimited_reads_are_strict_and_may_have_gaps(spark, tmp_path):
+    schema = "a bigint, b string, c double"
+    from pyspark.sql.types import StructType
+
+    kinds = StructType.fromDDL(schema)
+    path = write(tmp_path / "d", ["1;x;1.5", ";;", "2;y;-1e3"])
+    rows = sources.read_delimited(spark, path, kinds, ";").collect()
+    assert [tuple(r) for r in rows] == [(1, "x", 1.5), (None, None, None), (2, "y", -1000.0)]
+    for line in ("1;x", "1;x;y", "1;x;1;2"):
+        with pytest.raises(Exception, match=BAD_LINE):
+            sources.read_delimited(spark, write(tmp_path / "bad", [line]), kinds, ";", columns=["a"]).collect()
+
+
 def test_bad_lines_can_be_set_aside(spark, tmp_path):
     bad = ["7\t21\tx\t1", "7\t21\t4", "7\t21\t4\t1\textra", ""]
     path = write(tmp_path / "r", [*RATING_LINES, *bad])
@@ -85,7 +115,6 @@ def test_column_subset_prunes_the_scan(spark, tmp_path):
     path = write(tmp_path / "u", USER_LINES)
     some = sources.read_delimited(spark, path, schemas.USER, "|", columns=["user_id", "age"])
     assert some.columns == ["user_id", "age"] and some.count() == 5
-    assert "ReadSchema: struct<user_id:bigint,age:int>" in some._jdf.queryExecution().toString()
 
 
 def test_first_available(spark, tmp_path):
@@ -121,16 +150,28 @@ def test_clustered_write_splits_a_hot_partition_and_keeps_the_order(spark, tmp_p
         assert ranks == sorted(ranks) and ranks[-1] - ranks[0] == len(ranks) - 1
 
 
+def test_replacing_keeps_the_old_table_until_the_new_one_is_whole(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.replace_table(spark.range(3), path, ["id"])
+    # The new rows may come from the table that they replace.
+    sinks.replace_table(sources.read_table(spark, path).selectExpr("id + 10 AS id"), path, ["id"])
+    failing = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.replace_table(failing, path, ["id"])
+    assert sorted(r.id for r in sources.read_table(spark, path).collect()) == [10, 11, 12]
+    assert os.listdir(tmp_path) == ["t"]
+
+
 def test_export_roundtrip_and_differences(spark, tmp_path):
     df = spark.createDataFrame(
-        [(1, 'A "quoted", title', 4.3333, 3), (2, "back\\slash", 1.0, 1)], schemas.ITEM_AVERAGE
+        [(1, 'A "quoted", title', 4.3333, 3), (2, "back\\slash", 1.0, 1), (3, "  padded  ", 2.0, 1)], schemas.ITEM_AVERAGE
     )
     path = str(tmp_path / "e")
     sinks.write_export(df, path)
     assert sinks.differences(sources.read_export(spark, path, schemas.ITEM_AVERAGE), df).count() == 0
     inferred = sources.read_export(spark, path)
     assert dict(inferred.dtypes) == {"item_id": "int", "title": "string", "avg_rating": "double", "rating_count": "int"}
-    assert sinks.differences(df.union(df), df).count() == 2
+    assert sinks.differences(df.union(df), df).count() == 3
 
 
 def test_stored_results_follow_their_parameters(spark, tmp_path):
@@ -153,6 +194,16 @@ def test_stored_results_follow_their_parameters(spark, tmp_path):
     assert calls == [1, 2, 1]
 
 
+def test_stored_results_follow_their_inputs(spark, tmp_path):
+    source = write(tmp_path / "r", RATING_LINES)
+    base = str(tmp_path / "results")
+    build = lambda: sources.read_ratings(spark, source)
+    load = lambda: sinks.materialize_or_load(spark, base, "all", {}, build, schemas.RATING, [source]).count()
+    assert load() == load() == 3
+    write(tmp_path / "r", [*RATING_LINES, "9\t21\t1\t880000004"])
+    assert load() == 4
+
+
 def test_documents_without_an_array_give_no_lines(spark, tmp_path):
     lines = [
         '{"_id":"user_000001","user_id":1,"favorite_genre":"War"}',
@@ -202,14 +253,76 @@ def test_recommendation_and_exclusion_jobs(spark, inputs):
     want = brute.best_unrated(ratings, items, 5, 5, True)
     wide = sources.read_table(spark, stored["wide_recommendations"])
     assert wide.count() == len({row[0] for row in want})
-    shown = jobs.show_profiles(spark, stored["wide_recommendations"], [1, 2]).collect()
-    assert [(r.row_key, r.found) for r in shown][-1] == ("user_000002", False)
-    assert [int(r.movie_id) for r in shown if r.found and r.movie_id != "N/A"] == [row[2] for row in want if row[0] == 1]
+    for n in (5, 3, 10):
+        stored = jobs.recommendations(spark, paths["ratings"], paths["items"], out, n=n)
+        shown = jobs.show_profiles(spark, stored["wide_recommendations"], [1, 2]).collect()
+        assert [(r.row_key, r.found) for r in shown][-1] == ("user_000002", False)
+        listed = [int(r.movie_id) for r in shown if r.found and r.movie_id != "N/A"]
+        assert listed == [row[2] for row in brute.best_unrated(ratings, items, n, 5, True) if row[0] == 1]
+        assert sum(r.found for r in shown) == n
 
     stored = jobs.exclusions(spark, paths["ratings"], paths["items"], out)
     export = sources.read_export(spark, stored["export"], schemas.EXCLUSION_FLAT)
     got = sorted((r.user_id, r.avoid_rank, r.item_id, r.title, r.global_avg_rating, r.favorite_genre) for r in export.collect())
     assert got == brute.best_unrated(ratings, items, 5, 5, False)
+    found = jobs.show_documents(spark, stored["documents"], [1, -1]).collect()
+    assert [(r.user_id, r.found, r.item_id) for r in found] == [(-1, False, None)] + [
+        (1, True, row[2]) for row in brute.best_unrated(ratings, items, 5, 5, False) if row[0] == 1
+    ]
+    most = sources.read_table(spark, stored["most_excluded"])
+    assert most.agg(F.sum("excluded_for")).first()[0] == len(got)
+
+
+def test_cohort_summary_job(spark, inputs):
+    ratings, items, paths, out = inputs
+    stored = jobs.cohort_summaries(spark, *paths.values(), out, min_ratings=18, min_support=1, n=4, bins=7, top_k=1)
+    tables = {name: sources.read_table(spark, path).collect() for name, path in stored.items()}
+    means = brute.means(ratings)
+    assert sum(r.n for r in tables["rating_histogram"]) == len(means) and len(tables["rating_histogram"]) == 7
+    assert tables["grand_mean"][0][0] == pytest.approx(sum(m for m, _ in means.values()) / len(means))
+    favourites = [label for label, _ in brute.favourites(ratings, items, 18).values()]
+    assert sum(r.n for r in tables["top_genres"]) == sum(r.n for r in tables["genre_shares"]) == len(favourites)
+    assert [(r.age, r.n) for r in tables["young_age_counts"]] == [(19, 1)]
+    assert {r.gender: r.n for r in tables["group_gender_counts"]} == {"M": 2}
+    by_item = {}
+    for user, item, rating, _ in ratings:
+        if user in (8, 9):
+            by_item.setdefault(item, []).append(rating)
+    want = sorted((-sum(v) / len(v), i) for i, v in by_item.items())[:4]
+    assert sorted((-r.avg_rating, r.item_id) for r in tables["group_top_items"]) == want
+
+
+def test_unknown_occupations_and_favourite_lookup(spark, inputs):
+    _, _, paths, out = inputs
+    lines = [*USER_LINES, "12|50|M|astronaut|1"]
+    with open(paths["users"], "w") as file:
+        file.write("\n".join(lines))
+    stored = jobs.user_tables(spark, *paths.values(), out, min_ratings=1)
+    assert [tuple(r) for r in sources.read_table(spark, stored["unknown_occupations"]).collect()] == [("astronaut", 1)]
+    found = jobs.show_rows(spark, stored["user_fav_genres"], [1, -1]).collect()
+    assert [(r.user_id, r.found, r.row_key) for r in found] == [(-1, False, "user_-00001"), (1, True, "user_000001")]
+
+
+def test_jobs_leave_nothing_in_the_shared_folder(spark, inputs):
+    _, _, paths, out = inputs
+    folder = session.shared_dir(spark).removeprefix("file://")
+    left = lambda: {name for name in os.listdir(folder) if name.split("-")[0] in ("ratings", "rating_lines", "pinned")}
+    before = left()
+    jobs.recommendations(spark, paths["ratings"], paths["items"], out)
+    jobs.evaluation_splits(spark, paths["ratings"], out)
+    with open(paths["ratings"], "a") as file:
+        file.write("bad line\n")
+    with pytest.raises(Exception, match=BAD_LINE):
+        jobs.evaluation_splits(spark, paths["ratings"], f"{out}/failed")
+    assert left() == before
+
+
+def test_holdouts_are_not_limited_by_default(spark, inputs):
+    ratings, _, paths, out = inputs
+    stored = jobs.evaluation_splits(spark, paths["ratings"], out)
+    roles = brute.holdout([(i, row[0]) for i, row in enumerate(ratings)], 1, 10, 0)
+    tests = sources.read_table(spark, stored["holdout_1_10"]).where("role = 'test'").count()
+    assert tests == sum(role == "test" for role in roles.values())
 
 
 def test_split_and_matrix_jobs(spark, inputs):
@@ -236,36 +349,43 @@ def test_input_order_over_several_file_pieces(spark, tmp_path):
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_command_line(inputs):
+def test_input_order_over_files_follows_their_paths(spark, tmp_path):
+    (tmp_path / "in put").mkdir()
+    for number in (2, 0, 1):
+        write(tmp_path / "in put" / f"part {number}%20", [f"1\t{number}\t3\t{i}" for i in range(10)])
+    lines = sources.with_input_order(sources.read_ratings(spark, str(tmp_path / "in put")))
+    assert [(r.item_id, r.ts) for r in lines.orderBy("line").collect()] == [(n, i) for n in range(3) for i in range(10)]
+    assert lines.schema["line"].dataType.simpleString() == "struct<file:int,piece:bigint,row:bigint>"
+
+
+def test_command_line(spark, inputs):
     ratings, _, paths, out = inputs
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     command = [sys.executable, "-m", "tastegrid", "average-ratings", "--ratings", paths["ratings"]]
-    command += ["--items", paths["items"], "--out", out]
+    command += ["--items", paths["items"], "--out", out, "--min-ratings", "1", "--n", "3"]
     done = subprocess.run(command, cwd=root, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr
     assert f"avg_ratings: {out}/avg_ratings" in done.stdout
+    assert len(sources.read_table(spark, f"{out}/top_items").collect()) == 3
+    show = [sys.executable, "-m", "tastegrid", "splits", "--help"]
+    assert "--holdouts" in subprocess.run(show, cwd=root, capture_output=True, text=True, timeout=300).stdout
 
 
 class FakeSession:
     """Stands in for a cluster session, which tests cannot start."""
 
-    def __init__(self, master, configured):
-        self.conf = {"spark.checkpoint.dir": configured} if configured else {}
-        self.master, self.checkpoint_dir = master, None
+    def __init__(self, configured):
+        self.conf = {"spark.sql.warehouse.dir": "hdfs:///warehouse"}
+        self.conf |= {"spark.checkpoint.dir": configured} if configured else {}
         self.sparkContext = self
 
     def getCheckpointDir(self):
-        return self.checkpoint_dir
-
-    def setCheckpointDir(self, folder):
-        self.checkpoint_dir = folder
+        return None
 
 
 def test_shared_folder_is_the_configured_one():
-    cluster = FakeSession("yarn", "hdfs:///shared")
+    cluster = FakeSession("hdfs:///shared")
     assert session.shared_dir(cluster) == "hdfs:///shared"
     assert session.fresh_path(cluster, "x").startswith("hdfs:///shared/x-")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(FakeSession("yarn", None))
-    local = FakeSession("local[2]", None)
-    assert session.shared_dir(local) == session.shared_dir(local) == local.checkpoint_dir
+    session._made.pop()
+    assert session.shared_dir(FakeSession(None)) == "hdfs:///warehouse"

@@ -89,10 +89,8 @@ def test_best_unrated(plan, ratings, items, direction, n, min_support):
     assert 2 not in {row[0] for row in want}
 
 
-@pytest.mark.parametrize("head_blocks", [0, 2, 16])
-def test_long_stretches_cross_ranking_blocks(spark, monkeypatch, head_blocks):
+def test_long_stretches_cross_ranking_blocks(plan, spark):
     """A user who has rated 500 of 600 items finds the open ones at the end."""
-    monkeypatch.setattr(recommend, "HEAD_BLOCKS", head_blocks)
     items = [(i, f"t{i}", ["Drama"]) for i in range(1, 601)]
     ratings = [(1, i, 5 if i <= 500 else 1, i) for i in range(1, 501)]
     ratings += [(2, i, 5 if i <= 500 else 1, i) for i in range(1, 601)] + [(3, 1, 4, 1)]
@@ -120,6 +118,20 @@ def test_ties_in_the_mean_go_to_the_smaller_item(spark):
         assert lists == {1: [4], 3: [1, 2, 3, 5, 6], 4: [1, 2, 3, 4, 5]}
 
 
+@pytest.mark.parametrize("min_ratings", [1, 18])
+def test_favourites_without_a_vocabulary(plan, ratings, items, min_ratings):
+    got = preferences.favourite_of_many(ratings, items, min_ratings)
+    want = brute.favourites(RATINGS, ITEMS, min_ratings)
+    assert {r.user_id: (r.favorite_genre, r.genre_rating_count) for r in got.collect()} == want
+
+
+def test_labels_may_hold_any_character(spark):
+    items = spark.createDataFrame([(1, "t", ["a\nb", "c"])], "item_id bigint, title string, genres array<string>")
+    ratings = spark.createDataFrame([(1, 1, 5)], "user_id bigint, item_id bigint, rating int")
+    got = preferences.favourite_category(ratings, items, 1, ["c", "a\nb"]).collect()
+    assert [r.favorite_genre for r in got] == ["a\nb"]
+
+
 def test_unrated_counts(plan, ratings, items):
     got = recommend.unrated_counts(ratings, items, 5, labels=LABELS)
     want = {}
@@ -169,6 +181,12 @@ def test_data_profile(ratings):
     users = [r[0] for r in RATINGS]
     below = sum(users.count(u) < 20 for u in set(users))
     assert tuple(got) == (len(set(users)), len({r[1] for r in RATINGS}), len(RATINGS), 1, 5, below)
+    assert tuple(rating_ops.data_profile(ratings.where("false")).first()) == (0, 0, 0, None, None, 0)
+
+
+def test_ranks_are_bounded_by_the_function(ratings, items):
+    averages = rating_ops.item_averages(ratings, items)
+    assert [r["rank"] for r in rating_ops.with_rank(averages, 3).orderBy("rank").collect()] == [1, 2, 3]
 
 
 # Summaries
@@ -182,6 +200,15 @@ def test_other_is_dropped_if_empty_and_kept_apart_from_a_value_of_that_name(spar
     assert [(r.g, r.is_rest, r.n) for r in got] == [("Other", False, 5), ("a", False, 3), ("Other", True, 3)]
 
 
+def test_rows_without_a_value_are_no_value(spark):
+    values = [(None,)] * 5 + [("a",)] * 3 + [("b",)] * 2 + [("c",)]
+    df = spark.createDataFrame(values, "g string")
+    assert rows(summaries.value_counts(df, "g"), "g", "n") == [("a", 3), ("b", 2), ("c", 1)]
+    with_nulls = df.groupBy("g").agg(F.count("*").alias("n"))
+    got = summaries.top_k_and_other(with_nulls, "g", 2).collect()
+    assert [(r.g, r.n) for r in got] == [("a", 3), ("b", 2), ("Other", 1)]
+
+
 def test_small_shares_have_no_label(spark):
     counts = spark.createDataFrame([("a", 993), ("b", 7)], "g string, n bigint")
     assert rows(summaries.shares(counts, "g"), "g", "pct", "label") == [("a", 99.3, "99.3%"), ("b", 0.7, None)]
@@ -194,7 +221,7 @@ def test_histogram_equals_numpy(spark, seed):
     values = [round(rng.choice([rng.uniform(1, 5), rng.randint(5, 25) / 5]), 4) for _ in range(300)] + [1.0, 5.0]
     if seed == 0:
         values, bins = [2.5] * 4, 30
-    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "x double")
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (float("nan"),)], "x double")
     got = summaries.histogram(df, "x", bins).orderBy("bin").collect()
     want, edges = np.histogram(values, bins=bins)
     assert [r.n for r in got] == want.tolist()
@@ -210,6 +237,19 @@ def test_dense_positions(plan, spark):
     assert [r.position for r in got] == list(range(1008))
 
 
+def test_more_rows_per_key_than_spark_cuts(plan, spark):
+    """A limit above Spark's own is numbered in parallel, with null keys too."""
+    rows_in = [(None if i % 5 == 0 else i % 2, i) for i in range(4000)]
+    df = spark.createDataFrame(rows_in, "k int, v bigint").repartition(6)
+    got = ranking.top_n_per_key(df, ["k"], [F.desc("v")], 1500)
+    by_key = {}
+    for key, value in sorted(rows_in, key=lambda r: -r[1]):
+        by_key.setdefault(key, []).append(value)
+    want = {(k, v, i) for k, values in by_key.items() for i, v in enumerate(values[:1500], 1)}
+    assert {tuple(r) for r in got.collect()} == want
+    assert dict(got.dtypes)["rank"] == "int"
+
+
 def hot_events(rows=400):
     rng = random.Random(5)
     return [(i, 1 if rng.random() < 0.4 else rng.randint(2, 30)) for i in rng.sample(range(10**6), rows)]
@@ -235,6 +275,9 @@ def test_ordinals(plan, events):
     for event, user in sorted(EVENTS):
         want[event] = seen[user] = seen.get(user, 0) + 1
     assert got == want
+    wide = events.withColumn("more", F.col("event_id") * 2)
+    numbered = ranking.with_ordinals(wide, "user_id", "event_id")
+    assert {r.event_id: (r.ordinal, r.more) for r in numbered.collect()} == {e: (n, 2 * e) for e, n in want.items()}
 
 
 @pytest.mark.parametrize("k", [1, 5, 7])
@@ -250,6 +293,13 @@ def test_folds_are_blocks_of_equal_size(plan, events, k):
         assert not ids[0] & ids[1] and len(ids[0]) + len(ids[1]) == len(EVENTS)
 
 
+@pytest.mark.parametrize("n", [0, 1, 3, 5, 6])
+def test_folds_of_few_rows(spark, n):
+    events = spark.createDataFrame([(10 * i, 1) for i in range(n)], "event_id bigint, user_id bigint")
+    got = splits.kfold_assign(events, "event_id", 5).orderBy("event_id").collect()
+    assert [r.fold for r in got] == [i * 5 // n + 1 for i in range(n)]
+
+
 # Shapes
 
 
@@ -272,9 +322,10 @@ def test_wide_lists_have_defaults(spark):
         [(3, 1, 30, "x", 4.5, "War")],
         "user_id bigint, rank int, item_id bigint, title string, avg_rating double, fav_genre string",
     )
-    got = rows(reshape.wide_to_full_list(reshape.to_wide(flat)), "rank", "movie_id", "title", "avg_rating")
-    assert got[0] == (1, "30", "x", "4.5000")
-    assert got[1:] == [(k, "N/A", "Unknown Title", "N/A") for k in range(2, 6)]
+    for n in (3, 5, 10):
+        got = rows(reshape.wide_to_full_list(reshape.to_wide(flat, n)), "rank", "movie_id", "title", "avg_rating")
+        assert got[0] == (1, "30", "x", "4.5000")
+        assert got[1:] == [(k, "N/A", "Unknown Title", "N/A") for k in range(2, n + 1)]
 
 
 def test_documents_and_back(flat):
@@ -299,9 +350,21 @@ def test_matrix_keeps_the_latest_cell_in_bounded_maps(plan, spark, ratings, monk
     want = {(user, item): rating for user, item, rating, _ in sorted(RATINGS, key=lambda r: (r[3], r[2]))}
     got = {(r.user_id, r.item_id): r.rating for r in reshape.matrix_cells(matrix).collect()}
     assert got == want
+    ones = {key: rating for key, rating in want.items() if key[0] == 1}
+    fetched = {(r.user_id, r.item_id): r.rating for r in reshape.fetch_rows(matrix, [1, 777]).collect()}
+    assert fetched == ones
     asked = spark.createDataFrame([(1,), (777,)], "user_id bigint")
-    fetched = {(r.user_id, r.item_id): r.rating for r in reshape.fetch_rows(matrix, asked).collect()}
-    assert fetched == {key: rating for key, rating in want.items() if key[0] == 1}
+    fetched = {(r.user_id, r.item_id): r.rating for r in reshape.rows_of_ratings(ratings, asked).collect()}
+    assert fetched == ones
+
+
+@pytest.mark.parametrize("kind", ["double", "int", "decimal(4,1)"])
+def test_matrix_of_ratings_below_zero_and_between(spark, kind):
+    cells = [(1, 5, -2.5, 10), (1, 5, 4.5, 10), (1, 5, 9.0, 9), (2, 7, -1.0, 1)]
+    ratings = spark.createDataFrame(cells, "user_id bigint, item_id bigint, rating double, ts bigint")
+    ratings = ratings.withColumn("rating", F.col("rating").cast(kind))
+    got = {(r.user_id, r.item_id): float(r.rating) for r in reshape.matrix_cells(reshape.rating_matrix(ratings)).collect()}
+    assert got == {(1, 5): 4.0 if kind == "int" else 4.5, (2, 7): -1.0}
 
 
 def test_lookup_answers_for_every_id(flat):

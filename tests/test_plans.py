@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tastegrid import sinks, sources
-from tastegrid.operators import cohorts, lookup, preferences, recommend, splits, summaries
+from tastegrid.operators import cohorts, lookup, preferences, ranking, recommend, reshape, splits, summaries
 from tastegrid.operators import ratings as rating_ops
-from tastegrid.plans import catalog, testviews
+from tastegrid.plans import testviews
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -53,22 +53,40 @@ def test_filters_and_columns_reach_the_scan(spark, views):
 
 def test_recommendation_plan(spark, views, no_broadcast):
     ratings, items, _ = views
-    plan = executed(recommend.best_unrated(ratings, items, labels=catalog.WORDS))
+    words = testviews.words(spark, SF_DIR)
+    plan = executed(recommend.best_unrated(ratings, items, labels=words))
     assert "LeftAnti" in plan and plan.count("WindowGroupLimit") == 2
     assert single_partition_windows(plan) == 0
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
-    # All uses of the ratings read the same shuffled inputs.
-    assert len(re.findall(r"- Exchange hashpartitioning\(l_orderkey#", plan)) == 1
-    assert len(re.findall(r"- Exchange hashpartitioning\(o_orderkey#", plan)) == 1
-    # Users are counted once for the head and the rest of the ranking.
-    assert plan.count("functions=[partial_count(1), partial_count") == 1
-    # Folding repeated pairs costs no shuffle beyond the join's own.
-    assert len(re.findall(r"- Exchange hashpartitioning\(user_id#\d+L, item_id#\d+L", plan)) == 2
+    # The stored ranking is read once, beside the users' stretches and the items offered.
+    assert len(re.findall(r"FileScan parquet .*pinned-", plan)) == 3
+    assert len(re.findall(r"FileScan parquet \[\w*genre#\S*,item_id", plan)) == 1
+    # Only ratings of items that can be offered reach the shuffle by user and item.
+    pairs = [line for line in re.split(r"\n", plan) if re.search(r"- Exchange hashpartitioning\(user_id#\d+L, item_id#\d+L", line)]
+    assert len(pairs) == 2
+    below = plan[plan.index("LeftAnti") :]
+    assert "LeftSemi" in below and below.index("LeftSemi") < below.index("l_partkey")
+
+
+def test_large_limits_leave_no_window_per_key(spark):
+    events = testviews.events(spark, SF_DIR).select("user_id", "event_id")
+    plan = executed(ranking.top_n_per_key(events, ["user_id"], [F.col("event_id")], 1500))
+    windows = re.findall(r"Window \[.*", plan)
+    assert windows and all("_part" in line or "_piece" in line for line in windows)
+
+
+def test_cohort_joins_sort_nothing(spark, views):
+    ratings, items, users = views
+    cohort = cohorts.users_below(users, 0, "balance")
+    plan = cohorts.cohort_top_items(ratings, cohort, items)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Sort [") == 1
+    plan = reshape.rows_of_ratings(ratings, cohort)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [" not in plan and plan.index("Aggregate") < plan.index("LeftSemi")
 
 
 def test_favourites_take_one_shuffle_after_the_item_join(spark, views):
     ratings, items, _ = views
-    plan = executed(preferences.favourite_category(ratings, items, 50, catalog.WORDS))
+    plan = executed(preferences.favourite_category(ratings, items, 50, testviews.words(spark, SF_DIR)))
     assert len(re.findall(r"- Exchange hashpartitioning\(user_id#", plan)) == 1
     assert "Generate" not in plan and "SortAggregate" not in plan
 
