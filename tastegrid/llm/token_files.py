@@ -14,6 +14,7 @@ of ids (i8, u1, i8), then the ids of all of them.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 from collections.abc import Iterable, Iterator
@@ -129,7 +130,10 @@ def read_frame(source, entry: tuple[int, int, int, int]) -> Iterator[tuple[int |
 
 
 def _opened(folder: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+    """File system and path of a folder or file, given as a path or URI."""
+    if "://" in folder and not folder.startswith("file:"):
+        return fs.FileSystem.from_uri(folder)
+    return fs.LocalFileSystem(), re.sub(r"^(file:)?/+", "/", folder)
 
 
 def write_token_files(
@@ -196,7 +200,8 @@ def read_token_files(index: DataFrame, doc_ids: Iterable[int] | None = None) ->
     totals = index.groupBy("part").agg(F.sum("ids").alias("_ids"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("_ids").over(earlier), F.lit(0)).alias("_base"))
-    frames = index.join(bases, "part").select("path", "frame", (F.col("_base") + F.col("start_in_part")).alias("start"), "first_doc", "last_doc")
+    start = (F.col("_base") + F.col("start_in_part")).alias("start")
+    frames = index.join(bases, "part").select("path", "frame", start, "first_doc", "last_doc")
     wanted = None if doc_ids is None else {int(doc) for doc in doc_ids}
     if wanted is not None:
         asked = F.array(*[F.lit(doc).cast("long") for doc in sorted(wanted)])

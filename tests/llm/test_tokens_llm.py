@@ -104,8 +104,9 @@ def test_pack_documents_on_edge_rows(spark):
     assert pack_documents(empty_docs(spark), PATH).collect() == []
 
 
-def test_token_files_round_trip(spark, tmp_path):
-    folder = f"file://{tmp_path}/tokens"
+@pytest.mark.parametrize("scheme", ["file://", "file:", ""])
+def test_token_files_round_trip(spark, tmp_path, scheme):
+    folder = f"{scheme}{tmp_path}/tokens"
     docs = edge_docs(spark).repartition(5)
     write_token_files(docs, folder, PATH)
     found = with_checksum(read_token_table(spark, folder)).collect()
