@@ -11,12 +11,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tastegrid.llm.common import checkpointed
+
 #: Places of a span of 7 words. Every run of 16 words with up to 3 substituted
 #: holds a hit of one of them, which the tests enumerate.
 MASKS = ((0, 1, 3, 5, 6), (0, 1, 2, 3, 6))
 WINDOW, EQUAL = 16, 13
 _SPAN = max(mask[-1] for mask in MASKS) + 1
-#: Seeds of the benchmark that may be sent to every executor (32 bytes each).
+#: Seeds, or ids of documents with hits, that may be sent to every executor
+#: (some 32 bytes each).
 MOST_BROADCAST = 1_000_000
 
 
@@ -69,20 +72,29 @@ def contaminated(
     and marks do not count. Null and empty texts overlap with nothing; repeated
     ids give one row, and a null id is kept as an id. Other columns are left out.
 
-    The seeds of the benchmark are broadcast up to ``most_broadcast`` and joined
-    by a shuffle beyond, with the same result.
+    The seeds of the benchmark, and then the documents with a hit, are broadcast
+    up to ``most_broadcast`` rows and joined by a shuffle beyond, with the same
+    result.
     """
     texts = docs.select(docs[id_col].alias("_doc"), docs[text_col].cast("string").alias("_text"))
     items = benchmark.select(benchmark[item_col].alias("_item"), benchmark[item_text_col].cast("string").alias("_text"))
     tests = _seed_rows(items, "_item", "_item_at")
     small = tests.count() <= most_broadcast
     hits = _seed_rows(texts, "_doc", "_doc_at").join(F.broadcast(tests) if small else tests, "seed")
-    shifts = hits.select("_doc", "_item", (F.col("_doc_at") - F.col("_item_at")).alias("_shift")).distinct()
+    shifts = checkpointed(
+        hits.select("_doc", "_item", (F.col("_doc_at") - F.col("_item_at")).alias("_shift")).distinct()
+    )
+    few = shifts.count() <= most_broadcast
+    # Only texts with a hit are cut into words again, and moved.
+    hit = shifts.select(F.col("_doc").alias("_in")).distinct()
+    same_doc = F.col("_doc").eqNullSafe(F.col("_in"))
+    doc_words = texts.join(F.broadcast(hit) if few else hit, same_doc, "left_semi").select(
+        F.col("_doc").alias("_in"), words_of(F.col("_text")).alias("_words")
+    )
     item_words = items.select(F.col("_item").alias("_of"), words_of(F.col("_text")).alias("_test"))
-    doc_words = texts.select(F.col("_doc").alias("_in"), words_of(F.col("_text")).alias("_words"))
     both = (
         shifts.join(F.broadcast(item_words) if small else item_words, F.col("_item").eqNullSafe(F.col("_of")))
-        .join(doc_words, F.col("_doc").eqNullSafe(F.col("_in")))
+        .join(doc_words, same_doc)
         .select("_doc", "_item", F.size("_test").alias("item_words"), _equal_at("_test", "_words", "_shift").alias("_equal"))
     )
     window = F.least(F.lit(WINDOW), F.col("item_words"))
