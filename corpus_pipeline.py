@@ -7,10 +7,13 @@ again as the next stage's documents. All but the last return the columns of
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tastegrid.llm.common import small_batches
 from tastegrid.llm.decontamination import decontaminated
 from tastegrid.llm.language import UNKNOWN, fit_language_model, held_out, training_sample, with_language
 from tastegrid.llm.packing import pack_documents
@@ -23,6 +26,16 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 MIN_SCORE = 0.2
 
 
+def _stage(function):
+    @wraps(function)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
+@_stage
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages; those without a letter, or
     that fit none, go. ``lang`` stays as it is."""
@@ -31,6 +44,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).select(*COLUMNS)
 
 
+@_stage
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of each group of near-duplicates. Rows
     that share an id stay or go together."""
@@ -39,6 +53,7 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return docs.join(first.distinct(), F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi").select(*COLUMNS)
 
 
+@_stage
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated passages. A text of which nothing is left goes;
     one that was empty before stays."""
@@ -48,11 +63,13 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     )
 
 
+@_stage
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap with no item of the benchmark."""
     return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
 
 
+@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of at most 2048 token ids."""
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), size=2048, end_id=1)

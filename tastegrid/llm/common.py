@@ -5,12 +5,22 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tastegrid.session import shared_dir
 
 
+# Whole texts are some KB to some 100 KB; Spark's 10,000 rows make batches that
+# the JVM and the worker both hold, several times over.
+_ROWS_PER_BATCH = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send whole texts to Python in batches of fewer rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _ROWS_PER_BATCH)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the folder that all executors share."""
     sc = df.sparkSession.sparkContext

@@ -38,7 +38,7 @@ LENGTH = 100
 _GRAM = 32
 _BLOCK = 11
 _TEXT_BYTES = 1 << 18
-_SORTED_BYTES = 1 << 22
+_SORTED_BYTES = 1 << 20
 # Contexts of one gram that a task sorts together; more are cut.
 _TOGETHER = 2048
 _MOST_BROADCAST = 2_000_000
