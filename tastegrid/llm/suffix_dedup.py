@@ -40,12 +40,14 @@ _BLOCK = 11
 _TEXT_BYTES = 1 << 18
 _SORTED_BYTES = 1 << 20
 # Contexts of one gram that a task sorts together; more are cut.
-_TOGETHER = 2048
+_TOGETHER = 512
+_BLOCK_WIDTH = 16
 _MOST_BROADCAST = 2_000_000
 _NO_ID = -(1 << 63)
 
 _WORD = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
+_PART = 0xC2B2AE3D27D4EB4F
 _TABLE, _OTHER_TABLE = np.random.default_rng(11).integers(0, 1 << 64, size=(2, 256), dtype=np.uint64)
 
 # A position: checksum of the text, start of the context, distance of the anchor
@@ -275,13 +277,19 @@ def repeated_windows(
     return repeats
 
 
+def _signed(word: int) -> int:
+    word &= _WORD
+    return word - (1 << 64) if word >> 63 else word
+
+
 _PIECE = "cell long, id long, place long, piece binary"
 
 
 def _piece_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes of the open contexts of each document. A gram with too many of them
-    is cut by the distance to the anchor, then by the bytes of single windows:
-    equal windows agree in both."""
+    """Bytes of the open contexts of each document, by cell: equal windows are
+    in one cell, and cells are sorted apart. A gram's contexts are one cell,
+    but a gram with too many is cut by blocks of distances to the anchor, and
+    these by a hash of the bytes that all windows of a block share."""
     for batch in batches:
         texts, names = string_column(batch, "_text"), batch.column("_id").to_pylist()
         out: list[tuple] = []
@@ -290,17 +298,18 @@ def _piece_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tag = _tagged(raw)
             for one in open_ones.as_py():
                 _, start, anchor, windows = (int(x) for x in _unpacked(np.int64(one["place"])))
-                cells = -(-one["variants"] // _TOGETHER)
-                width = max(1, -(-128 // cells))
+                parts = -(-one["variants"] // _TOGETHER)
+                width = 128 if parts == 1 else _BLOCK_WIDTH
                 step = 0
                 while step < windows:
                     block = (anchor - step) // width
                     stop = min(windows, anchor - block * width + 1)
+                    cell = one["gram"]
+                    if parts > 1:
+                        first = start + anchor - block * width
+                        shared = zlib.crc32(raw[first : first - width + 1 + LENGTH])
+                        cell = _signed(cell ^ (block * _BASE) ^ (shared % parts * _PART))
                     piece = raw[start + step : start + stop + LENGTH - 1]
-                    cell = one["gram"] ^ (block * _BASE if cells > 1 else 0)
-                    if cells > 128:
-                        cell ^= zlib.crc32(piece) % (cells // 128 + 1) << 20
-                    cell = ((cell + (1 << 63)) & _WORD) - (1 << 63)
                     out.append((cell, name, int(_packed(tag, start + step, anchor - step, stop - step)), piece))
                     step = stop
         if out:
