@@ -23,6 +23,8 @@ from tastegrid.session import pin
 # Users meet the ranking in blocks of 64 places, so a user with a very long
 # stretch needs a row per block before the join, not one per item.
 BLOCK_BITS = 6
+# Item ids that may be sent to every executor, 8 bytes each.
+MOST_BROADCAST = 1_000_000
 
 
 def category_item_stats(stats: DataFrame, items: DataFrame, min_support: int = 5) -> DataFrame:
@@ -63,14 +65,20 @@ def best_unrated(
     # One row per label of the vocabulary at most.
     deepest = dict(reach.groupBy("genre").agg(F.max("reach")).collect())
     offered = ranking.where(F.col("place") < _by_label(deepest))
-    items_offered = pin(offered.select("item_id").distinct())
-    seen = seen_pairs(salted_join(ratings, items_offered, "item_id", "user_id", "left_semi"))
+    seen = seen_pairs(_ratings_of(ratings, offered.select("item_id").distinct(), sum(deepest.values())))
     unseen = first_places(reach, offered).join(seen, ["user_id", "item_id"], "left_anti")
     return top_n_per_key(unseen, ["user_id"], [F.col("place")], n).select(
         "user_id", "rank", "item_id", "title", "avg_rating", F.col("genre").alias("fav_genre")
     )
 
 
+def _ratings_of(ratings: DataFrame, items: DataFrame, most: int) -> DataFrame:
+    """Ratings of any of ``items``, which are ``most`` at most."""
+    if most <= MOST_BROADCAST:
+        return ratings.join(F.broadcast(items), "item_id", "left_semi")
+    return salted_join(ratings, pin(items), "item_id", "user_id", "left_semi")
+
+
 def _by_label(values: dict[str, int]) -> Column:
     """The value of each row's ``genre``, null for one without."""
     if not values:

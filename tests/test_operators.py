@@ -89,6 +89,13 @@ def test_best_unrated(plan, ratings, items, direction, n, min_support):
     assert 2 not in {row[0] for row in want}
 
 
+def test_offered_items_may_be_too_many_to_broadcast(plan, ratings, items, monkeypatch):
+    monkeypatch.setattr(recommend, "MOST_BROADCAST", 0)
+    got = recommend.best_unrated(ratings, items, 5, 5, labels=LABELS)
+    want = brute.best_unrated(RATINGS, ITEMS, 5, 5, True)
+    assert rows(got, "user_id", "rank", "item_id", "title", "avg_rating", "fav_genre") == want
+
+
 def test_long_stretches_cross_ranking_blocks(plan, spark):
     """A user who has rated 500 of 600 items finds the open ones at the end."""
     items = [(i, f"t{i}", ["Drama"]) for i in range(1, 601)]
