@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
@@ -52,7 +53,7 @@ class Block:
     text: list[str] = field(default_factory=list)
     tags: int = 0
     region: int = 0
-    in_article: bool = False
+    article: int = 0
 
     def line(self) -> str:
         return " ".join("".join(self.text).split())
@@ -64,29 +65,44 @@ class BlockParser(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks = [Block()]
-        self._open: list[tuple[str, bool, bool]] = []  # name, skipped, in an article
-        self._region = 0
+        self._open: list[tuple[str, bool, int]] = []  # name, skipped, number of the article around
+        self._count: Counter[str] = Counter()  # open elements by name
+        self._region = self._articles = 0
 
-    def _state(self) -> tuple[bool, bool]:
-        return self._open[-1][1:] if self._open else (False, False)
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Sections that are none, such as ``<![x[``, are comments, not errors."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
+    def _close(self, first: int, last: int | None = None) -> None:
+        for name, _, _ in self._open[first:last]:
+            self._count[name] -= 1
+        del self._open[first:last]
+
+    def _state(self) -> tuple[bool, int]:
+        return self._open[-1][1:] if self._open else (False, 0)
 
     def _new_block(self, region: bool = False) -> None:
         self._region += region
-        skipped, in_article = self._state()
+        skipped, article = self._state()
         last = self.blocks[-1]
         if last.text or last.tags:
-            self.blocks.append(Block(region=self._region, in_article=in_article and not skipped))
-        else:
-            last.region, last.in_article = self._region, in_article and not skipped
+            self.blocks.append(last := Block())
+        last.region, last.article = self._region, 0 if skipped else article
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in _IMPLIED_END and self._open and self._open[-1][0] == tag:
-            self._open.pop()
+            self._close(len(self._open) - 1)
         if tag not in _VOID:
-            skipped, in_article = self._state()
-            in_article = in_article or tag in _ARTICLE
-            own = tag in _SKIPPED or tag in _CHROME and not (tag == "header" and in_article) or _says_skip(tag, attrs)
-            self._open.append((tag, skipped or own, in_article))
+            skipped, article = self._state()
+            if tag in _ARTICLE and not article:
+                self._articles += 1
+                article = self._articles
+            own = tag in _SKIPPED or tag in _CHROME and not (tag == "header" and article) or _says_skip(tag, attrs)
+            self._open.append((tag, skipped or own, article))
+            self._count[tag] += 1
             if own or tag in _ARTICLE:
                 self._new_block(region=True)
         if tag not in _INLINE:
@@ -97,15 +113,16 @@ class BlockParser(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self.blocks[-1].tags += 1
-        names = [name for name, _, _ in self._open]
-        if tag in names:
-            at = len(names) - 1 - names[::-1].index(tag)
+        if self._count[tag]:
+            at = len(self._open) - 1
+            while self._open[at][0] != tag:
+                at -= 1
             # An inline end does not close the blocks that were opened inside it.
-            if tag in _INLINE and any(name not in _INLINE for name in names[at + 1 :]):
-                del self._open[at]
+            if tag in _INLINE and any(name not in _INLINE for name, _, _ in self._open[at + 1 :]):
+                self._close(at, at + 1)
                 return
             ended = self._open[at]
-            del self._open[at:]
+            self._close(at)
             if ended[1] != self._state()[0] or tag in _ARTICLE:
                 self._new_block(region=True)
         if tag not in _INLINE:
@@ -141,11 +158,11 @@ def smoothed(ratios: np.ndarray, sigma: float = _SIGMA) -> np.ndarray:
 def main_text(html: str | None) -> str:
     """Lines of the content regions, joined by line feeds; empty if there are none.
 
-    A line is content if its smoothed ratio reaches the threshold, half of the
-    mean over all lines; a region, which ends where a skipped element or an
-    article begins or ends, is content if one of its lines is, and is then
-    given whole, short lines too. If the page marks an article, regions outside
-    are not content.
+    A region is an article that the page marks, with what skipped elements in it
+    leave, or, on pages without one, what lies between two skipped elements. A
+    line is content if its smoothed ratio reaches half of the mean over all lines
+    of regions. A region with such a line is content, and is given whole, its
+    short lines too.
     """
     parser = BlockParser()
     parser.feed(html or "")
@@ -154,16 +171,16 @@ def main_text(html: str | None) -> str:
     lines = [(block, line) for block, line in lines if line or block.tags]
     if not any(line for _, line in lines):
         return ""
+    marked = any(block.article and line for block, line in lines)
     ratios = smoothed(np.array([len(line) / max(block.tags, 1) for block, line in lines]))
-    marked = any(block.in_article and line for block, line in lines)
-    content = {
-        block.region
+    texts = [
+        (block.article if marked else block.region, line, ratio)
         for (block, line), ratio in zip(lines, ratios)
-        if line and ratio >= 0.5 * ratios.mean() and (block.in_article or not marked)
-    }
-    if marked:  # an article cut by an advert is one article
-        content |= {block.region for block, line in lines if block.in_article and line}
-    return "\n".join(line for block, line in lines if line and block.region in content)
+        if line and (block.article or not marked)
+    ]
+    threshold = 0.5 * sum(ratio for *_, ratio in texts) / len(texts)
+    content = {region for region, _, ratio in texts if ratio >= threshold}
+    return "\n".join(line for region, line, _ in texts if region in content)
 
 
 def extract_main_text(

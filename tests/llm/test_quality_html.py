@@ -125,6 +125,19 @@ def test_pages_without_an_article_use_the_ratio():
     assert main_text(page).split("\n") == [" ".join(["word"] * 40) + f" {k}" for k in range(4)]
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["<", ">", "</", "<!", "<![", "[", "]", "--", "<p>", "<b>", "</b>", "</p>", "<article", "<div class=ad>",
+    "</div>", "<script>", "</script", "&", "&amp", "#x", ";", "a", " ", '"', "'", "=", "/>", "<?", "<!DOCTYPE", "CDATA[", "x["]), max_size=25))
+def test_no_page_is_an_error(parts):
+    text = main_text("".join(parts))
+    assert text == "\n".join(line.strip() for line in text.split("\n")) and "\n\n" not in text
+
+
+def test_many_open_elements_take_little_time():
+    page = "<article>" + "<b>x</i>" * 40_000 + "<p>word " * 40_000
+    assert main_text(page).count("word") == 40_000
+
+
 def test_smoothing_keeps_constants_and_sums_of_neighbours():
     assert np.allclose(smoothed(np.ones(9)), 1)
     assert smoothed(np.eye(1, 9, 4)[0]).argmax() == 4
