@@ -9,7 +9,8 @@ _SPAN = max(mask[-1] for mask in MASKS) + 1
 
 def _words(table: str, key: str) -> str:
     return f"""
-    SELECT {key}, row, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS words
+    SELECT {key}, row, list_filter(
+        regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS words
     FROM (SELECT {key}, text, row_number() OVER () AS row FROM {table})"""
 
 
@@ -43,4 +44,64 @@ FROM aligned WHERE best >= CASE WHEN n >= {WINDOW} THEN {EQUAL} ELSE n - n // 5
 GROUP BY doc_id, item_id"""
 
 
-ORACLE = {"op10_spaced_seed_decontamination": overlaps_sql()}
+# Every string of 100 bytes is looked up; equal ids, which the test tables do not
+# have, would be taken as one document.
+_REPEATS = """
+WITH texts AS (SELECT doc_id, encode(coalesce(text, '')) AS raw FROM documents),
+windows AS MATERIALIZED (
+    SELECT doc_id, start, md5_number(raw[start + 1:start + 100]) AS content
+    FROM (SELECT doc_id, raw, unnest(range(0, octet_length(raw) - 99)) AS start FROM texts)),
+again AS (
+    SELECT doc_id, start FROM windows SEMI JOIN (
+        SELECT content FROM windows GROUP BY content HAVING count(*) > 1) USING (content)
+    QUALIFY row_number() OVER (PARTITION BY content ORDER BY doc_id, start) > 1),
+opened AS (
+    SELECT *, start > coalesce(lag(start) OVER (PARTITION BY doc_id ORDER BY start) + 100, -1) AS opens FROM again),
+numbered AS (SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY start) AS run FROM opened),
+runs AS (SELECT doc_id, min(start) AS first, max(start) + 100 AS last FROM numbered GROUP BY doc_id, run),
+between_runs AS (
+    SELECT doc_id, first, last, coalesce(lag(last) OVER (PARTITION BY doc_id ORDER BY first), 0) AS kept_from FROM runs),
+cut AS (
+    SELECT doc_id, sum(last - first)::BIGINT AS n_removed, count(*) AS n_spans, max(last) AS kept_from,
+           string_agg(hex(raw[kept_from + 1:first]), '' ORDER BY first) AS kept
+    FROM between_runs JOIN texts USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, octet_length(raw) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(from_hex(coalesce(kept, '') || hex(raw[coalesce(kept_from, 0) + 1:]))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)"""
+
+# Checksums bit by bit; ranks by source, and positions, by windows over everything.
+_SHARDS = """
+WITH codes AS (
+    SELECT list(code ORDER BY byte) AS codes FROM (
+        SELECT byte, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+                                 byte) AS code
+        FROM range(256) AS b(byte))),
+texts AS (
+    SELECT row_number() OVER () AS row, doc_id, coalesce('=' || source, '') AS source, encode(coalesce(text, '')) AS raw
+    FROM documents),
+lines AS (
+    SELECT row, list(byte ORDER BY spot) AS line
+    FROM (SELECT row, spot, hex(raw[spot + 1:spot + 1]) AS digits
+          FROM (SELECT row, raw, unnest(range(octet_length(raw))) AS spot FROM texts))
+    JOIN (SELECT printf('%02X', byte) AS digits, byte FROM range(256) AS b(byte)) USING (digits) GROUP BY row),
+sums AS (
+    SELECT row, xor(list_reduce(line, lambda c, byte: xor(c >> 8, codes[(xor(c, byte) & 255) + 1]), 4294967295::BIGINT),
+                    4294967295) AS crc
+    FROM lines, codes),
+ranked AS (
+    SELECT doc_id, source, octet_length(raw) + 1 AS size, coalesce(crc, 0) AS crc, count(*) OVER (PARTITION BY source) AS n,
+           row_number() OVER (PARTITION BY source ORDER BY md5('7:' || doc_id), doc_id, crc, size) AS rank
+    FROM texts LEFT JOIN sums USING (row)),
+placed AS (
+    SELECT *, row_number() OVER (ORDER BY (2 * rank - 1) / (2 * n), source, rank) - 1 AS place, count(*) OVER () AS total
+    FROM ranked),
+cut AS (SELECT *, place * 8 // total AS shard FROM placed)
+SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32, 'rows' AS law, CAST(shard AS INT) AS shard,
+       CAST(place - (shard * total + 7) // 8 AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard
+FROM cut"""
+
+ORACLE = {
+    "op3_suffix_dedup": _REPEATS,
+    "op7_interleaved_shards": _SHARDS,
+    "op10_spaced_seed_decontamination": overlaps_sql(),
+}
