@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from tastegrid.schemas import GENRES
 
 
+# Labels that may have counters of their own, and rows in broadcasts by label.
+MOST_LABELS = 1024
+
+
 def item_categories(items: DataFrame) -> DataFrame:
     """One row per item and category; items without any are left out."""
     return items.select("item_id", "title", F.explode("genres").alias("genre"))
@@ -37,6 +41,8 @@ def with_flags(items: DataFrame, labels: Sequence[str], *keep: str) -> DataFrame
     """``item_id``, the columns to ``keep``, and booleans ``is_0``, ``is_1``, …
     for the labels an item carries. A label outside the vocabulary stops the
     job, since it would be counted nowhere."""
+    if len(labels) > MOST_LABELS:
+        raise ValueError(f"{len(labels)} labels; favourite_of_many takes more than {MOST_LABELS}")
     known = _label_array(labels)
     places = F.transform("genres", lambda genre: F.array_position(known, genre))
     unknown = F.array_join(F.array_except("genres", known), ", ")

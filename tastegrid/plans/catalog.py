@@ -438,7 +438,7 @@ def export_inferred(spark, sf_dir):
     path = fresh_path(spark, "averages")
     sinks.write_export(_averages(spark, sf_dir), path)
     read = sources.read_export(spark, path)
-    return read.select(F.col("item_id").cast("bigint").alias("item_id"), "title", "avg_rating", F.col("rating_count").cast("bigint").alias("rating_count"))
+    return read.withColumns({name: F.col(name).cast("bigint") for name in ("item_id", "rating_count")})
 
 
 @query

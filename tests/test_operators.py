@@ -132,6 +132,11 @@ def test_favourites_without_a_vocabulary(plan, ratings, items, min_ratings):
     assert {r.user_id: (r.favorite_genre, r.genre_rating_count) for r in got.collect()} == want
 
 
+def test_too_many_labels_for_counters(ratings, items):
+    with pytest.raises(ValueError, match="favourite_of_many"):
+        preferences.favourite_category(ratings, items, 1, [str(i) for i in range(2000)])
+
+
 def test_labels_may_hold_any_character(spark):
     items = spark.createDataFrame([(1, "t", ["a\nb", "c"])], "item_id bigint, title string, genres array<string>")
     ratings = spark.createDataFrame([(1, 1, 5)], "user_id bigint, item_id bigint, rating int")
