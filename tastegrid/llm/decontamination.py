@@ -95,15 +95,16 @@ def contaminated(
     both = (
         shifts.join(F.broadcast(item_words) if small else item_words, F.col("_item").eqNullSafe(F.col("_of")))
         .join(doc_words, same_doc)
-        .select("_doc", "_item", F.size("_test").alias("item_words"), _equal_at("_test", "_words", "_shift").alias("_equal"))
+        .select(
+            "_doc", "_item", F.size("_test").alias("item_words"), _equal_at("_test", "_words", "_shift").alias("_equal")
+        )
     )
     window = F.least(F.lit(WINDOW), F.col("item_words"))
     ends = F.sequence(F.lit(0), F.col("item_words") - window)
     sums = F.transform(ends, lambda at: _total(F.slice("_equal", at + 1, window)))
     needed = F.when(F.col("item_words") >= WINDOW, F.lit(EQUAL)).otherwise(window - F.floor(window / 5).cast("int"))
-    found = both.select(
-        "_doc", "_item", "item_words", F.array_max(sums).alias("_best"), _total(F.col("_equal")).alias("_all"), needed.alias("_needed")
-    ).where("_best >= _needed")
+    best, equal = F.array_max(sums).alias("_best"), _total(F.col("_equal")).alias("_all")
+    found = both.select("_doc", "_item", "item_words", best, equal, needed.alias("_needed")).where("_best >= _needed")
     return found.groupBy(F.col("_doc").alias(id_col), F.col("_item").alias(item_col)).agg(
         F.max("item_words").alias("item_words"), F.max("_best").alias("window_words"), F.max("_all").alias("equal_words")
     )

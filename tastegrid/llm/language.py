@@ -127,7 +127,8 @@ def fit_language_model(
         return None
     names = sorted({language for _, language in rows})
     frequent = Counter(letter for text, _ in rows for letter in text.lower() if letter.isalpha() and len(letter) == 1)
-    alphabet = Alphabet("".join(sorted(letter for letter, _ in sorted(frequent.items(), key=lambda x: (-x[1], x[0]))[:most_letters])))
+    by_count = sorted(frequent, key=lambda letter: (-frequent[letter], letter))
+    alphabet = Alphabet("".join(sorted(by_count[:most_letters])))
     chosen = [text for name in names for text in [t for t, language in rows if language == name][:landmarks_each]]
     grams = [alphabet.distinct_grams(text) for text in chosen]
     used = np.unique(np.concatenate(grams))
@@ -143,8 +144,8 @@ def fit_language_model(
     values, vectors = np.linalg.eigh(among)
     solid = values > 1e-8 * values.max()
     root = vectors[:, solid] / np.sqrt(values[solid])
-    kernels = [model.kernel([text for text, _ in rows[at : at + _BATCH_DOCS]])[0] for at in range(0, len(rows), _BATCH_DOCS)]
-    features = np.concatenate(kernels) @ root
+    parts = [rows[at : at + _BATCH_DOCS] for at in range(0, len(rows), _BATCH_DOCS)]
+    features = np.concatenate([model.kernel([text for text, _ in part])[0] for part in parts]) @ root
     truth = np.array([[1.0 if language == name else -1.0 for name in names] for _, language in rows])
     # Each language weighs the same, however the sample is mixed.
     share = truth.clip(0).sum(axis=0)
@@ -168,7 +169,9 @@ def training_sample(
     ``each`` of a language have are fetched, so no language meets in one task.
     """
     told = docs.select(
-        docs[label_col].alias("label"), docs[text_col].alias("text"), F.pmod(F.xxhash64(docs[id_col]), F.lit(_HASHES)).alias("hash")
+        docs[label_col].alias("label"),
+        docs[text_col].alias("text"),
+        F.pmod(F.xxhash64(docs[id_col]), F.lit(_HASHES)).alias("hash"),
     ).where("text IS NOT NULL AND label IS NOT NULL")
     counts = told.groupBy("label").agg(F.count("*").alias("rows")).collect()
     if not counts:

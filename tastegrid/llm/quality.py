@@ -23,7 +23,10 @@ _SPACES = " \t\n\x0b\x0c\r"
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
 _DIGITS = b"0123456789"
 
-_COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_digits", "n_distinct_words", "n_marks")
+_COUNTS = (
+    "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+    "n_lines", "n_upper", "n_digits", "n_distinct_words", "n_marks",
+)
 _STATISTICS = "_id long, " + ", ".join(f"{name} long" for name in _COUNTS)
 
 #: Ratios that the rules test, from the counts above.

@@ -206,10 +206,8 @@ def _resolve_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         lead_place = np.where(body_at >= 0, place[body_at], first_before[1])
         again = ~new_body & ((ids != lead_id) | (place != lead_place))
         tags, starts, _, windows = _unpacked(place[again])
-        yield _batch(
-            [gram[again], np.full(again.sum(), -1), ids[again], _packed(tags, starts, 0, 1), starts + windows + LENGTH - 1],
-            _FOUND,
-        )
+        ends = starts + windows + LENGTH - 1
+        yield _batch([gram[again], np.full(len(ends), -1), ids[again], _packed(tags, starts, 0, 1), ends], _FOUND)
         second = np.flatnonzero(new_body & (variant == 1))
         own = gram_at[second]
         first_ids = np.where(own >= 0, ids[own], lone[0])
@@ -270,7 +268,8 @@ def repeated_windows(
     name = np.where(covered, names[start], names[start + 1]).astype(np.uint64)
     byte = np.where(covered, raw[start + LENGTH - 1], raw[start])
     group = np.unique(groups, return_inverse=True)[1][context].astype(np.uint64)
-    key = (group << np.uint64(43)) | ((distance.astype(np.uint64) + np.uint64(1)) << np.uint64(36)) | (byte << np.uint64(28)) | name
+    place = distance.astype(np.uint64) << np.uint64(36)
+    key = (group << np.uint64(43)) | place | (byte << np.uint64(28)) | name
     order = np.argsort(key, kind="stable")
     repeats = np.zeros(len(key), dtype=bool)
     repeats[order[1:]] = key[order[1:]] == key[order[:-1]]
@@ -423,7 +422,8 @@ def remove_repeats(
         docs[text_col].cast("string").alias("_text"),
         rest.alias("_rest"),
     )
-    spans = repeated_spans(texts.select("_id", "_text")).groupBy("id", "tag").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    found = repeated_spans(texts.select("_id", "_text")).groupBy("id", "tag")
+    spans = found.agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = (
         texts.withColumn("_tag", _tag_of("_text"))
         .join(spans, (F.col("_id") == F.col("id")) & (F.col("_tag") == F.col("tag")), "left")
