@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tastegrid.llm.common import small_batches
+from tastegrid.llm.common import prepare_workers
 from tastegrid.llm.decontamination import decontaminated
 from tastegrid.llm.language import UNKNOWN, fit_language_model, held_out, training_sample, with_language
 from tastegrid.llm.packing import pack_documents
@@ -29,7 +29,7 @@ MIN_SCORE = 0.2
 def _stage(function):
     @wraps(function)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        small_batches(spark)
+        prepare_workers(spark)
         return function(spark, docs, sf_dir)
 
     return run_stage

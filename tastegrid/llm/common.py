@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -16,9 +18,16 @@ from tastegrid.session import shared_dir
 _ROWS_PER_BATCH = 2000
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Let the session send whole texts to Python in batches of fewer rows."""
+def prepare_workers(spark: SparkSession) -> None:
+    """Let the session send whole texts to Python in batches of fewer rows, and
+    let workers find this package where the driver has it. On a cluster without
+    it in that place, submit it with ``--py-files``."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _ROWS_PER_BATCH)
+    root = str(Path(__file__).resolve().parents[2])
+    variables = spark.sparkContext.environment
+    paths = [path for path in variables.get("PYTHONPATH", "").split(os.pathsep) if path]
+    if root not in paths:
+        variables["PYTHONPATH"] = os.pathsep.join([*paths, root])
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

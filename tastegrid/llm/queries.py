@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tastegrid.llm.common import checkpointed, small_batches
+from tastegrid.llm.common import checkpointed, prepare_workers
 from tastegrid.llm.decontamination import contaminated
 from tastegrid.llm.html_text import extract_main_text
 from tastegrid.llm.language import fit_language_model, held_out, identify, training_sample
@@ -26,7 +26,7 @@ PIECES = "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    small_batches(spark)
+    prepare_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
