@@ -23,6 +23,7 @@ their text.
 
 from __future__ import annotations
 
+import hashlib
 import zlib
 from collections.abc import Iterator, Sequence
 
@@ -134,7 +135,6 @@ def _spans(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, ends: np.ndarr
 
 _CONTEXT = ["gram", "body", "id", "place", "end"]
 _FOUND = ["gram", "variant", "id", "place", "end"]
-_SPAN = ["id", "tag", "start", "end"]
 
 
 def _batch(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
@@ -149,6 +149,29 @@ def _tagged(raw: bytes) -> int:
     return zlib.crc32(raw) & 0xFFFF
 
 
+def _folded(gram: np.ndarray, body: np.ndarray, ids: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The first of each gram and body, and the spans that the others cover."""
+    order = np.lexsort((place, ids, body, gram))
+    gram, body, ids, place = gram[order], body[order], ids[order], place[order]
+    new = np.concatenate([[True], (gram[1:] != gram[:-1]) | (body[1:] != body[:-1])])[: len(gram)]
+    kept = np.flatnonzero(new)
+    yield _batch([gram[kept], body[kept], ids[kept], place[kept], np.full(len(kept), -1)], _CONTEXT)
+    lead = kept[np.cumsum(new) - 1] if len(kept) else kept
+    again = np.flatnonzero(~new & ((ids != ids[lead]) | (place != place[lead])))
+    yield _known(ids[again], place[again])
+
+
+def _known(ids: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+    """Spans of contexts or pieces all of whose windows repeat others."""
+    tags, starts, _, windows = _unpacked(place)
+    return _known_spans(*_spans(ids, tags, starts, starts + windows + LENGTH - 1))
+
+
+def _known_spans(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+    place = _packed(tags, starts, 0, 1)
+    return _batch([ids ^ place, tags, ids, place, ends], _CONTEXT)
+
+
 def _context_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first of equal contexts of a batch (``end`` -1) and, for the rest,
     which repeat it for certain, the spans they cover (``end`` 0 or more)."""
@@ -167,16 +190,7 @@ def _context_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if not parts:
             continue
         gram, body, ids, place = (np.concatenate(column) for column in zip(*parts))
-        order = np.lexsort((place, ids, body, gram))
-        gram, body, ids, place = gram[order], body[order], ids[order], place[order]
-        new = np.concatenate([[True], (gram[1:] != gram[:-1]) | (body[1:] != body[:-1])])[: len(gram)]
-        kept = np.flatnonzero(new)
-        yield _batch([gram[kept], body[kept], ids[kept], place[kept], np.full(len(kept), -1)], _CONTEXT)
-        lead = kept[np.cumsum(new) - 1] if len(kept) else kept
-        again = np.flatnonzero(~new & ((ids != ids[lead]) | (place != place[lead])))
-        tags, starts, _, windows = _unpacked(place[again])
-        ids, tags, starts, ends = _spans(ids[again], tags, starts, starts + windows + LENGTH - 1)
-        yield _batch([ids, tags, ids, _packed(tags, starts, 0, 1), ends], _CONTEXT)
+        yield from _folded(gram, body, ids, place)
 
 
 def _resolve_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,10 +302,13 @@ def _piece_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the open contexts of each document, by cell: equal windows are
     in one cell, and cells are sorted apart. A gram's contexts are one cell,
     but a gram with too many is cut by blocks of distances to the anchor, and
-    these by a hash of the bytes that all windows of a block share."""
+    these by a hash of the bytes that all windows of a block share. Of equal
+    pieces of such a cell the first goes on; the others repeat it and go without
+    their bytes, to any cell."""
     for batch in batches:
         texts, names = string_column(batch, "_text"), batch.column("_id").to_pylist()
         out: list[tuple] = []
+        leads: dict[tuple[int, bytes], tuple[int, int]] = {}
         for text, name, open_ones in zip(texts, names, batch.column("open")):
             raw = (text.as_py() or "").encode()
             tag = _tagged(raw)
@@ -309,8 +326,17 @@ def _piece_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         shared = zlib.crc32(raw[first : first - width + 1 + LENGTH])
                         cell = _signed(cell ^ (block * _BASE) ^ (shared % parts * _PART))
                     piece = raw[start + step : start + stop + LENGTH - 1]
-                    out.append((cell, name, int(_packed(tag, start + step, anchor - step, stop - step)), piece))
+                    place = int(_packed(tag, start + step, anchor - step, stop - step))
                     step = stop
+                    if parts == 1:
+                        out.append((cell, name, place, piece))
+                        continue
+                    lead = leads.setdefault((cell, piece), (name, place))
+                    if lead != (name, place):
+                        leads[cell, piece] = min(lead, (name, place))
+                        name_again, again = max(lead, (name, place))
+                        out.append((_signed(name_again * _BASE ^ again * _PART), name_again, again, None))
+        out += [(cell, *lead, piece) for (cell, piece), lead in leads.items()]
         if out:
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
@@ -319,10 +345,43 @@ def _piece_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sort_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of the windows that repeat others, from pieces sorted by cell."""
+    """Spans of the windows that repeat others (``end`` 0 or more), from pieces
+    sorted by cell, bytes and position. Equal pieces are one entry.
+
+    Holds ``_SORTED_BYTES`` and a batch at most: the windows of a cell with more
+    different pieces are given one by one, by a hash of their bytes (``end`` -1).
+    """
     held: list[pa.RecordBatch] = []
     size = 0
+    crowded = None  # the cell that is given by windows
+    lead: tuple | None = None  # cell, bytes and position of the last different piece
     for batch in batches:
+        bare = batch.column("piece").is_null()
+        if bare.true_count:
+            given = batch.filter(bare)
+            yield _known(given.column("id").to_numpy(), given.column("place").to_numpy())
+            batch = batch.filter(pa.compute.invert(bare))
+        if not batch.num_rows:
+            continue
+        cells, ids, places = (batch.column(name).to_numpy() for name in ("cell", "id", "place"))
+        pieces = batch.column("piece")
+        same = pa.compute.equal(pieces.slice(1), pieces.slice(0, len(pieces) - 1)).to_numpy(zero_copy_only=False)
+        goes_on = lead is not None and lead[:2] == (cells[0], pieces[0].as_py())
+        new = np.concatenate([[not goes_on], ~same.astype(bool) | (cells[1:] != cells[:-1])])
+        lead_at = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
+        lead_ids = np.where(lead_at >= 0, ids[lead_at], lead[2] if lead else 0)
+        lead_places = np.where(lead_at >= 0, places[lead_at], lead[3] if lead else 0)
+        again = ~new & ((ids != lead_ids) | (places != lead_places))
+        if again.any():
+            yield _known(ids[again], places[again])
+        lead = (cells[-1], pieces[len(pieces) - 1].as_py(), lead_ids[-1], lead_places[-1])
+        batch = batch.filter(pa.array(new))
+        if crowded is not None:
+            inside = int(np.searchsorted(cells[new], crowded, side="right"))
+            yield from _single_windows(batch.slice(0, inside))
+            batch = batch.slice(inside)
+        if not batch.num_rows:
+            continue
         held.append(batch)
         size += batch.nbytes
         if size < _SORTED_BYTES:
@@ -333,11 +392,34 @@ def _sort_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if whole:
             yield _sorted_spans(table.slice(0, whole))
         rest = table.slice(whole).combine_chunks()
-        held, size = rest.to_batches(), rest.nbytes if whole else 0
+        held, size = rest.to_batches(), rest.nbytes
+        if size >= _SORTED_BYTES:
+            crowded = cells[-1]
+            for part in held:
+                yield from _single_windows(part)
+            held, size = [], 0
     if held:
         yield _sorted_spans(pa.Table.from_batches(held))
 
 
+def _single_windows(pieces: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Windows of the pieces by a 128-bit hash: the first of equal ones, and the
+    spans that the others cover."""
+    for start in range(0, pieces.num_rows, _TOGETHER):
+        part = pieces.slice(start, _TOGETHER)
+        tags, starts, _, windows = _unpacked(part.column("place").to_numpy())
+        hashes = b"".join(
+            hashlib.blake2b(piece[at : at + LENGTH], digest_size=16).digest()
+            for piece, count in zip(part.column("piece").to_pylist(), windows.tolist())
+            for at in range(count)
+        )
+        piece = np.repeat(np.arange(len(windows)), windows)
+        within = np.arange(len(piece)) - np.repeat(np.cumsum(windows) - windows, windows)
+        gram, body = np.frombuffer(hashes, dtype=np.int64).reshape(-1, 2).T
+        place = _packed(tags[piece], starts[piece] + within, 0, 1)
+        yield from _folded(gram, body, part.column("id").to_numpy()[piece], place)
+
+
 def _sorted_spans(table: pa.Table) -> pa.RecordBatch:
     table = table.combine_chunks()
     cells, ids, places = (table.column(name).to_numpy() for name in ("cell", "id", "place"))
@@ -352,7 +434,7 @@ def _sorted_spans(table: pa.Table) -> pa.RecordBatch:
     within = np.arange(len(context)) - np.repeat(np.cumsum(windows) - windows, windows)
     at = np.flatnonzero(repeats)
     begin = starts[context[at]] + within[at]
-    return _batch(_spans(ids[context[at]], tags[context[at]], begin, begin + LENGTH), _SPAN)
+    return _known_spans(*_spans(ids[context[at]], tags[context[at]], begin, begin + LENGTH))
 
 
 def repeated_spans(texts: DataFrame, most_broadcast: int = _MOST_BROADCAST) -> DataFrame:
@@ -385,14 +467,20 @@ def repeated_spans(texts: DataFrame, most_broadcast: int = _MOST_BROADCAST) -> D
         (F.col("_id") == F.col("id")) & (F.col("_tag") == F.col("tag")),
     ).select("_id", "_text", "open")
     pieces = open_texts.mapInArrow(_piece_task, _PIECE)
-    sorted_spans = pieces.repartition("cell").sortWithinPartitions("cell").mapInArrow(_sort_task, _longs(_SPAN))
-    plain = resolved.where("variant < 0").select(
+    found = (
+        pieces.repartition("cell")
+        .sortWithinPartitions("cell", "piece", "id", "place")
+        .mapInArrow(_sort_task, _longs(_CONTEXT))
+        .repartition("gram")
+        .sortWithinPartitions("gram", "body", "id", "place")
+        .mapInArrow(_resolve_task, _longs(_FOUND))
+    )
+    return resolved.unionByName(found).where("variant < 0").select(
         "id",
         F.shiftright("place", _TAG).alias("tag"),
         F.shiftright("place", _START).bitwiseAND(0xFFFFFFFF).alias("start"),
         "end",
     )
-    return plain.unionByName(sorted_spans)
 
 
 def _tag_of(text: str):

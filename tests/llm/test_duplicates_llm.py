@@ -6,6 +6,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from cases import edge_docs, edge_rows, empty_docs, rows_of, words
@@ -85,6 +86,50 @@ def test_repeats_on_edge_rows(spark):
     assert {(r._id, r.seed) for r in carried} == {(7, "x")}
 
 
+def test_passage_in_thousands_of_documents(spark):
+    rng = random.Random(12)
+    passage = words(rng, 50)[:200]
+    rows = [(at, words(rng, 18)[:60] + passage + words(rng, 18)[:60]) for at in range(1500)]
+    docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string").repartition(3)
+    got = repeats_of(docs)
+    assert sorted(set(got)) == sorted(slow_repeats(rows)) and len(got) == len(rows) + 3
+
+
+@pytest.mark.parametrize("unlike", [1, 12_000])
+def test_crowded_cell_is_sorted_in_bounded_memory(monkeypatch, unlike):
+    rng = random.Random(13)
+    shared, sorted_bytes = bytes(rng.choices(range(97, 110), k=97)), []
+    monkeypatch.setattr(suffix_dedup, "_SORTED_BYTES", 1 << 17)
+    plain = suffix_dedup.repeated_windows
+    monkeypatch.setattr(
+        suffix_dedup, "repeated_windows", lambda raw, *rest: (sorted_bytes.append(len(raw)), plain(raw, *rest))[1]
+    )
+    texts = [shared + f"{at % unlike:018d}".encode() for at in range(12_000)]
+    cells = [(5, at, suffix_dedup._packed(0, 0, 20, 16), text) for at, text in enumerate(texts)]
+    # The cells around it are sorted as ever.
+    cells += [(cell, 20_000 + at, suffix_dedup._packed(0, 0, 20, 1), shared[:90] + b"z" * 10) for cell in (4, 6) for at in (cell, 9)]
+    cells.sort(key=lambda row: (row[0], row[3], row[1]))
+    kinds = pa.schema([("cell", pa.int64()), ("id", pa.int64()), ("place", pa.int64()), ("piece", pa.binary())])
+    table = pa.Table.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*cells), kinds.types)], schema=kinds)
+    found = pa.Table.from_batches(suffix_dedup._sort_task(iter(table.to_batches(500)))).sort_by(
+        [(name, "ascending") for name in ("gram", "body", "id", "place")]
+    )
+    done = pa.Table.from_batches(suffix_dedup._resolve_task(iter(found.to_batches(700)))).to_pylist()
+    covered = {}
+    for row in done:
+        assert row["variant"] == -1
+        start = row["place"] >> 14
+        covered.setdefault(row["id"], set()).update(range(start, row["end"]))
+    seen, want = set(), {20_009: set(range(100))}
+    for at, text in enumerate(texts):
+        for start in range(16):
+            if text[start : start + LENGTH] in seen:
+                want.setdefault(at, set()).update(range(start, start + LENGTH))
+            seen.add(text[start : start + LENGTH])
+    assert covered == want
+    assert max(sorted_bytes, default=0) <= 2 * suffix_dedup._SORTED_BYTES
+
+
 def test_one_id_with_two_texts(spark):
     rng = random.Random(3)
     one, two = words(rng, 60), words(rng, 60)
