@@ -18,6 +18,21 @@ from tastegrid.llm.common import checkpointed
 MASKS = ((0, 1, 3, 5, 6), (0, 1, 2, 3, 6))
 WINDOW, EQUAL = 16, 13
 _SPAN = max(mask[-1] for mask in MASKS) + 1
+#: Items of so few words are equal as a whole or not at all, and are one seed.
+_WHOLE = 4
+_CLOSE = ((0, 1, 2, 4, 5), (0, 1, 2, 3, 4))
+#: What shorter items need besides, by their number of words, to be hit with up
+#: to a fifth of the words substituted; the tests enumerate these, too.
+SHORT_MASKS = {
+    **{words: (tuple(range(words)),) for words in range(1, _WHOLE + 1)},
+    5: ((0, 1, 2, 3), (0, 2, 3, 4), (0, 1, 3, 4), (0, 1, 2, 4)),
+    6: ((0, 1, 2, 3), (0, 1, 4, 5)),
+    7: _CLOSE,
+    8: _CLOSE[:1],
+    10: _CLOSE,
+    11: _CLOSE[:1],
+    15: _CLOSE[:1],
+}
 #: Seeds, or ids of documents with hits, that may be sent to every executor
 #: (some 32 bytes each).
 MOST_BROADCAST = 1_000_000
@@ -28,28 +43,55 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda word: word != "")
 
 
-def _seeds(hashes: Column) -> Column:
-    """Seeds of all masks at all places, those of one mask after the other's."""
-    count = F.size(hashes) - _SPAN + 1
+def masks_for(lengths: set[int]) -> list[tuple[int, ...]]:
+    """All masks that items of these numbers of words need."""
+    short = {mask for words in lengths for mask in SHORT_MASKS.get(words, ())}
+    return [*MASKS, *sorted(short - set(MASKS))]
+
+
+def _least_span(masks: list[tuple[int, ...]]) -> int:
+    return min(mask[-1] for mask in masks) + 1
+
+
+def _needs(mask: tuple[int, ...], words: Column) -> Column:
+    """Whether an item of so many words is searched by the mask."""
+    short = [F.lit(count) for count, masks in SHORT_MASKS.items() if mask in masks]
+    return words >= _SPAN if mask in MASKS else words.isin(short)
+
+
+def _seeds(hashes: Column, masks: list[tuple[int, ...]], of_items: bool) -> Column:
+    """Seeds of all masks at all places, those of one mask after the other's;
+    null where a mask does not fit or an item does not need it."""
+    least = _least_span(masks)
+    count = F.size(hashes) - least + 1
     places = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
 
     def seed(number: int, mask: tuple[int, ...]):
-        return lambda at: F.xxhash64(F.lit(number), *[F.get(hashes, at + place) for place in mask])
+        def at_place(at: Column) -> Column:
+            value = F.xxhash64(F.lit(number), *[F.get(hashes, at + place) for place in mask])
+            if mask[-1] + 1 > least:
+                value = F.when(at + mask[-1] < F.size(hashes), value)
+            return F.when(_needs(mask, F.size(hashes)), value) if of_items else value
 
-    return F.concat(*[F.transform(places, seed(number, mask)) for number, mask in enumerate(MASKS)])
+        return at_place
 
+    return F.concat(*[F.transform(places, seed(number, mask)) for number, mask in enumerate(masks)])
 
-def _seed_rows(texts: DataFrame, key: str, place: str) -> DataFrame:
-    """(key, place, seed), a row for each mask and place."""
-    hashed = texts.select(key, F.transform(words_of(F.col("_text")), lambda word: F.xxhash64(word)).alias("_hashes"))
-    places = F.greatest(F.size("_hashes") - _SPAN + 1, F.lit(1)).alias("_places")
+
+def _seed_rows(texts: DataFrame, key: str, place: str, masks: list[tuple[int, ...]], *kept: str) -> DataFrame:
+    """(key, place, seed, kept), a row for each mask and place."""
+    hashed = texts.select(
+        key, *kept, F.transform(words_of(F.col("_text")), lambda word: F.xxhash64(word)).alias("_hashes")
+    )
+    places = F.greatest(F.size("_hashes") - _least_span(masks) + 1, F.lit(1)).alias("_places")
     # Outer, as Spark else computes the seeds once more to skip empty arrays;
     # the array itself must not be asked for behind the explode, or every row
     # would carry a copy. The row without a seed meets nothing.
-    rows = hashed.select(key, places, _seeds(F.col("_hashes")).alias("_seeds")).select(
-        key, "_places", F.posexplode_outer("_seeds").alias("_at", "seed")
+    seeds = _seeds(F.col("_hashes"), masks, of_items=bool(kept)).alias("_seeds")
+    rows = hashed.select(key, *kept, places, seeds).select(
+        key, *kept, "_places", F.posexplode_outer("_seeds").alias("_at", "seed")
     )
-    return rows.select(key, (F.col("_at") % F.col("_places")).alias(place), "seed")
+    return rows.select(key, (F.col("_at") % F.col("_places")).alias(place), "seed", *kept)
 
 
 def contaminated(
@@ -65,7 +107,7 @@ def contaminated(
 
     They overlap if, at one shift, 13 of 16 consecutive words are equal; for an
     item of fewer than 16 words, all of it counts and up to a fifth of the words
-    may differ. An item of fewer than 7 words has no seed and is not searched.
+    may differ, so one of fewer than 5 words must be there as it is.
 
     Returns (id, item, item_words, window_words, equal_words), a row per pair:
     the most equal words in a window, and in the whole item at one shift. Case
@@ -78,11 +120,19 @@ def contaminated(
     """
     texts = docs.select(docs[id_col].alias("_doc"), docs[text_col].cast("string").alias("_text"))
     items = benchmark.select(benchmark[item_col].alias("_item"), benchmark[item_text_col].cast("string").alias("_text"))
-    tests = _seed_rows(items, "_item", "_item_at")
+    # Lengths from 16 on are one, so there are some 16 rows at most.
+    length = F.least(F.size(words_of(F.col("_text"))), F.lit(WINDOW))
+    items = items.withColumn("_length", length)
+    masks = masks_for({row[0] for row in items.select("_length").distinct().collect()})
+    tests = _seed_rows(items, "_item", "_item_at", masks, "_length").where("seed IS NOT NULL")
     small = tests.count() <= most_broadcast
-    hits = _seed_rows(texts, "_doc", "_doc_at").join(F.broadcast(tests) if small else tests, "seed")
+    hits = _seed_rows(texts, "_doc", "_doc_at", masks).join(F.broadcast(tests) if small else tests, "seed")
+    # The hits of an item that is one seed are all alike, and one of them will do.
+    shift, whole = F.col("_doc_at") - F.col("_item_at"), F.col("_length") <= _WHOLE
     shifts = checkpointed(
-        hits.select("_doc", "_item", (F.col("_doc_at") - F.col("_item_at")).alias("_shift")).distinct()
+        hits.groupBy("_doc", "_item", F.when(whole, F.col("_length")).alias("_alike"), F.when(~whole, shift).alias("_apart"))
+        .agg(F.min(shift).alias("_shift"))
+        .select("_doc", "_item", "_shift")
     )
     few = shifts.count() <= most_broadcast
     # Only texts with a hit are cut into words again, and moved.

@@ -3,7 +3,7 @@
 import hashlib
 import random
 import re
-from itertools import combinations
+from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +12,7 @@ import xxhash
 from cases import edge_docs, edge_rows, empty_docs, rows_of, words
 
 from tastegrid.llm import simhash, suffix_dedup
-from tastegrid.llm.decontamination import EQUAL, MASKS, WINDOW, contaminated, decontaminated
+from tastegrid.llm.decontamination import EQUAL, MASKS, SHORT_MASKS, WINDOW, contaminated, decontaminated
 from tastegrid.llm.simhash import near_duplicates, similar_fingerprints
 from tastegrid.llm.suffix_dedup import LENGTH, remove_repeats
 
@@ -240,6 +240,17 @@ def test_masks_hit_every_window_with_three_changes():
         )
 
 
+@pytest.mark.parametrize("words_in_item", range(1, WINDOW))
+def test_masks_hit_every_short_item_with_a_fifth_changed(words_in_item):
+    masks = [*MASKS, *SHORT_MASKS.get(words_in_item, ())]
+    for changed in combinations(range(words_in_item), words_in_item // 5):
+        assert any(
+            not any(start + place in changed for place in mask)
+            for mask in masks
+            for start in range(words_in_item - mask[-1])
+        )
+
+
 def tokens(text):
     return [word for word in re.split(r"[\W_]+", (text or "").lower()) if word]
 
@@ -279,6 +290,39 @@ def test_overlaps_equal_brute_force(spark, most_broadcast):
     assert clean == {name for name, _ in docs} - {row[0] for row in found}
 
 
+def slow_short_overlaps(docs, items):
+    """Every shift compared word by word; items of fewer than 16 words."""
+    out = {}
+    for (name, text), (item, passage) in product(docs, items):
+        own, test = tokens(text), tokens(passage)
+        if test:
+            shifts = range(1 - len(test), len(own))
+            best = max((sum(0 <= k + at < len(own) and own[k + at] == word for k, word in enumerate(test)) for at in shifts), default=0)
+            if best >= len(test) - len(test) // 5:
+                out[name, item] = (len(test), best, best)
+    return sorted((*key, *value) for key, value in out.items())
+
+
+@pytest.mark.parametrize("most_broadcast", [1_000_000, 0])
+def test_short_items_equal_brute_force(spark, most_broadcast):
+    rng = random.Random(14)
+    items = [(size, words(rng, size, "abcdefghijkl")) for size in range(WINDOW)]
+    docs = []
+    for size, text in items[1:]:
+        for changed in combinations(range(size), size // 5) if size // 5 < 3 else [(3, 7, 11), (2, 7, 12), (3, 6, 9), (4, 7, 10), *rng.sample(list(combinations(range(15), 3)), 40)]:
+            test = ["new" if at in changed else word for at, word in enumerate(tokens(text))]
+            # At the edges of a document, too, where changed words may be missing.
+            docs += [(len(docs), f"{words(rng, 3)}, {' '.join(test)}! {words(rng, 9)}"), (len(docs) + 1, " ".join(test[1:]))]
+        docs.append((len(docs), " ".join(["new", *tokens(text)[: size - size // 5 - 1], "new"])))
+    docs.append((len(docs), " and ".join([items[1][1]] * 500)))
+    assert len({name for name, _ in docs}) == len(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    found = sorted(tuple(r) for r in contaminated(df, tests, most_broadcast=most_broadcast).collect())
+    assert found == slow_short_overlaps(docs, items)
+    assert {row[1] for row in found} == set(range(1, WINDOW))
+
+
 def test_decontamination_on_edge_rows(spark):
     text = edge_rows()[9][1]
     tests = spark.createDataFrame([(1, text, 5), (None, text, 5), (2, None, 5), (3, "", 5), (4, "too short", 5)], "item_id long, text string, doc_id long")
