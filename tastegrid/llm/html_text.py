@@ -40,7 +40,27 @@ _SKIPPED_WORDS = frozenset(
     "newsletter subscribe subscription share sharing social related comment comments respond disqus login signup search "
     "contentinfo complementary toolbar alert hidden".split()
 )
+#: Compound names with one of these words, or that end in one of those, tell of
+#: an element's state or layout (has-sidebar, search-results), not what it is.
+_STATE_WORDS = frozenset("has no with without not overflow".split())
+_STATE_ENDS = frozenset(
+    "active closed collapsed disabled enabled expanded free heading headline layout main open opened page result "
+    "results title visible".split()
+)
+#: Chrome whose own items are often marked as articles.
+_LISTED_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertising promo promotion sponsor sponsored widget related comment comments "
+    "respond disqus".split()
+)
 _ARTICLE = frozenset(["article", "main"])
+#: Elements that lines stand in, not groups of lines.
+_LINES = frozenset(
+    "p h1 h2 h3 h4 h5 h6 hgroup header li dt dd ul ol dl blockquote pre table thead tbody tfoot tr td th figure figcaption "
+    "address hr".split()
+)
+# How an element is skipped: not at all, not if the page has nothing better (an
+# article in an element skipped by its name), by its name, or for good.
+_KEPT, _SPARE, _NAMED, _GONE = range(4)
 #: Elements whose end a new one of the same kind implies.
 _IMPLIED_END = frozenset("p li dt dd tr td th option".split())
 _NAMES = re.compile(r"[A-Za-z]+")
@@ -54,6 +74,7 @@ class Block:
     tags: int = 0
     region: int = 0
     article: int = 0
+    spare: bool = False
 
     def line(self) -> str:
         return " ".join("".join(self.text).split())
@@ -65,9 +86,11 @@ class BlockParser(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.blocks = [Block()]
-        self._open: list[tuple[str, bool, int]] = []  # name, skipped, number of the article around
+        # Name, how it is skipped, numbers of the article and of the group of lines around.
+        self._open: list[tuple[str, int, int, int]] = []
         self._count: Counter[str] = Counter()  # open elements by name
-        self._region = self._articles = 0
+        self._region = self._articles = self._groups = 0
+        self._regions: dict[int, int] = {}  # of the groups that have a line of their own
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         """Sections that are none, such as ``<![x[``, are comments, not errors."""
@@ -77,31 +100,38 @@ class BlockParser(HTMLParser):
             return self.parse_bogus_comment(i)
 
     def _close(self, first: int, last: int | None = None) -> None:
-        for name, _, _ in self._open[first:last]:
+        for name, *_ in self._open[first:last]:
             self._count[name] -= 1
         del self._open[first:last]
 
-    def _state(self) -> tuple[bool, int]:
-        return self._open[-1][1:] if self._open else (False, 0)
+    def _state(self) -> tuple[int, int, int]:
+        return self._open[-1][1:] if self._open else (_KEPT, 0, 0)
 
     def _new_block(self, region: bool = False) -> None:
         self._region += region
-        skipped, article = self._state()
+        skipped, article, _ = self._state()
         last = self.blocks[-1]
         if last.text or last.tags:
             self.blocks.append(last := Block())
-        last.region, last.article = self._region, 0 if skipped else article
+        last.region, last.article, last.spare = self._region, article if skipped <= _SPARE else 0, skipped == _SPARE
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in _IMPLIED_END and self._open and self._open[-1][0] == tag:
             self._close(len(self._open) - 1)
         if tag not in _VOID:
-            skipped, article = self._state()
+            skipped, article, group = self._state()
             if tag in _ARTICLE and not article:
                 self._articles += 1
                 article = self._articles
-            own = tag in _SKIPPED or tag in _CHROME and not (tag == "header" and article) or _says_skip(tag, attrs)
-            self._open.append((tag, skipped or own, article))
+                if skipped == _NAMED:
+                    skipped = _SPARE
+            own = _says_skip(tag, attrs)
+            if tag in _SKIPPED or tag in _CHROME and not (tag == "header" and article):
+                own = _GONE
+            if tag not in _INLINE and tag not in _LINES:
+                self._groups += 1
+                group = self._groups
+            self._open.append((tag, max(skipped, own), article, group))
             self._count[tag] += 1
             if own or tag in _ARTICLE:
                 self._new_block(region=True)
@@ -129,22 +159,40 @@ class BlockParser(HTMLParser):
             self._new_block()
 
     def handle_data(self, data: str) -> None:
-        if not self._state()[0]:
+        skipped, _, group = self._state()
+        if skipped <= _SPARE:
             self.blocks[-1].text.append(data)
+            if not data.isspace():
+                self.blocks[-1].region = self._regions.setdefault(group, self.blocks[-1].region)
+
+
+def _chrome_words(name: str) -> frozenset[str]:
+    """The words by which a class, id or role names chrome: the whole name, or
+    the first or last word of a compound (ad-box, site-footer) that does not
+    tell of a state or a layout."""
+    parts = _NAMES.findall(name)
+    found = _SKIPPED_WORDS.intersection(parts)
+    if not found or len(parts) == 1:
+        return found
+    if _STATE_WORDS.intersection(parts) or parts[-1] in _STATE_ENDS:
+        return frozenset()
+    found = found.intersection((parts[0], parts[-1]))
+    return found if parts[0] in ("is", "visually") else found - {"hidden"}
 
 
-def _says_skip(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+def _says_skip(tag: str, attrs: list[tuple[str, str | None]]) -> int:
     if tag in ("html", "body") or tag in _ARTICLE:
-        return False
+        return _KEPT
+    words: set[str] = set()
     for name, value in attrs:
         value = (value or "").lower()
-        if name in ("class", "id", "role") and _SKIPPED_WORDS.intersection(_NAMES.findall(value)):
-            return True
+        if name in ("class", "id", "role"):
+            words.update(*map(_chrome_words, value.split()))
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return _GONE
         if name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-    return False
+            return _GONE
+    return _GONE if _LISTED_WORDS.intersection(words) else _NAMED if words else _KEPT
 
 
 def smoothed(ratios: np.ndarray, sigma: float = _SIGMA) -> np.ndarray:
@@ -159,7 +207,10 @@ def main_text(html: str | None) -> str:
     """Lines of the content regions, joined by line feeds; empty if there are none.
 
     A region is an article that the page marks, with what skipped elements in it
-    leave, or, on pages without one, what lies between two skipped elements. A
+    leave, or, on pages without one, what lies between two skipped elements;
+    lines of one parent stay in one region. An article inside an element that
+    only its name makes chrome counts if the rest of the page has no article and
+    less text. A
     line is content if its smoothed ratio reaches half of the mean over all lines
     of regions. A region with such a line is content, and is given whole, its
     short lines too.
@@ -168,6 +219,13 @@ def main_text(html: str | None) -> str:
     parser.feed(html or "")
     parser.close()
     lines = [(block, block.line()) for block in parser.blocks]
+    lengths = [0, 0]
+    for block, line in lines:
+        lengths[block.spare] += len(line)
+    if lengths[False] >= lengths[True] or any(block.article and line and not block.spare for block, line in lines):
+        for block, _ in lines:
+            block.article = 0 if block.spare else block.article
+        lines = [(block, "" if block.spare else line) for block, line in lines]
     lines = [(block, line) for block, line in lines if line or block.tags]
     if not any(line for _, line in lines):
         return ""

@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from cases import edge_docs, edge_rows, empty_docs
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -125,6 +126,40 @@ def test_pages_without_an_article_use_the_ratio():
     assert main_text(page).split("\n") == [" ".join(["word"] * 40) + f" {k}" for k in range(4)]
 
 
+WRAPPERS = [
+    '<div class="overflow-hidden">', '<div class="content-sidebar-wrap">', '<div class="page has-sidebar">',
+    '<div class="no-sidebar">', '<div id="search-results">', '<section class="post comment-enabled">',
+    '<div class="md:hidden">', '<div class="layout-with-sidebar">', '<div class="sidebar">', '<div id="banner">',
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("marked", [True, False])
+def test_layout_wrappers_keep_their_article(wrapper, marked):
+    body = f"<h1 class='banner-title'>Head</h1><p>{'word ' * 30}</p><p>End.</p>"
+    close = f"</{wrapper[1:].split()[0]}>"
+    page = f"<body>{wrapper}{'<article>' + body + '</article>' if marked else body}{close}<footer>Foot</footer></body>"
+    named = not marked and wrapper in WRAPPERS[-2:]
+    assert main_text(page).split("\n") == ([""] if named else ["Head", " ".join(["word"] * 30), "End."])
+
+
+@pytest.mark.parametrize(
+    "name", ["ad", "ads-top", "ad-300", "sidebar", "left-sidebar", "site-footer", "comments", "comment-list", "promo_box", "sidebar-wrapper",
+             "x nav", "related-posts", "search", "is-hidden"],
+)
+def test_chrome_by_name_goes(name):
+    text = f"<p>{'word ' * 30}</p>"
+    for inside in (f"<p>{'more ' * 20}</p>", f"<article><p>{'more ' * 20}</p></article>"):
+        page = f"<body><div>{text}<div class='{name}'>{inside}</div>{text}</div></body>"
+        assert main_text(page).split("\n") == [" ".join(["word"] * 30)] * 2
+
+
+def test_skipped_elements_do_not_split_the_lines_of_a_parent():
+    text = f"<p>{'word ' * 40}</p>"
+    page = f"<body><div><h1>Head</h1><div class='share'>x</div>{text}<aside>y</aside>{text}<div class='ad'>z</div><p>End.</p></div></body>"
+    assert main_text(page).split("\n") == ["Head", *[" ".join(["word"] * 40)] * 2, "End."]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(["<", ">", "</", "<!", "<![", "[", "]", "--", "<p>", "<b>", "</b>", "</p>", "<article", "<div class=ad>",
     "</div>", "<script>", "</script", "&", "&amp", "#x", ";", "a", " ", '"', "'", "=", "/>", "<?", "<!DOCTYPE", "CDATA[", "x["]), max_size=25))
