@@ -17,8 +17,8 @@ without loss, into pieces that may be sorted apart:
   windows, and all but the first of them are repeats.
 
 The names span 99 bytes, so ``length`` is 100. Positions are ordered by
-document id and start. Documents with one id are told apart by a checksum of
-their text.
+document id, a 64-bit hash of the text and start. Documents with one id are told
+apart by that hash and 16 bits of another checksum.
 """
 
 from __future__ import annotations
@@ -118,23 +118,25 @@ def contexts(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
     return first, last, anchor[first], grams[anchor[first]], (sums[last + LENGTH] - sums[first]) * down[first]
 
 
-def _spans(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
+def _spans(
+    ids: np.ndarray, texts: np.ndarray, tags: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> list[np.ndarray]:
     """Spans joined where they touch, per document."""
-    order = np.lexsort((starts, tags, ids))
-    ids, tags, starts, ends = ids[order], tags[order], starts[order], ends[order]
+    order = np.lexsort((starts, tags, texts, ids))
+    ids, texts, tags, starts, ends = ids[order], texts[order], tags[order], starts[order], ends[order]
     if not len(ids):
-        return [ids, tags, starts, ends]
-    other = np.concatenate([[True], (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])])
+        return [ids, texts, tags, starts, ends]
+    other = np.concatenate([[True], (ids[1:] != ids[:-1]) | (texts[1:] != texts[:-1]) | (tags[1:] != tags[:-1])])
     # The furthest end so far, per document: documents are set apart by an offset.
     offset = (np.cumsum(other) - 1) << 33
     reach = np.maximum.accumulate(ends + offset) - offset
     new = other | np.concatenate([[True], starts[1:] > reach[:-1]])
     at = np.flatnonzero(new)
-    return [ids[at], tags[at], starts[at], reach[np.concatenate([at[1:], [len(ids)]]) - 1]]
+    return [ids[at], texts[at], tags[at], starts[at], reach[np.concatenate([at[1:], [len(ids)]]) - 1]]
 
 
-_CONTEXT = ["gram", "body", "id", "place", "end"]
-_FOUND = ["gram", "variant", "id", "place", "end"]
+_CONTEXT = ["gram", "body", "id", "text", "place", "end"]
+_FOUND = ["gram", "variant", "id", "text", "place", "end"]
 
 
 def _batch(columns: list[np.ndarray], names: list[str]) -> pa.RecordBatch:
@@ -149,27 +151,30 @@ def _tagged(raw: bytes) -> int:
     return zlib.crc32(raw) & 0xFFFF
 
 
-def _folded(gram: np.ndarray, body: np.ndarray, ids: np.ndarray, place: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _folded(
+    gram: np.ndarray, body: np.ndarray, ids: np.ndarray, texts: np.ndarray, place: np.ndarray
+) -> Iterator[pa.RecordBatch]:
     """The first of each gram and body, and the spans that the others cover."""
-    order = np.lexsort((place, ids, body, gram))
-    gram, body, ids, place = gram[order], body[order], ids[order], place[order]
+    order = np.lexsort((place, texts, ids, body, gram))
+    gram, body, ids, texts, place = gram[order], body[order], ids[order], texts[order], place[order]
     new = np.concatenate([[True], (gram[1:] != gram[:-1]) | (body[1:] != body[:-1])])[: len(gram)]
     kept = np.flatnonzero(new)
-    yield _batch([gram[kept], body[kept], ids[kept], place[kept], np.full(len(kept), -1)], _CONTEXT)
+    yield _batch([gram[kept], body[kept], ids[kept], texts[kept], place[kept], np.full(len(kept), -1)], _CONTEXT)
     lead = kept[np.cumsum(new) - 1] if len(kept) else kept
-    again = np.flatnonzero(~new & ((ids != ids[lead]) | (place != place[lead])))
-    yield _known(ids[again], place[again])
+    again = np.flatnonzero(~new & ((ids != ids[lead]) | (texts != texts[lead]) | (place != place[lead])))
+    yield _known(ids[again], texts[again], place[again])
 
 
-def _known(ids: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
+def _known(ids: np.ndarray, texts: np.ndarray, place: np.ndarray) -> pa.RecordBatch:
     """Spans of contexts or pieces all of whose windows repeat others."""
     tags, starts, _, windows = _unpacked(place)
-    return _known_spans(*_spans(ids, tags, starts, starts + windows + LENGTH - 1))
+    return _known_spans(*_spans(ids, texts, tags, starts, starts + windows + LENGTH - 1))
 
 
-def _known_spans(ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
-    place = _packed(tags, starts, 0, 1)
-    return _batch([ids ^ place, tags, ids, place, ends], _CONTEXT)
+def _known_spans(
+    ids: np.ndarray, texts: np.ndarray, tags: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> pa.RecordBatch:
+    return _batch([ids ^ texts, tags, ids, texts, _packed(tags, starts, 0, 1), ends], _CONTEXT)
 
 
 def _context_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,6 +182,7 @@ def _context_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     which repeat it for certain, the spans they cover (``end`` 0 or more)."""
     for batch in batches:
         texts, names = string_column(batch, "_text"), batch.column("_id").to_numpy()
+        hashes = batch.column("_hash").to_numpy()
         parts = []
         for start, count in slices_by_bytes(texts, _TEXT_BYTES):
             raws = [(text.as_py() or "").encode() for text in texts.slice(start, count)]
@@ -186,11 +192,10 @@ def _context_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             tag = np.array([_tagged(raw) for raw in raws], dtype=np.int64)[row]
             begin = first - (ends - [len(raw) for raw in raws])[row]
             place = _packed(tag, begin, anchor - first, last - first + 1)
-            parts.append([gram.view(np.int64), body.view(np.int64), names[start + row], place])
+            parts.append([gram.view(np.int64), body.view(np.int64), names[start + row], hashes[start + row], place])
         if not parts:
             continue
-        gram, body, ids, place = (np.concatenate(column) for column in zip(*parts))
-        yield from _folded(gram, body, ids, place)
+        yield from _folded(*(np.concatenate(column) for column in zip(*parts)))
 
 
 def _resolve_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,14 +203,15 @@ def _resolve_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     the first of their kind (variant -1), and the first ones of grams with two
     bodies or more, numbered. Holds one row per gram across batches."""
     gram_before = body_before = None
-    first_before = lone = (0, 0)
+    first_before = lone = (0, 0, 0)
     variant_before = 0
     for batch in batches:
-        gram, body, ids, place, end = (batch.column(name).to_numpy() for name in _CONTEXT)
+        gram, body, ids, texts, place, end = (batch.column(name).to_numpy() for name in _CONTEXT)
         known = end >= 0
         if known.any():
-            yield _batch([gram[known], np.full(known.sum(), -1), ids[known], place[known], end[known]], _FOUND)
-            gram, body, ids, place = gram[~known], body[~known], ids[~known], place[~known]
+            variant = np.full(known.sum(), -1)
+            yield _batch([gram[known], variant, ids[known], texts[known], place[known], end[known]], _FOUND)
+            gram, body, ids, texts, place = gram[~known], body[~known], ids[~known], texts[~known], place[~known]
         rows = len(gram)
         if not rows:
             continue
@@ -217,29 +223,33 @@ def _resolve_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         bodies = np.cumsum(new_body)
         variant = np.where(gram_at >= 0, bodies - bodies[gram_at], bodies + variant_before)
         lead_id = np.where(body_at >= 0, ids[body_at], first_before[0])
-        lead_place = np.where(body_at >= 0, place[body_at], first_before[1])
-        again = ~new_body & ((ids != lead_id) | (place != lead_place))
+        lead_text = np.where(body_at >= 0, texts[body_at], first_before[1])
+        lead_place = np.where(body_at >= 0, place[body_at], first_before[2])
+        again = ~new_body & ((ids != lead_id) | (texts != lead_text) | (place != lead_place))
         tags, starts, _, windows = _unpacked(place[again])
         ends = starts + windows + LENGTH - 1
-        yield _batch([gram[again], np.full(len(ends), -1), ids[again], _packed(tags, starts, 0, 1), ends], _FOUND)
+        at_start = _packed(tags, starts, 0, 1)
+        yield _batch([gram[again], np.full(len(ends), -1), ids[again], texts[again], at_start, ends], _FOUND)
         second = np.flatnonzero(new_body & (variant == 1))
         own = gram_at[second]
         first_ids = np.where(own >= 0, ids[own], lone[0])
-        first_places = np.where(own >= 0, place[own], lone[1])
+        first_texts = np.where(own >= 0, texts[own], lone[1])
+        first_places = np.where(own >= 0, place[own], lone[2])
         more = np.flatnonzero(new_body & (variant >= 1))
         yield _batch(
             [
                 np.concatenate([gram[second], gram[more]]),
                 np.concatenate([np.zeros(len(second), np.int64), variant[more]]),
                 np.concatenate([first_ids, ids[more]]),
+                np.concatenate([first_texts, texts[more]]),
                 np.concatenate([first_places, place[more]]),
                 np.full(len(second) + len(more), -1),
             ],
             _FOUND,
         )
         if gram_at[-1] >= 0:
-            lone = (ids[gram_at[-1]], place[gram_at[-1]])
-        first_before, variant_before = (lead_id[-1], lead_place[-1]), int(variant[-1])
+            lone = (ids[gram_at[-1]], texts[gram_at[-1]], place[gram_at[-1]])
+        first_before, variant_before = (lead_id[-1], lead_text[-1], lead_place[-1]), int(variant[-1])
         gram_before, body_before = gram[-1], body[-1]
 
 
@@ -295,7 +305,7 @@ def _signed(word: int) -> int:
     return word - (1 << 64) if word >> 63 else word
 
 
-_PIECE = "cell long, id long, place long, piece binary"
+_PIECE = "cell long, id long, text long, place long, piece binary"
 
 
 def _piece_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,8 +318,9 @@ def _piece_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, names = string_column(batch, "_text"), batch.column("_id").to_pylist()
         out: list[tuple] = []
-        leads: dict[tuple[int, bytes], tuple[int, int]] = {}
-        for text, name, open_ones in zip(texts, names, batch.column("open")):
+        leads: dict[tuple[int, bytes], tuple[int, int, int]] = {}
+        hashes = batch.column("_hash").to_pylist()
+        for text, name, own, open_ones in zip(texts, names, hashes, batch.column("open")):
             raw = (text.as_py() or "").encode()
             tag = _tagged(raw)
             for one in open_ones.as_py():
@@ -329,18 +340,19 @@ def _piece_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     place = int(_packed(tag, start + step, anchor - step, stop - step))
                     step = stop
                     if parts == 1:
-                        out.append((cell, name, place, piece))
+                        out.append((cell, name, own, place, piece))
                         continue
-                    lead = leads.setdefault((cell, piece), (name, place))
-                    if lead != (name, place):
-                        leads[cell, piece] = min(lead, (name, place))
-                        name_again, again = max(lead, (name, place))
-                        out.append((_signed(name_again * _BASE ^ again * _PART), name_again, again, None))
+                    lead = leads.setdefault((cell, piece), (name, own, place))
+                    if lead != (name, own, place):
+                        leads[cell, piece] = min(lead, (name, own, place))
+                        again = max(lead, (name, own, place))
+                        out.append((_signed(again[1] ^ again[2] * _PART), *again, None))
         out += [(cell, *lead, piece) for (cell, piece), lead in leads.items()]
         if out:
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            kinds = [*[pa.int64()] * 4, pa.binary()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(zip(*out), kinds)], names=["cell", "id", "place", "piece"]
+                [pa.array(column, kind) for column, kind in zip(zip(*out), kinds)],
+                names=["cell", "id", "text", "place", "piece"],
             )
 
 
@@ -359,22 +371,23 @@ def _sort_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bare = batch.column("piece").is_null()
         if bare.true_count:
             given = batch.filter(bare)
-            yield _known(given.column("id").to_numpy(), given.column("place").to_numpy())
+            yield _known(*(given.column(name).to_numpy() for name in ("id", "text", "place")))
             batch = batch.filter(pa.compute.invert(bare))
         if not batch.num_rows:
             continue
-        cells, ids, places = (batch.column(name).to_numpy() for name in ("cell", "id", "place"))
+        cells, ids, texts, places = (batch.column(name).to_numpy() for name in ("cell", "id", "text", "place"))
         pieces = batch.column("piece")
         same = pa.compute.equal(pieces.slice(1), pieces.slice(0, len(pieces) - 1)).to_numpy(zero_copy_only=False)
         goes_on = lead is not None and lead[:2] == (cells[0], pieces[0].as_py())
         new = np.concatenate([[not goes_on], ~same.astype(bool) | (cells[1:] != cells[:-1])])
         lead_at = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
         lead_ids = np.where(lead_at >= 0, ids[lead_at], lead[2] if lead else 0)
-        lead_places = np.where(lead_at >= 0, places[lead_at], lead[3] if lead else 0)
-        again = ~new & ((ids != lead_ids) | (places != lead_places))
+        lead_texts = np.where(lead_at >= 0, texts[lead_at], lead[3] if lead else 0)
+        lead_places = np.where(lead_at >= 0, places[lead_at], lead[4] if lead else 0)
+        again = ~new & ((ids != lead_ids) | (texts != lead_texts) | (places != lead_places))
         if again.any():
-            yield _known(ids[again], places[again])
-        lead = (cells[-1], pieces[len(pieces) - 1].as_py(), lead_ids[-1], lead_places[-1])
+            yield _known(ids[again], texts[again], places[again])
+        lead = (cells[-1], pieces[len(pieces) - 1].as_py(), lead_ids[-1], lead_texts[-1], lead_places[-1])
         batch = batch.filter(pa.array(new))
         if crowded is not None:
             inside = int(np.searchsorted(cells[new], crowded, side="right"))
@@ -417,15 +430,16 @@ def _single_windows(pieces: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         within = np.arange(len(piece)) - np.repeat(np.cumsum(windows) - windows, windows)
         gram, body = np.frombuffer(hashes, dtype=np.int64).reshape(-1, 2).T
         place = _packed(tags[piece], starts[piece] + within, 0, 1)
-        yield from _folded(gram, body, part.column("id").to_numpy()[piece], place)
+        ids, texts = (part.column(name).to_numpy()[piece] for name in ("id", "text"))
+        yield from _folded(gram, body, ids, texts, place)
 
 
 def _sorted_spans(table: pa.Table) -> pa.RecordBatch:
     table = table.combine_chunks()
-    cells, ids, places = (table.column(name).to_numpy() for name in ("cell", "id", "place"))
-    order = np.lexsort((places, ids))
+    cells, ids, texts, places = (table.column(name).to_numpy() for name in ("cell", "id", "text", "place"))
+    order = np.lexsort((places, texts, ids))
     pieces = table.column("piece").take(pa.array(order)).to_pylist()
-    cells, ids, places = cells[order], ids[order], places[order]
+    cells, ids, texts, places = cells[order], ids[order], texts[order], places[order]
     tags, starts, anchors, windows = _unpacked(places)
     sizes = np.array([len(piece) for piece in pieces], dtype=np.int64)
     raw = np.frombuffer(b"".join(pieces), dtype=np.uint8)
@@ -433,21 +447,22 @@ def _sorted_spans(table: pa.Table) -> pa.RecordBatch:
     context = np.repeat(np.arange(len(ids)), windows)
     within = np.arange(len(context)) - np.repeat(np.cumsum(windows) - windows, windows)
     at = np.flatnonzero(repeats)
-    begin = starts[context[at]] + within[at]
-    return _known_spans(*_spans(ids[context[at]], tags[context[at]], begin, begin + LENGTH))
+    begin, of = starts[context[at]] + within[at], context[at]
+    return _known_spans(*_spans(ids[of], texts[of], tags[of], begin, begin + LENGTH))
 
 
 def repeated_spans(texts: DataFrame, most_broadcast: int = _MOST_BROADCAST) -> DataFrame:
-    """(id, tag, start, end) of spans of ``texts`` (_id long, _text) that repeat;
+    """(id, hash, tag, start, end) of spans of ``texts`` (_id long, _text) that repeat;
     they may touch and overlap.
 
     The list of open contexts is broadcast to the texts up to ``most_broadcast``
     rows, and joined by a shuffle beyond.
     """
+    texts = texts.withColumn("_hash", _hash_of("_text"))
     resolved = checkpointed(
         texts.mapInArrow(_context_task, _longs(_CONTEXT))
         .repartition("gram")
-        .sortWithinPartitions("gram", "body", "id", "place")
+        .sortWithinPartitions("gram", "body", "id", "text", "place")
         .mapInArrow(_resolve_task, _longs(_FOUND))
     )
     undecided = resolved.where("variant >= 0")
@@ -457,32 +472,42 @@ def repeated_spans(texts: DataFrame, most_broadcast: int = _MOST_BROADCAST) -> D
     few = count // _TOGETHER <= most_broadcast
     sized = undecided.join(F.broadcast(crowded) if few else crowded, "gram", "left").select(
         "id",
+        F.col("text").alias("hash"),
         F.shiftright("place", _TAG).alias("tag"),
         F.struct("gram", "place", F.coalesce("variants", F.lit(1)).alias("variants")).alias("one"),
     )
-    per_text = sized.groupBy("id", "tag").agg(F.collect_list("one").alias("open"))
+    per_text = sized.groupBy("id", "hash", "tag").agg(F.collect_list("one").alias("open"))
     at_hand = texts.withColumn("_tag", _tag_of("_text"))
     open_texts = at_hand.join(
         F.broadcast(per_text) if count <= most_broadcast else per_text,
-        (F.col("_id") == F.col("id")) & (F.col("_tag") == F.col("tag")),
-    ).select("_id", "_text", "open")
+        _same_text(),
+    ).select("_id", "_hash", "_text", "open")
     pieces = open_texts.mapInArrow(_piece_task, _PIECE)
     found = (
         pieces.repartition("cell")
-        .sortWithinPartitions("cell", "piece", "id", "place")
+        .sortWithinPartitions("cell", "piece", "id", "text", "place")
         .mapInArrow(_sort_task, _longs(_CONTEXT))
         .repartition("gram")
-        .sortWithinPartitions("gram", "body", "id", "place")
+        .sortWithinPartitions("gram", "body", "id", "text", "place")
         .mapInArrow(_resolve_task, _longs(_FOUND))
     )
     return resolved.unionByName(found).where("variant < 0").select(
         "id",
+        F.col("text").alias("hash"),
         F.shiftright("place", _TAG).alias("tag"),
         F.shiftright("place", _START).bitwiseAND(0xFFFFFFFF).alias("start"),
         "end",
     )
 
 
+def _same_text():
+    return (F.col("_id") == F.col("id")) & (F.col("_hash") == F.col("hash")) & (F.col("_tag") == F.col("tag"))
+
+
+def _hash_of(text: str):
+    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+
+
 def _tag_of(text: str):
     return F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).bitwiseAND(0xFFFF)
 
@@ -502,7 +527,7 @@ def remove_repeats(
     overlapping ones count. A null text is empty; texts under 100 bytes stay
     whole. A null id comes first in the order. Rows that agree in id and text
     are one document: each of them gets the same result. Rows with one id and
-    other texts are ordered by a checksum. Columns not carried are left out.
+    other texts are ordered by a hash of the text. Columns not carried are left out.
     """
     rest = F.struct(F.lit(0).alias("_none"), *[docs[name].alias(f"c{at}") for at, name in enumerate(carried)])
     texts = docs.select(
@@ -510,11 +535,12 @@ def remove_repeats(
         docs[text_col].cast("string").alias("_text"),
         rest.alias("_rest"),
     )
-    found = repeated_spans(texts.select("_id", "_text")).groupBy("id", "tag")
+    found = repeated_spans(texts.select("_id", "_text")).groupBy("id", "hash", "tag")
     spans = found.agg(F.collect_list(F.struct("start", "end")).alias("spans"))
     joined = (
         texts.withColumn("_tag", _tag_of("_text"))
-        .join(spans, (F.col("_id") == F.col("id")) & (F.col("_tag") == F.col("tag")), "left")
+        .withColumn("_hash", _hash_of("_text"))
+        .join(spans, _same_text(), "left")
         .select("_id", "_text", "spans", "_rest")
     )
 

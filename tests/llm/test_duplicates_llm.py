@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 from itertools import combinations, product
 
 import numpy as np
@@ -105,11 +106,11 @@ def test_crowded_cell_is_sorted_in_bounded_memory(monkeypatch, unlike):
         suffix_dedup, "repeated_windows", lambda raw, *rest: (sorted_bytes.append(len(raw)), plain(raw, *rest))[1]
     )
     texts = [shared + f"{at % unlike:018d}".encode() for at in range(12_000)]
-    cells = [(5, at, suffix_dedup._packed(0, 0, 20, 16), text) for at, text in enumerate(texts)]
+    cells = [(5, at, 0, suffix_dedup._packed(0, 0, 20, 16), text) for at, text in enumerate(texts)]
     # The cells around it are sorted as ever.
-    cells += [(cell, 20_000 + at, suffix_dedup._packed(0, 0, 20, 1), shared[:90] + b"z" * 10) for cell in (4, 6) for at in (cell, 9)]
-    cells.sort(key=lambda row: (row[0], row[3], row[1]))
-    kinds = pa.schema([("cell", pa.int64()), ("id", pa.int64()), ("place", pa.int64()), ("piece", pa.binary())])
+    cells += [(cell, 20_000 + at, 0, suffix_dedup._packed(0, 0, 20, 1), shared[:90] + b"z" * 10) for cell in (4, 6) for at in (cell, 9)]
+    cells.sort(key=lambda row: (row[0], row[4], row[1]))
+    kinds = pa.schema([("cell", pa.int64()), ("id", pa.int64()), ("text", pa.int64()), ("place", pa.int64()), ("piece", pa.binary())])
     table = pa.Table.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*cells), kinds.types)], schema=kinds)
     found = pa.Table.from_batches(suffix_dedup._sort_task(iter(table.to_batches(500)))).sort_by(
         [(name, "ascending") for name in ("gram", "body", "id", "place")]
@@ -138,6 +139,29 @@ def test_one_id_with_two_texts(spark):
     assert max(removed for _, _, removed, _, _ in got) >= len(one + two) - LENGTH
 
 
+def test_many_texts_under_one_id(spark):
+    rng = random.Random(15)
+
+    def alike(text, start):
+        """A text that begins with ``start`` and agrees with ``text`` in the lower bits of the checksum."""
+        while zlib.crc32((other := start + words(rng, 40)).encode()) & 0xFFFF != zlib.crc32(text.encode()) & 0xFFFF:
+            pass
+        return other
+
+    twice = words(rng, 40)
+    again = words(rng, 10) + twice + words(rng, 10) + twice
+    clean = alike(again, words(rng, 80))
+    start = words(rng, 60)
+    one = start + words(rng, 30)
+    two = alike(one, start)
+    for name in (None, 7):
+        got = repeats_of(spark.createDataFrame([(name, text) for text in (again, clean, one, two)], "doc_id long, text string"))
+        removed = {n_bytes: n_removed for _, n_bytes, n_removed, *_ in got}
+        assert removed[len(again)] >= len(twice) - 2 and removed[len(clean)] == 0
+        assert sorted([removed[len(one)] > 0, removed[len(two)] > 0]) == [False, True]
+        assert removed[len(one)] + removed[len(two)] >= len(start)
+
+
 def test_anchors_depend_on_the_window_alone():
     rng = np.random.default_rng(4)
     passage = rng.integers(97, 110, 400, dtype=np.uint8)
