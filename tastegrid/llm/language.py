@@ -20,7 +20,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from tastegrid.llm.common import checkpointed
 from tastegrid.llm.tokens import string_column
+from tastegrid.operators.ranking import top_n_per_key
 
 UNKNOWN = "und"
 _ORDERS = 3
@@ -28,7 +30,6 @@ _CODE_POINTS = 0x110000
 # Symbol 0 stands for letters outside the alphabet, 1 for what lies between words.
 _OTHER, _GAP = 0, 1
 _BATCH_DOCS = 64
-_HASHES = 1 << 31
 
 
 class Alphabet:
@@ -163,26 +164,22 @@ def training_sample(
     text_col: str = "text",
 ) -> tuple[list[str], list[str]]:
     """At most ``each`` whole texts per language, those with the least hash of
-    their id, on the driver.
+    id and text, on the driver. Rows that agree in both count once.
 
-    Languages are counted first, and only rows below the hash that some twice
-    ``each`` of a language have are fetched, so no language meets in one task.
+    The hashes are cut to ``each`` per language first, in the map tasks and then
+    over all, and only the texts that have these are fetched.
     """
     told = docs.select(
         docs[label_col].alias("label"),
         docs[text_col].alias("text"),
-        F.pmod(F.xxhash64(docs[id_col]), F.lit(_HASHES)).alias("hash"),
+        F.xxhash64(docs[id_col], docs[text_col]).alias("hash"),
     ).where("text IS NOT NULL AND label IS NOT NULL")
-    counts = told.groupBy("label").agg(F.count("*").alias("rows")).collect()
-    if not counts:
-        return [], []
-    limits = [F.lit(x) for row in counts for x in (row.label, min(_HASHES, 2 * each * _HASHES // row.rows))]
-    near = told.where(F.col("hash") < F.create_map(*limits)[F.col("label")])
-    found: dict[str, list[tuple]] = {}
-    for row in near.collect():
-        found.setdefault(row.label, []).append((row.hash, row.text))
-    chosen = [(text, label) for label in sorted(found) for _, text in sorted(found[label])[:each]]
-    return [text for text, _ in chosen], [label for _, label in chosen]
+    hashes = told.select("label", "hash").distinct()
+    least = checkpointed(top_n_per_key(hashes, ["label"], [F.col("hash")], each).select("label", "hash"))
+    near = told.join(F.broadcast(least), ["label", "hash"], "left_semi")
+    found = near.groupBy("label", "hash").agg(F.min("text").alias("text")).collect()
+    chosen = sorted((row.label, row.hash, row.text) for row in found)
+    return [text for *_, text in chosen], [label for label, *_ in chosen]
 
 
 def with_language(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:

@@ -54,6 +54,18 @@ def test_held_out_accuracy(spark):
     assert right.n > 100 and right.right >= 0.98
 
 
+def test_sample_is_bounded_under_null_and_repeated_ids(spark, monkeypatch):
+    rows = [(None, "de", f"text {at}") for at in range(900)] + [(None, "de", "copy")] * 900
+    rows += [(7, "en", f"text {at}") for at in range(900)] + [(at, "fr", "same") for at in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(4)
+    fetched, plain = [], type(docs).collect
+    monkeypatch.setattr(type(docs), "collect", lambda df: [fetched.append(len(got := plain(df))), got][1])
+    texts, labels = training_sample(docs, each=20)
+    assert Counter(labels) == {"de": 20, "en": 20, "fr": 20} and max(fetched) <= 60
+    assert len({text for text, label in zip(texts, labels) if label == "de"}) == 20
+    assert (texts, labels) == training_sample(docs.repartition(7), each=20)
+
+
 def test_languages_on_edge_rows(spark):
     docs = edge_docs(spark)
     model = fit_language_model(*training_sample(docs))
