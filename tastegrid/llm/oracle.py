@@ -100,8 +100,73 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(crc AS BIGINT) AS text_crc32,
        CAST(place - (shard * total + 7) // 8 AS BIGINT) AS slot, CAST(NULL AS INT) AS grown_shard
 FROM cut"""
 
+_CAPITALS, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def phrases_sql(documents: str = "documents", least: int = 100, longest: int = 5, most: int = 2000) -> str:
+    """Every phrase of every piece, counted as text; a phrase is dropped for any
+    longer one, and each cut is scored in 128-bit whole numbers."""
+    return f"""
+WITH lowered AS (
+    SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_CAPITALS}', '{_SMALL}') AS text FROM {documents}),
+pieces AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM lowered),
+split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS words FROM pieces),
+phrases AS (
+    SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2),
+        lambda i: array_to_string(words[i:i + size - 1], ' '))) AS phrase
+    FROM split, range(1, {longest + 1}) AS sizes(size) WHERE len(words) >= size),
+counts AS (SELECT lang, size, phrase, count(*) AS times FROM phrases GROUP BY ALL),
+totals AS (SELECT lang, sum(times) AS n FROM counts WHERE size = 1 GROUP BY lang),
+frequent AS (SELECT lang, size, phrase, times, string_split(phrase, ' ') AS words FROM counts WHERE times >= {least}),
+inside AS (
+    SELECT DISTINCT lang, times, array_to_string(words[place:place + shorter - 1], ' ') AS phrase FROM (
+        SELECT *, unnest(range(1, size - shorter + 2)) AS place FROM (
+            SELECT *, unnest(range(2, size)) AS shorter FROM frequent))),
+kept AS (
+    SELECT * FROM frequent f WHERE size > 1 AND NOT EXISTS (
+        SELECT 1 FROM inside i WHERE i.lang = f.lang AND i.phrase = f.phrase AND 100 * i.times >= 100 * f.times)),
+cuts AS (
+    SELECT k.lang, k.phrase, k.times AS a, cut, l.times AS l, r.times AS r, t.n,
+        (1000::HUGEINT * k.times::HUGEINT * t.n::HUGEINT) // (l.times::HUGEINT * r.times::HUGEINT) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS cut FROM kept) k
+    JOIN counts l ON l.lang = k.lang AND l.phrase = array_to_string(k.words[1:cut], ' ')
+    JOIN counts r ON r.lang = k.lang AND r.phrase = array_to_string(k.words[cut + 1:], ' ')
+    JOIN totals t ON t.lang = k.lang),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+    a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM weakest QUALIFY rank <= {most}"""
+
+
+def negatives_sql(embeddings: str = "embeddings") -> str:
+    """All scores of all anchors, ranked. Doubles hold the products exactly."""
+    return f"""
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS steps
+    FROM {embeddings}
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+kept AS (SELECT row_number() OVER () AS row, * FROM (SELECT DISTINCT * FROM rows)),
+scores AS (
+    SELECT a.row AS anchor, a.vec_id AS anchor_id, o.row, o.vec_id, a.label = o.label AS same,
+        list_inner_product(a.steps, o.steps)::BIGINT AS score
+    FROM kept a JOIN kept o ON a.row <> o.row WHERE a.vec_id % 50 = 0),
+positives AS (
+    SELECT * FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, row) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id,
+    row_number() OVER (PARTITION BY p.anchor, p.row ORDER BY s.score DESC, s.vec_id, s.row)::INTEGER AS rank,
+    s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor = p.anchor AND NOT s.same
+    AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3"""
+
+
 ORACLE = {
     "op3_suffix_dedup": _REPEATS,
     "op7_interleaved_shards": _SHARDS,
     "op10_spaced_seed_decontamination": overlaps_sql(),
+    "op12_phrase_collocations": phrases_sql(),
+    "op13_hard_negatives": negatives_sql(),
 }

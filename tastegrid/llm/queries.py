@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tastegrid.llm.bpe_trie import encode_texts
+from tastegrid.llm.collocations import collocations
 from tastegrid.llm.common import checkpointed, prepare_workers
 from tastegrid.llm.decontamination import contaminated
+from tastegrid.llm.hard_negatives import hard_negatives
 from tastegrid.llm.html_text import extract_main_text
 from tastegrid.llm.language import fit_language_model, held_out, identify, training_sample
 from tastegrid.llm.oracle import ORACLE
@@ -79,6 +82,26 @@ def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_checksum(read_token_files(write_token_files(_table(spark, sf_dir, "documents"), folder, path, end_id=1)))
 
 
+def trie_encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_texts(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), decoded=True)
+    numbers = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(numbers, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"), least=100, longest=5, most=2000)
+
+
+def mined_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), is_anchor=F.col("id") % 50 == 0, label=label)
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_quality_rules": quality_rules,
@@ -91,6 +114,9 @@ QUERIES = {
     "op8_sum_of_squares_packing": packed_sequences,
     "op9_token_files": token_files,
     "op10_spaced_seed_decontamination": benchmark_overlaps,
+    "op11_bpe_trie": trie_encoded,
+    "op12_phrase_collocations": phrase_collocations,
+    "op13_hard_negatives": mined_negatives,
 }
 
 

@@ -18,7 +18,11 @@ from tastegrid.llm.tokens import string_column
 _SPACE = "▁"
 # What an unknown character costs below the worst piece, in unigram tokenizers.
 _UNKNOWN_PENALTY = 10.0
-_KEPT_WORDS = 500_000
+# Counts kept for later words: so many bytes of them, and none of a longer word,
+# as a text without spaces is one word.
+_KEPT_BYTES = 64 << 20
+_LONGEST_KEPT = 64
+_ENTRY_BYTES = 150
 _LOADED: dict[str, "UnigramCounter"] = {}
 
 
@@ -44,6 +48,7 @@ class UnigramCounter:
         self._unknown = min(scores) - _UNKNOWN_PENALTY
         self._byte_pieces = byte_pieces
         self._counts: dict[str, int] = {}
+        self._held = 0
 
     @classmethod
     def of_file(cls, path: str) -> UnigramCounter:
@@ -84,27 +89,36 @@ class UnigramCounter:
             best[end], pieces[end] = top, count
         return pieces[size]
 
+    def _keep(self, word: str, count: int) -> None:
+        if self._held > _KEPT_BYTES:
+            self._counts.clear()
+            self._held = 0
+        self._counts[word] = count
+        self._held += _ENTRY_BYTES + len(word)
+
     def text(self, text: str | None) -> int:
         """Tokens of a whole text; none for a null or empty one."""
         if not text:
             return 0
         known = self._counts
-        if len(known) > _KEPT_WORDS:
-            known.clear()
         parts = text.replace(_SPACE, " ").split(" ")
         first = 1 if not parts[0] else 0
         total = 0
         for part in parts[first:]:
             count = known.get(part)
             if count is None:
-                count = known[part] = self.word(_SPACE + part)
+                count = self.word(_SPACE + part)
+                if len(part) <= _LONGEST_KEPT:
+                    self._keep(part, count)
             total += count
         return total
 
 
 def count_tokens(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens) of every whole text. A null or empty text has none;
-    repeated rows and null ids stay; other columns are left out."""
+    repeated rows and null ids stay; other columns are left out; an empty table
+    gives no row. A word of any length is counted whole; counts of short words
+    are kept for later texts, within a bound in bytes."""
 
     def count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = UnigramCounter.of_file(model)
