@@ -155,6 +155,16 @@ class Window:
         last = np.partition(scores, len(scores) - self._most)[len(scores) - self._most]
         return np.flatnonzero(scores >= last)
 
+    def floor(self, low: np.ndarray, high: np.ndarray, spare: int) -> float:
+        """A score that rows must reach by their bounds alone: so many rows, and
+        ``spare`` ones that may be left out, are in the window and above it."""
+        count = self._most + spare
+        if len(self._kept) < self._most:
+            sure = low[high <= self.high]
+            if len(sure) >= count:
+                return max(self.low, np.partition(sure, len(sure) - count)[len(sure) - count])
+        return self.low
+
     def best(self) -> list[tuple[int | None, int]]:
         return [(None if no_id else other, -minus) for minus, no_id, other in self._kept]
 
@@ -212,7 +222,9 @@ def search_tree(
             asked = windows[at]
             if not asked:
                 continue
-            least, most = min(window.low for window in asked), max(window.high for window in asked)
+            spare = int(skip[at] is not None)
+            least = min(window.floor(low[at], high[at], spare) for window in asked)
+            most = max(window.high for window in asked)
             wanted = (high[at] >= least) & (low[at] <= most)
             found = np.flatnonzero(wanted)
             if not len(found):
