@@ -21,11 +21,14 @@ from pyspark.sql import functions as F
 from tastegrid.llm.common import checkpointed, slices_by_bytes
 from tastegrid.llm.tokens import string_column
 from tastegrid.operators.ranking import top_n_per_key
+from tastegrid.session import pin
 
-_TEXT_BYTES = 4 << 20
+_TEXT_BYTES, _FOLDED_BYTES = 4 << 20, 12 << 20
 # One in so many pairs of neighbouring words begins a chunk.
-_CHUNK_WORDS = 16
-# Bits per frequent pair in the filter, and the most that it may have: 32 MB.
+_CHUNK_WORDS = 32
+# Bits of the hashes that words and pairs are counted by at first.
+_HASH_BITS = 40
+# Bits per frequent hash in the filter, and the most that it may have: 32 MB.
 _BITS_EACH, _LEAST_BITS, _MOST_BITS = 32, 1 << 20, 1 << 28
 # Bits of a row of Spark's bitmap functions.
 _BITMAP_BITS = 32768
@@ -122,13 +125,15 @@ def _lang_hashes(langs: pa.Array) -> np.ndarray:
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches put together to about ``_TEXT_BYTES``, so that more folds."""
+    """Batches put together to about ``_FOLDED_BYTES``, so that more folds."""
     held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
         held.append(batch)
-        if sum(one.nbytes for one in held) >= _TEXT_BYTES:
+        size += batch.nbytes
+        if size >= _FOLDED_BYTES:
             yield pa.concat_batches(held)
-            held = []
+            held, size = [], 0
     if held:
         yield pa.concat_batches(held)
 
@@ -142,42 +147,46 @@ def _chunk_words(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray, np.ndarra
     return split.flatten(), owner, np.arange(offsets[-1]) - np.repeat(offsets[:-1], sizes)
 
 
-def _lang_pairs(words: pa.Array, owner: np.ndarray, langs: pa.Array) -> np.ndarray:
-    """Hash of each pair of neighbouring words and the language."""
-    pairs = _pair_hashes(_word_hashes(words)) if len(words) > 1 else np.zeros(0, dtype=np.uint64)
-    return _mixed(pairs ^ _lang_hashes(langs)[owner[: len(pairs)]])
+def _lang_hashes_of(words: pa.Array, owner: np.ndarray, langs: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, within a language, of each word and of each pair of neighbours."""
+    hashes = _word_hashes(words)
+    lang = _lang_hashes(langs)[owner]
+    pairs = _pair_hashes(hashes) if len(words) > 1 else np.zeros(0, dtype=np.uint64)
+    least = np.uint64(64 - _HASH_BITS)
+    return _mixed(hashes + lang) >> least, _mixed(pairs ^ lang[: len(pairs)]) >> least
 
 
-def _frequent_pairs(dictionary: DataFrame, least: int) -> DataFrame:
-    """Hashes of word pairs with ``least`` occurrences or more. Pairs of one
-    hash count together, so no frequent pair is missing."""
+def _frequent_hashes(dictionary: DataFrame, least: int) -> DataFrame:
+    """Hashes of words and of word pairs with ``least`` occurrences or more. Those
+    of one hash count together, so nothing that is frequent is missing."""
 
-    def pair_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hash_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches):
             words, owner, place = _chunk_words(batch)
-            pairs = _lang_pairs(words, owner, batch.column("lang"))
-            own = batch.column("own").to_numpy()
-            counted = (owner[1:] == owner[:-1]) & (place[:-1] < own[owner[:-1]])
-            times = batch.column("times").to_numpy()[owner[:-1][counted]]
-            hashes, where = np.unique(pairs[counted], return_inverse=True)
+            of_words, of_pairs = _lang_hashes_of(words, owner, batch.column("lang"))
+            begins = place < batch.column("own").to_numpy()[owner]
+            paired = begins[:-1] & (owner[1:] == owner[:-1])
+            times = batch.column("times").to_numpy()[owner]
+            counted = np.concatenate([of_words[begins], of_pairs[paired]])
+            hashes, where = np.unique(counted, return_inverse=True)
             sums = np.zeros(len(hashes), dtype=np.int64)
-            np.add.at(sums, where, times)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(sums)], names=["pair", "times"])
+            np.add.at(sums, where, np.concatenate([times[begins], times[:-1][paired]]))
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(sums)], names=["hash", "times"])
 
-    pairs = dictionary.mapInArrow(pair_task, "pair long, times long")
-    return pairs.groupBy("pair").agg(F.sum("times").alias("times")).where(F.col("times") >= least).select("pair")
+    hashes = dictionary.mapInArrow(hash_task, "hash long, times long")
+    return hashes.groupBy("hash").agg(F.sum("times").alias("times")).where(F.col("times") >= least).select("hash")
 
 
-def _filter_of(spark: SparkSession, pairs: DataFrame):
-    """A bitmap over hashes, on every executor. Its size follows the number of
-    pairs up to a fixed bound; what it lets through too much is counted and
-    found too rare later."""
-    bits = _LEAST_BITS
-    while bits < min(_MOST_BITS, _BITS_EACH * pairs.count()):
+def _filter_of(spark: SparkSession, hashes: DataFrame):
+    """A bitmap over hashes, on every executor. Its size follows their number up
+    to a fixed bound; what it lets through too much is counted and found too
+    rare later."""
+    bits, wanted = _LEAST_BITS, _BITS_EACH * hashes.count()
+    while bits < min(_MOST_BITS, wanted):
         bits *= 2
-    bit = F.col("pair").bitwiseAND(F.lit(bits - 1)) + 1
+    bit = F.col("hash").bitwiseAND(F.lit(bits - 1)) + 1
     rows = (
-        pairs.groupBy(F.bitmap_bucket_number(bit).alias("at"))
+        hashes.groupBy(F.bitmap_bucket_number(bit).alias("at"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
         .collect()  # 32 MB at most, as _MOST_BITS says
     )
@@ -188,33 +197,33 @@ def _filter_of(spark: SparkSession, pairs: DataFrame):
     return spark.sparkContext.broadcast(bitmap)
 
 
-def _may_be_frequent(bitmap: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    bit = pairs & np.uint64(8 * len(bitmap) - 1)
+def _may_be_frequent(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bit = hashes & np.uint64(8 * len(bitmap) - 1)
     return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
 def phrase_counts(
     docs: DataFrame, least: int = 100, longest: int = 5, text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
-    """Occurrences of all words, and of all phrases of up to ``longest`` words
-    with ``least`` or more.
+    """Occurrences of each word and phrase of up to ``longest`` words that has
+    ``least`` of them or more.
 
-    Returns (lang, words, phrase, times); rarer phrases may be listed, with
-    their right counts. Of the phrases only those are counted whose pairs of
-    neighbouring words are all frequent, as no other can be; a first pass over
-    the dictionary finds these pairs by hash.
+    Returns (lang, words, phrase, times, n), ``n`` being all words of the
+    language. A first pass over the dictionary finds frequent words and pairs of
+    neighbours by hash; the second counts phrases all of whose pairs are among
+    them, as no other can be frequent, word by word.
     """
     spark = docs.sparkSession
-    dictionary = checkpointed(parse(docs, text_col, lang_col, longest))
-    bitmap = _filter_of(spark, checkpointed(_frequent_pairs(dictionary, least)))
+    dictionary = pin(parse(docs, text_col, lang_col, longest))
+    bitmap = _filter_of(spark, checkpointed(_frequent_hashes(dictionary, least)))
 
     def count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches):
             words, owner, place = _chunk_words(batch)
             langs, times = batch.column("lang"), batch.column("times").to_numpy()
-            begins = place < batch.column("own").to_numpy()[owner]
-            hopeful = _may_be_frequent(bitmap.value, _lang_pairs(words, owner, langs))
-            hopeful &= owner[1:] == owner[:-1]
+            of_words, of_pairs = _lang_hashes_of(words, owner, langs)
+            begins = (place < batch.column("own").to_numpy()[owner]) & _may_be_frequent(bitmap.value, of_words)
+            hopeful = _may_be_frequent(bitmap.value, of_pairs) & (owner[1:] == owner[:-1])
             for size in range(1, longest + 1):
                 if size > 1:
                     # All pairs of the phrase, which so is inside of one chunk.
@@ -239,14 +248,16 @@ def phrase_counts(
                     )
 
     counted = dictionary.mapInArrow(count_task, "lang string, words int, phrase string, times long")
-    return counted.groupBy("lang", "words", "phrase").agg(F.sum("times").alias("times"))
+    counts = counted.groupBy("lang", "words", "phrase").agg(F.sum("times").alias("times"))
+    totals = dictionary.groupBy("lang").agg(F.sum(F.col("own") * F.col("times")).alias("n"))
+    return counts.where(F.col("times") >= least).join(totals, "lang")
 
 
 def _exact(name: str):
     return F.col(name).cast("decimal(19,0)")
 
 
-def scored_phrases(counts: DataFrame, least: int = 100) -> DataFrame:
+def scored_phrases(counts: DataFrame) -> DataFrame:
     """(lang, phrase, words, a, l, r, n, score) of each frequent phrase that no
     longer one covers; ``counts`` as ``phrase_counts`` gives them, stored.
 
@@ -255,9 +266,7 @@ def scored_phrases(counts: DataFrame, least: int = 100) -> DataFrame:
     as often; as counts only fall with more words, there is then one with a
     single word more.
     """
-    totals = counts.where("words = 1").groupBy("lang").agg(F.sum("times").alias("n"))
-    frequent = counts.where(F.col("times") >= least)
-    phrases = frequent.where("words > 1").select("lang", "phrase", "words", F.col("times").alias("a"))
+    phrases = counts.where("words > 1").select("lang", "phrase", "words", F.col("times").alias("a"), "n")
     parts = F.split("phrase", " ")
 
     def joined(first, size):
@@ -274,9 +283,9 @@ def scored_phrases(counts: DataFrame, least: int = 100) -> DataFrame:
     cuts = kept.withColumn("cut", F.explode(F.sequence(F.lit(1), F.col("words") - 1))).select(
         "*", joined(F.lit(1), F.col("cut")).alias("left"), joined(F.col("cut") + 1, F.col("words") - F.col("cut")).alias("right")
     )
-    left = frequent.select("lang", F.col("phrase").alias("left"), F.col("times").alias("l"))
-    right = frequent.select("lang", F.col("phrase").alias("right"), F.col("times").alias("r"))
-    known = cuts.join(left, ["lang", "left"]).join(right, ["lang", "right"]).join(totals, "lang")
+    left = counts.select("lang", F.col("phrase").alias("left"), F.col("times").alias("l"))
+    right = counts.select("lang", F.col("phrase").alias("right"), F.col("times").alias("r"))
+    known = cuts.join(left, ["lang", "left"]).join(right, ["lang", "right"])
     known = known.withColumn("_over", _exact("a") * _exact("n")).withColumn("_under", _exact("l") * _exact("r"))
     # Whole thousands, digit by digit, so that no product passes 38 digits.
     whole = F.expr("_over div _under")
@@ -309,7 +318,7 @@ def collocations(
     """
     # What has ``least`` or more is at most the words by ``least``.
     counts = checkpointed(phrase_counts(docs, least, longest, text_col, lang_col))
-    scored = scored_phrases(counts, least)
+    scored = scored_phrases(counts)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     return top_n_per_key(scored, ["lang"], order, most).select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"

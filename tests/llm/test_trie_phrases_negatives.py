@@ -199,10 +199,10 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
 
 def test_products_beyond_64_bits_are_exact(spark):
     big = 3 * 10**12
-    counts = [("en", 1, "x", big), ("en", 1, "y", big + 1), ("en", 2, "x y", big - 7), ("en", 1, "z", 10**15)]
-    frame = spark.createDataFrame(counts, "lang string, words int, phrase string, times long")
-    row = collocations.scored_phrases(frame, 100).first()
-    n = 2 * big + 1 + 10**15
+    n = 10**15 + 9
+    counts = [("en", 1, "x", big, n), ("en", 1, "y", big + 1, n), ("en", 2, "x y", big - 7, n)]
+    frame = spark.createDataFrame(counts, "lang string, words int, phrase string, times long, n long")
+    row = collocations.scored_phrases(frame).first()
     assert (row.n, row.score) == (n, 1000 * (big - 7) * n // (big * (big + 1)))
 
 
