@@ -94,6 +94,12 @@ def _seed_rows(texts: DataFrame, key: str, place: str, masks: list[tuple[int, ..
     return rows.select(key, (F.col("_at") % F.col("_places")).alias(place), "seed", *kept)
 
 
+def text_key(text: Column) -> Column:
+    """128 bits that tell texts apart; equal texts are judged once."""
+    whole = F.coalesce(text.cast("string"), F.lit(""))
+    return F.struct(F.xxhash64(F.lit(1), whole).alias("h1"), F.xxhash64(F.lit(2), whole).alias("h2"))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -111,14 +117,30 @@ def contaminated(
 
     Returns (id, item, item_words, window_words, equal_words), a row per pair:
     the most equal words in a window, and in the whole item at one shift. Case
-    and marks do not count. Null and empty texts overlap with nothing; repeated
-    ids give one row, and a null id is kept as an id. Other columns are left out.
+    and marks do not count. Null and empty texts overlap with nothing. Texts are
+    compared one by one; of rows that share an id, or have none, those that
+    overlap give one row per item together. Empty tables give no row. Other
+    columns are left out.
 
-    The seeds of the benchmark, and then the documents with a hit, are broadcast
-    up to ``most_broadcast`` rows and joined by a shuffle beyond, with the same
+    The seeds of the benchmark, and then the texts with a hit, are broadcast up
+    to ``most_broadcast`` rows and joined by a shuffle beyond, with the same
     result.
     """
-    texts = docs.select(docs[id_col].alias("_doc"), docs[text_col].cast("string").alias("_text"))
+    found, few = _overlaps(docs[text_col], docs, benchmark, item_col, item_text_col, most_broadcast)
+    named = docs.select(docs[id_col].alias("_id"), text_key(docs[text_col]).alias("_doc"))
+    return (
+        named.join(F.broadcast(found) if few else found, "_doc")
+        .groupBy(F.col("_id").alias(id_col), F.col("_item").alias(item_col))
+        .agg(*[F.max(name).alias(name) for name in ("item_words", "window_words", "equal_words")])
+    )
+
+
+def _overlaps(
+    text: Column, docs: DataFrame, benchmark: DataFrame, item_col: str, item_text_col: str, most_broadcast: int
+) -> tuple[DataFrame, bool]:
+    """(_doc, _item, item_words, window_words, equal_words) by text key, stored,
+    and whether its rows may be broadcast."""
+    texts = docs.select(text_key(text).alias("_doc"), text.cast("string").alias("_text"))
     items = benchmark.select(benchmark[item_col].alias("_item"), benchmark[item_text_col].cast("string").alias("_text"))
     # Lengths from 16 on are one, so there are some 16 rows at most.
     length = F.least(F.size(words_of(F.col("_text"))), F.lit(WINDOW))
@@ -136,15 +158,15 @@ def contaminated(
     )
     few = shifts.count() <= most_broadcast
     # Only texts with a hit are cut into words again, and moved.
-    hit = shifts.select(F.col("_doc").alias("_in")).distinct()
-    same_doc = F.col("_doc").eqNullSafe(F.col("_in"))
-    doc_words = texts.join(F.broadcast(hit) if few else hit, same_doc, "left_semi").select(
-        F.col("_doc").alias("_in"), words_of(F.col("_text")).alias("_words")
+    hit = shifts.select("_doc").distinct()
+    hit_texts = texts.join(F.broadcast(hit) if few else hit, "_doc", "left_semi")
+    doc_words = hit_texts.groupBy("_doc").agg(F.first("_text").alias("_text")).select(
+        "_doc", words_of(F.col("_text")).alias("_words")
     )
     item_words = items.select(F.col("_item").alias("_of"), words_of(F.col("_text")).alias("_test"))
     both = (
         shifts.join(F.broadcast(item_words) if small else item_words, F.col("_item").eqNullSafe(F.col("_of")))
-        .join(doc_words, same_doc)
+        .join(doc_words, "_doc")
         .select(
             "_doc", "_item", F.size("_test").alias("item_words"), _equal_at("_test", "_words", "_shift").alias("_equal")
         )
@@ -155,9 +177,11 @@ def contaminated(
     needed = F.when(F.col("item_words") >= WINDOW, F.lit(EQUAL)).otherwise(window - F.floor(window / 5).cast("int"))
     best, equal = F.array_max(sums).alias("_best"), _total(F.col("_equal")).alias("_all")
     found = both.select("_doc", "_item", "item_words", best, equal, needed.alias("_needed")).where("_best >= _needed")
-    return found.groupBy(F.col("_doc").alias(id_col), F.col("_item").alias(item_col)).agg(
+    best_of = found.groupBy("_doc", "_item").agg(
         F.max("item_words").alias("item_words"), F.max("_best").alias("window_words"), F.max("_all").alias("equal_words")
     )
+    stored = checkpointed(best_of)
+    return stored, few and stored.count() <= most_broadcast
 
 
 def _equal_at(test: str, words: str, shift: str) -> Column:
@@ -172,7 +196,18 @@ def _total(values: Column) -> Column:
     return F.aggregate(values, F.lit(0), lambda total, value: total + value)
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **names) -> DataFrame:
-    """``docs``, all columns, without the documents that overlap with an item."""
-    leaks = contaminated(docs, benchmark, id_col, **names).select(F.col(id_col).alias("_leak")).distinct()
-    return docs.join(leaks, docs[id_col].eqNullSafe(leaks["_leak"]), "left_anti")
+def decontaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    item_col: str = "item_id",
+    item_text_col: str = "text",
+    most_broadcast: int = MOST_BROADCAST,
+) -> DataFrame:
+    """``docs``, all columns, without the rows whose text overlaps with an item,
+    as ``contaminated`` tells it. Ids are not read: each row goes or stays by its
+    own text, so repeated rows go together, and rows that share an id or have none
+    do not. Null and empty texts stay; an empty benchmark takes nothing."""
+    found, few = _overlaps(docs[text_col], docs, benchmark, item_col, item_text_col, most_broadcast)
+    leaks = found.select(F.col("_doc").alias("_leak")).distinct()
+    return docs.join(F.broadcast(leaks) if few else leaks, text_key(docs[text_col]) == F.col("_leak"), "left_anti")

@@ -10,13 +10,12 @@ n-gram matrix and the weights.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -30,38 +29,37 @@ _CODE_POINTS = 0x110000
 # Symbol 0 stands for letters outside the alphabet, 1 for what lies between words.
 _OTHER, _GAP = 0, 1
 _BATCH_DOCS = 64
+# Parts of a language that the training sample is cut in, one after the other.
+_CUTS = (1024, 32, 1)
 
 
 class Alphabet:
-    """Maps texts to arrays of small symbols and to their distinct n-grams."""
+    """Maps texts to arrays of numbered letters and to their distinct n-grams."""
 
     def __init__(self, letters: str):
         self.letters = letters
         self.size = len(letters) + 2
         self.orders = [self.size**n for n in range(1, _ORDERS + 1)]
-        self.grams = sum(self.orders)
         self._symbols: np.ndarray | None = None
-        self._seen: np.ndarray | None = None
 
     def __getstate__(self):
-        return {**self.__dict__, "_symbols": None, "_seen": None}
+        return {**self.__dict__, "_symbols": None}
 
-    def _tables(self) -> tuple[np.ndarray, np.ndarray]:
+    def _table(self) -> np.ndarray:
         if self._symbols is None:
             number = {letter: at for at, letter in enumerate(self.letters, 2)}
-            symbols = np.full(_CODE_POINTS, _GAP, dtype=np.uint8)
+            symbols = np.full(_CODE_POINTS, _GAP, dtype=np.int64)
             for point in range(_CODE_POINTS):
                 letter = chr(point)
                 if letter.isalpha():
                     symbols[point] = number.get(letter.lower(), _OTHER)
-            self._symbols, self._seen = symbols, np.zeros(self.grams, dtype=np.int64)
-        return self._symbols, self._seen
+            self._symbols = symbols
+        return self._symbols
 
     def distinct_grams(self, text: str) -> np.ndarray:
         """Numbers of the distinct n-grams of the whole text; none without a letter."""
-        symbols, seen = self._tables()
         points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        line = np.concatenate([[_GAP], symbols[points], [_GAP]]).astype(np.int64)
+        line = np.concatenate([[_GAP], self._table()[points], [_GAP]])
         line = line[np.concatenate([[True], (line[1:] != _GAP) | (line[:-1] != _GAP)])]
         if len(line) < 2:
             return np.empty(0, dtype=np.int64)
@@ -72,10 +70,7 @@ class Alphabet:
             code = code[: len(line) - n + 1] * self.size + line[n - 1 :]
             parts.append(code + first)
             first += self.orders[n - 1]
-        grams = np.concatenate(parts)
-        places = np.arange(len(grams))
-        seen[grams] = places  # the last place of each n-gram stays
-        return grams[seen[grams] == places]
+        return np.unique(np.concatenate(parts))
 
 
 @dataclass
@@ -84,7 +79,7 @@ class LanguageModel:
 
     languages: list[str]
     alphabet: Alphabet
-    column: np.ndarray  # n-gram number -> column of the batch matrix, -1 for none
+    used: np.ndarray  # numbers of the landmarks' n-grams, in order, one per column
     landmarks: np.ndarray  # columns x landmarks, 1 where a landmark has the n-gram
     sizes: np.ndarray  # n-grams of each landmark
     weights: np.ndarray  # landmarks x languages
@@ -96,8 +91,9 @@ class LanguageModel:
         for row, text in enumerate(texts):
             grams = self.alphabet.distinct_grams(text)
             counts[row] = len(grams)
-            columns = self.column[grams]
-            present[row, columns[columns >= 0]] = 1.0
+            columns = np.searchsorted(self.used, grams)
+            columns[columns == len(self.used)] = 0
+            present[row, columns[self.used[columns] == grams]] = 1.0
         return present @ self.landmarks / np.sqrt(np.maximum(counts, 1)[:, None] * self.sizes), counts
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -115,31 +111,26 @@ def fit_language_model(
     languages: list[str],
     landmarks_each: int = 48,
     ridge: float = 1e-3,
-    most_letters: int = 200,
 ) -> LanguageModel | None:
     """Fit on texts with a letter; None if there are none.
 
-    The first ``landmarks_each`` texts of each language are landmarks, and the
-    ``most_letters`` most frequent letters are the alphabet; both bound the
-    model whatever the number of documents it is applied to.
+    The first ``landmarks_each`` texts of each language are landmarks, which
+    bounds the model whatever the number of documents it is applied to. All
+    letters of the texts are the alphabet; others in later texts are one symbol.
     """
     rows = [(text, language) for text, language in zip(texts, languages) if any(map(str.isalpha, text))]
     if not rows:
         return None
     names = sorted({language for _, language in rows})
-    frequent = Counter(letter for text, _ in rows for letter in text.lower() if letter.isalpha() and len(letter) == 1)
-    by_count = sorted(frequent, key=lambda letter: (-frequent[letter], letter))
-    alphabet = Alphabet("".join(sorted(by_count[:most_letters])))
+    alphabet = Alphabet("".join(sorted({letter for text, _ in rows for letter in text.lower() if letter.isalpha()})))
     chosen = [text for name in names for text in [t for t, language in rows if language == name][:landmarks_each]]
     grams = [alphabet.distinct_grams(text) for text in chosen]
     used = np.unique(np.concatenate(grams))
-    column = np.full(alphabet.grams, -1, dtype=np.int32)
-    column[used] = np.arange(len(used))
     matrix = np.zeros((len(used), len(chosen)), dtype=np.float32)
     for at, own in enumerate(grams):
-        matrix[column[own], at] = 1.0
+        matrix[np.searchsorted(used, own), at] = 1.0
     sizes = np.array([len(own) for own in grams], dtype=float)
-    model = LanguageModel(names, alphabet, column, matrix, sizes, np.zeros((len(chosen), len(names))))
+    model = LanguageModel(names, alphabet, used, matrix, sizes, np.zeros((len(chosen), len(names))))
 
     among = (matrix.T.astype(float) @ matrix) / np.sqrt(sizes[:, None] * sizes)
     values, vectors = np.linalg.eigh(among)
@@ -162,21 +153,31 @@ def training_sample(
     each: int = 300,
     id_col: str = "doc_id",
     text_col: str = "text",
+    most_bytes: int = 16 << 20,
 ) -> tuple[list[str], list[str]]:
     """At most ``each`` whole texts per language, those with the least hash of
-    id and text, on the driver. Rows that agree in both count once.
+    id and text, on the driver. Rows that agree in both count once. Of a
+    language whose texts have more than ``most_bytes`` together only the first
+    are taken, up to that many bytes, but one in any case.
 
-    The hashes are cut to ``each`` per language first, in the map tasks and then
-    over all, and only the texts that have these are fetched.
+    A language is cut to ``each`` hashes in many parts, then in fewer, so that
+    the last task takes in a fixed number of rows of it; only the texts that are
+    chosen are fetched.
     """
     told = docs.select(
         docs[label_col].alias("label"),
         docs[text_col].alias("text"),
         F.xxhash64(docs[id_col], docs[text_col]).alias("hash"),
     ).where("text IS NOT NULL AND label IS NOT NULL")
-    hashes = told.select("label", "hash").distinct()
-    least = checkpointed(top_n_per_key(hashes, ["label"], [F.col("hash")], each).select("label", "hash"))
-    near = told.join(F.broadcast(least), ["label", "hash"], "left_semi")
+    least = told.select("label", "hash", F.octet_length("text").cast("long").alias("size")).distinct()
+    for parts in _CUTS:
+        dealt = least.withColumn("part", F.pmod("hash", F.lit(parts)))
+        least = top_n_per_key(dealt, ["label", "part"], [F.col("hash")], each).select("label", "hash", "size")
+    least = checkpointed(least)
+    earlier = Window.partitionBy("label").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("size").over(earlier), F.lit(0))
+    fitting = least.withColumn("before", before).where((F.col("before") == 0) | (F.col("before") + F.col("size") <= most_bytes))
+    near = told.join(F.broadcast(fitting.select("label", "hash")), ["label", "hash"], "left_semi")
     found = near.groupBy("label", "hash").agg(F.min("text").alias("text")).collect()
     chosen = sorted((row.label, row.hash, row.text) for row in found)
     return [text for *_, text in chosen], [label for label, *_ in chosen]

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tastegrid.llm.common import checkpointed, connected_components
 from tastegrid.llm.tokens import string_column
+from tastegrid.operators.ranking import first_per_key
 
 _SEED = 42
 _CHUNK = 1 << 16
@@ -233,3 +234,28 @@ def near_duplicates(
     found = checkpointed(roots.join(least, "_root").select("fp", "component_id"))
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return hashed.join(found, "fp").select(id_col, digits, "component_id")
+
+
+def one_of_each_group(
+    docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs``, all columns, with exactly one row of each group of
+    near-duplicates: that of the least id, a null id being the last. Of rows that
+    share it, one text stays, and of equal texts the row that comes first by its
+    other columns. An empty table gives no row.
+
+    Rows are told apart by id and 128 bits of their text. Copies of a row are cut
+    to one in each map task before whole texts are shuffled.
+    """
+    no_id, text = F.isnull(docs[id_col]), docs[text_col].cast("string")
+    names = [f"_row_hash_{at}_{len(docs.columns)}" for at in (1, 2)]
+    keyed = docs.withColumns(
+        {name: F.xxhash64(F.lit(at), no_id, docs[id_col], F.isnull(text), text) for at, name in enumerate(names)}
+    )
+    first, second = (F.col(name) for name in names)
+    row = F.struct(no_id.alias("no_id"), docs[id_col].alias("id"), first.alias("h1"), second.alias("h2"))
+    groups = near_duplicates(keyed.select(row.alias("row"), docs[text_col].alias("text")), shingle, distance, "row", "text")
+    chosen = groups.where("row.h1 = component_id.h1 AND row.h2 = component_id.h2")
+    chosen = chosen.select(F.col("row.h1").alias(names[0]), F.col("row.h2").alias(names[1])).distinct()
+    others = [F.col(f"`{field.name}`") for field in docs.schema if field.name != text_col and field.dataType.typeName() != "map"]
+    return first_per_key(keyed, names, others or [F.lit(0)]).join(chosen, names, "left_semi").drop(*names)

@@ -39,6 +39,8 @@ _HEAD = struct.Struct("<II")
 _ENTRY = struct.Struct("<III")
 _FOOT = struct.Struct("<IBI")
 _FRAME_BYTES = 1 << 20
+# Packed bytes that a task reads back, and characters that order texts of one id.
+_READ_BYTES, _HEAD_CHARS = 64 << 20, 64
 _INDEX = (
     "part int, path string, frame int, place long, packed long, docs long, first_doc long, "
     "last_doc long, start_in_part long, ids long"
@@ -136,6 +138,13 @@ def _opened(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), re.sub(r"^(file:)?/+", "/", folder)
 
 
+def _qualified(spark: SparkSession, folder: str) -> str:
+    """The folder as a URI of the file system that Spark takes it to be in, so
+    that executors open the same one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def write_token_files(
     docs: DataFrame,
     folder: str,
@@ -146,9 +155,10 @@ def write_token_files(
 ) -> DataFrame:
     """Encode all texts and write them to ``folder`` in ascending id order.
 
-    ``folder`` must be one that all executors share. Rows are dealt by ranges of
-    the id and sorted, and each range is one file; a repeated id keeps all its
-    rows, ordered by text, and a null id comes first. A null text counts as
+    ``folder`` must be one that all executors share. Rows are dealt by ranges and
+    sorted, and each range is one file. A null id comes first; a repeated id
+    keeps all its rows, by how their texts begin, and may be spread over files,
+    as may even equal rows. A null text counts as
     empty: it has ``end_id`` only. Other columns are left out. A task writes
     under a name of its own and renames the file when it is whole, so a task
     that is run again replaces its file by an equal one. An empty table gives
@@ -184,14 +194,18 @@ def write_token_files(
         )
 
     spark = docs.sparkSession
+    folder = _qualified(spark, folder)
     rows = docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].alias("_text"))
-    ranged = rows.repartitionByRange("_id").sortWithinPartitions("_id", "_text")
-    ranged.mapInArrow(write_task, _INDEX).write.parquet(f"{folder}/index")
+    head = F.substring("_text", 1, _HEAD_CHARS)
+    dealt = rows.withColumns({"_head": head, "_salt": F.rand(7)})
+    ranged = dealt.repartitionByRange("_id", "_head", "_salt").sortWithinPartitions("_id", "_head", "_salt")
+    ranged.select("_id", "_text").mapInArrow(write_task, _INDEX).write.parquet(f"{folder}/index")
     return spark.read.schema(_INDEX).parquet(f"{folder}/index")
 
 
 def read_token_files(index: DataFrame, doc_ids: Iterable[int] | None = None) -> DataFrame:
-    """Documents of the frames that ``index`` lists, in parallel by frame.
+    """Documents of the frames that ``index`` lists, in parallel by frame: as many
+    tasks as their packed bytes call for, or as there are slots for.
 
     Returns (doc_id, start, n_tokens, ids as little-endian u4); ``start`` is the
     number of ids of all documents before. With ``doc_ids`` only frames whose
@@ -201,7 +215,7 @@ def read_token_files(index: DataFrame, doc_ids: Iterable[int] | None = None) ->
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("_ids").over(earlier), F.lit(0)).alias("_base"))
     start = (F.col("_base") + F.col("start_in_part")).alias("start")
-    frames = index.join(bases, "part").select("path", "frame", start, "first_doc", "last_doc")
+    frames = index.join(bases, "part").select("path", "frame", start, "first_doc", "last_doc", "packed")
     wanted = None if doc_ids is None else {int(doc) for doc in doc_ids}
     if wanted is not None:
         asked = F.array(*[F.lit(doc).cast("long") for doc in sorted(wanted)])
@@ -228,9 +242,11 @@ def read_token_files(index: DataFrame, doc_ids: Iterable[int] | None = None) ->
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )
 
-    return frames.repartition(F.col("path"), F.shiftright("frame", 3)).sortWithinPartitions("path", "frame").select(
-        "path", "frame", "start"
-    ).mapInArrow(read_task, _DOCUMENT)
+    listed, packed = frames.agg(F.count("*"), F.coalesce(F.sum("packed"), F.lit(0))).first()
+    slots = 2 * index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(min(listed, slots), -(-packed // _READ_BYTES), 1)
+    dealt = frames.repartitionByRange(tasks, "path", "frame").sortWithinPartitions("path", "frame")
+    return dealt.select("path", "frame", "start").mapInArrow(read_task, _DOCUMENT)
 
 
 def read_token_table(spark: SparkSession, folder: str, doc_ids: Iterable[int] | None = None) -> DataFrame:

@@ -208,7 +208,7 @@ def test_pipeline_of_edge_rows_and_of_nothing(spark, tmp_path):
 
 
 def test_every_operator_is_registered():
-    assert {name.split("_")[0] for name in queries.QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 11))}
+    assert {name.split("_")[0] for name in queries.QUERIES} == {"pipeline", *(f"op{n}" for n in range(1, 14))}
     assert set(queries.ORACLE) <= set(queries.QUERIES)
     assert len(corpus_pipeline.STAGES) == 5 and corpus_pipeline.ORACLE_SQL is None
 
