@@ -17,7 +17,7 @@ from tastegrid.llm.common import prepare_workers
 from tastegrid.llm.decontamination import decontaminated
 from tastegrid.llm.language import UNKNOWN, fit_language_model, held_out, training_sample, with_language
 from tastegrid.llm.packing import pack_documents
-from tastegrid.llm.simhash import near_duplicates
+from tastegrid.llm.simhash import one_of_each_group
 from tastegrid.llm.suffix_dedup import remove_repeats
 from tastegrid.session import fresh_path
 
@@ -46,11 +46,10 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 @_stage
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of each group of near-duplicates. Rows
-    that share an id stay or go together."""
-    groups = near_duplicates(docs, shingle=3, distance=3)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_first"))
-    return docs.join(first.distinct(), F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi").select(*COLUMNS)
+    """One row of each group of near-duplicates, that of the least id (a null id
+    is the last). Repeated rows and copies under one id, or under none, are such
+    groups, too."""
+    return one_of_each_group(docs.select(*COLUMNS), shingle=3, distance=3)
 
 
 @_stage
@@ -65,13 +64,16 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 @_stage
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap with no item of the benchmark."""
+    """Documents whose text overlaps with no item of the benchmark. It goes by the
+    text, so rows that share an id, or have none, are judged apart; null and empty
+    texts stay."""
     return decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(*COLUMNS)
 
 
 @_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of sequences of at most 2048 token ids."""
+    """Pieces of sequences of at most 2048 token ids. Repeated and null ids are
+    packed like others; a null or empty text is its end id alone."""
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), size=2048, end_id=1)
 
 
@@ -83,13 +85,13 @@ STAGES = [
     ("packing", packed),
 ]
 
-#: SQL has no string kernel, fingerprint components or tokenizer; the tests
-#: hold the rows against a brute-force version.
+#: SQL has no string kernel, fingerprint components or tokenizer; a test holds the
+#: rows against a chain of brute-force stages.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
+    """All stages over the documents of ``sf_dir``. An empty table gives no row."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         path = fresh_path(spark, "stage")
