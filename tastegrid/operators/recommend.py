@@ -1,10 +1,10 @@
 """Best and worst unrated items in each user's favourite category.
 
 A user who gave ``c`` ratings in a category finds the ``n`` best unrated items
-of it among its first ``n + c``. So categories are ranked once, and each user
-is joined with that stretch of the ranking instead of the whole category. The
-candidates grow with the ratings, not with users times items, and of the rated
-pairs only those of items that somebody can be offered are compared.
+of it among its first ``n + c`` places. So categories are ranked once, and the
+places that a user has rated there become bits of 64-place words; the items are
+the first ``n`` bits that are not set. No list of candidates is made, and no
+pair of user and item is compared.
 """
 
 from __future__ import annotations
@@ -15,16 +15,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tastegrid.operators.preferences import favourite_category, with_favourite, with_flags
-from tastegrid.operators.ranking import salted_join, stored_in_order, top_n_per_key
+from tastegrid.operators.ranking import stored_in_order
 from tastegrid.operators.ratings import item_stats
 from tastegrid.schemas import GENRES
 from tastegrid.session import pin
 
-# Users meet the ranking in blocks of 64 places, so a user with a very long
-# stretch needs a row per block before the join, not one per item.
-BLOCK_BITS = 6
-# Item ids that may be sent to every executor, 8 bytes each.
-MOST_BROADCAST = 1_000_000
+# Places of a word of bits.
+WORD_PLACES = 64
+# Places in reach that may be sent to every executor, some 40 bytes each.
+MOST_BROADCAST = 500_000
 
 
 def category_item_stats(stats: DataFrame, items: DataFrame, min_support: int = 5) -> DataFrame:
@@ -36,8 +35,7 @@ def category_item_stats(stats: DataFrame, items: DataFrame, min_support: int = 5
 
 
 def seen_pairs(ratings: DataFrame) -> DataFrame:
-    """Distinct user-item pairs. The map-side step folds repeated pairs, and its
-    shuffle is the one an anti-join on the pair needs anyway."""
+    """Distinct user-item pairs; the map-side step folds repeated pairs."""
     return ratings.select("user_id", "item_id").distinct()
 
 
@@ -54,8 +52,11 @@ def best_unrated(
     rounded mean in ``direction`` and then item id. ``stats`` takes item means
     that are already at hand.
 
-    The ranking and the users' stretches are stored, as each is used twice: for
-    the candidates, and to find the items whose ratings can matter.
+    Ratings of places that are beyond every user's reach do not matter. The
+    others are folded to a word of bits per user, category and 64 places, which
+    spreads a user with very many ratings. What is used twice is stored. Places
+    in reach are broadcast up to ``MOST_BROADCAST`` of them; more are stored, too,
+    so that Spark knows their size and can split a hot item.
     """
     stats = item_stats(ratings) if stats is None else stats
     ranking, sizes = category_ranking(category_item_stats(stats, items, min_support), direction)
@@ -65,18 +66,60 @@ def best_unrated(
     # One row per label of the vocabulary at most.
     deepest = dict(reach.groupBy("genre").agg(F.max("reach")).collect())
     offered = ranking.where(F.col("place") < _by_label(deepest))
-    seen = seen_pairs(_ratings_of(ratings, offered.select("item_id").distinct(), sum(deepest.values())))
-    unseen = first_places(reach, offered).join(seen, ["user_id", "item_id"], "left_anti")
-    return top_n_per_key(unseen, ["user_id"], [F.col("place")], n).select(
-        "user_id", "rank", "item_id", "title", "avg_rating", F.col("genre").alias("fav_genre")
+    places = item_places(offered)
+    places = F.broadcast(places) if sum(deepest.values()) <= MOST_BROADCAST else pin(places)
+    free = first_free_places(reach, rated_words(ratings, places), n)
+    return (
+        free.select("user_id", "genre", F.posexplode("places").alias("at", "place"))
+        .join(offered, ["genre", "place"])
+        .select(
+            "user_id",
+            (F.col("at") + 1).alias("rank"),
+            "item_id",
+            "title",
+            "avg_rating",
+            F.col("genre").alias("fav_genre"),
+        )
     )
 
 
-def _ratings_of(ratings: DataFrame, items: DataFrame, most: int) -> DataFrame:
-    """Ratings of any of ``items``, which are ``most`` at most."""
-    if most <= MOST_BROADCAST:
-        return ratings.join(F.broadcast(items), "item_id", "left_semi")
-    return salted_join(ratings, pin(items), "item_id", "user_id", "left_semi")
+def item_places(ranking: DataFrame) -> DataFrame:
+    """(item_id, entries): an item's categories, each with its place there."""
+    return ranking.groupBy("item_id").agg(F.collect_list(F.struct("genre", "place")).alias("entries"))
+
+
+def rated_words(ratings: DataFrame, places: DataFrame) -> DataFrame:
+    """(user_id, genre, word, bits): a bit for each of 64 places of a category
+    that the user has rated; words without any are left out."""
+    each = ratings.select("user_id", "item_id").join(places, "item_id").select("user_id", F.explode("entries").alias("entry"))
+    bit = F.expr(f"shiftleft(1L, CAST(entry.place % {WORD_PLACES} AS INT))")
+    word = F.expr(f"entry.place div {WORD_PLACES}")
+    return each.groupBy("user_id", F.col("entry.genre").alias("genre"), word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+
+
+def first_free_places(reach: DataFrame, words: DataFrame, n: int) -> DataFrame:
+    """(user_id, genre, places): the first ``n`` places under ``reach`` that are
+    not rated, in order. The words of one user and category that come together
+    are bounded by the ranking, one for 64 places of it."""
+    taken = words.groupBy("user_id", "genre").agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("words"))
+    end = F.struct(F.expr(f"(reach + {WORD_PLACES - 1}) div {WORD_PLACES}").alias("word"), F.lit(-1).cast("bigint").alias("bits"))
+    nothing = F.struct(F.lit(0).cast("bigint").alias("next"), F.array().cast("array<bigint>").alias("places"))
+    own = F.concat(F.coalesce("words", F.array().cast("array<struct<word:bigint,bits:bigint>>")), F.array(end))
+    walked = F.aggregate(own, nothing, lambda seen, one: _with_free(seen, one, n))
+    places = F.slice(F.filter(walked["places"], lambda place: place < F.col("reach")), 1, n)
+    return reach.join(taken, ["user_id", "genre"], "left").select("user_id", "genre", places.alias("places"))
+
+
+def _with_free(seen: Column, one: Column, n: int) -> Column:
+    """Free places up to the end of a word: those of the words before it that have
+    no rating, ``n`` at most, and the bits of it that are not set."""
+    start, first = one["word"] * WORD_PLACES, seen["next"] * WORD_PLACES
+    last = F.least(start, first + n) - 1
+    between = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+    bits = F.filter(F.lit(list(range(WORD_PLACES))), lambda at: F.getbit(one["bits"], at) == 0)
+    inside = F.transform(bits, lambda at: start + at)
+    more = F.when(F.size(seen["places"]) < n, F.concat(seen["places"], between, inside)).otherwise(seen["places"])
+    return F.struct((one["word"] + 1).alias("next"), more.alias("places"))
 
 
 def _by_label(values: dict[str, int]) -> Column:
@@ -109,19 +152,6 @@ def category_ranking(quality: DataFrame, direction: str) -> tuple[DataFrame, dic
     return placed.withColumn("place", F.col("_slot") + F.col("_shift")).drop("_part", "_slot", "_shift"), sizes
 
 
-def first_places(reach: DataFrame, ranking: DataFrame) -> DataFrame:
-    """The first ``reach`` places of each user's category.
-
-    The head of a category is wanted by all who favour it, a few join keys with
-    nearly all rows. Both sides are stored, so Spark knows their size: it
-    broadcasts a small ranking, and splits the hot keys of a large one.
-    """
-    last = F.shiftright(F.col("reach") - 1, BLOCK_BITS)
-    wanted = reach.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    blocks = ranking.withColumn("block", F.shiftright("place", BLOCK_BITS))
-    return wanted.join(blocks, ["genre", "block"]).where(F.col("place") < F.col("reach")).drop("block", "reach")
-
-
 def unrated_counts(
     ratings: DataFrame,
     items: DataFrame,

@@ -89,7 +89,7 @@ def test_best_unrated(plan, ratings, items, direction, n, min_support):
     assert 2 not in {row[0] for row in want}
 
 
-def test_offered_items_may_be_too_many_to_broadcast(plan, ratings, items, monkeypatch):
+def test_places_may_be_too_many_to_broadcast(plan, ratings, items, monkeypatch):
     monkeypatch.setattr(recommend, "MOST_BROADCAST", 0)
     got = recommend.best_unrated(ratings, items, 5, 5, labels=LABELS)
     want = brute.best_unrated(RATINGS, ITEMS, 5, 5, True)
@@ -305,6 +305,22 @@ def test_folds_are_blocks_of_equal_size(plan, events, k):
         assert not ids[0] & ids[1] and len(ids[0]) + len(ids[1]) == len(EVENTS)
 
 
+@pytest.mark.parametrize("low, high", [(0, 50), (0, 2**40), (-(2**63), 2**63 - 1), (-(2**20), 2**10), (2**62, 2**62 + 9000)])
+def test_keys_at_positions_equal_the_sorted_list(spark, low, high):
+    rng = random.Random(low + high)
+    keys = [rng.randint(low, high) for _ in range(700)] + [low, high]
+    df = spark.createDataFrame([(key,) for key in keys] + [(None,)], "k bigint").repartition(5)
+    asked = [0, 1, 350, 351, 700, 701, 702, 5000]
+    assert splits.keys_at_positions(df, "k", asked) == [sorted(keys)[at] for at in asked if at < len(keys)]
+    assert splits.keys_at_positions(df.where("false"), "k", asked) == []
+
+
+def test_holdout_of_rows_without_a_key(plan, spark):
+    rows_in = [(i, None if i % 2 else 3) for i in range(40)]
+    got = splits.holdout(spark.createDataFrame(rows_in, "event_id bigint, user_id bigint"), "event_id", 2, 4)
+    assert {r.event_id for r in got.collect() if r.role == "test"} == {2, 3, 4, 5, 6, 7}
+
+
 @pytest.mark.parametrize("n", [0, 1, 3, 5, 6])
 def test_folds_of_few_rows(spark, n):
     events = spark.createDataFrame([(10 * i, 1) for i in range(n)], "event_id bigint, user_id bigint")
