@@ -1,6 +1,6 @@
 """Train and test splits for evaluation.
 
-Both work by input order, given as a column of whole numbers, unique per row.
+Both work by input order, given as a column that is unique per row.
 """
 
 from __future__ import annotations
@@ -9,10 +9,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tastegrid.operators.ranking import top_n_per_key
+from tastegrid.operators.ranking import dense_positions, top_n_per_key
 from tastegrid.session import pin
 
 TEST, BASE = "test", "base"
@@ -21,14 +22,20 @@ _RANGE_BITS = 12
 
 
 def keys_at_positions(df: DataFrame, order_by: str, positions: Sequence[int]) -> list[int]:
-    """The values of a whole-number column at 0-based positions of its ascending
+    """The values of a unique column at 0-based positions of its ascending
     order, without sorting; positions beyond the rows are left out.
 
     Values are counted by their leading bits, then those that share their leading
     bits with a position that is asked for by the next bits, and so on. A pass
     reads one column, and sends a count per range from each task to the driver,
-    ``2 ** _RANGE_BITS`` of them per position at most.
+    ``2 ** _RANGE_BITS`` of them per position at most. Columns that hold no whole
+    numbers, such as places in files, have no such bits and are sorted.
     """
+    kind = df.schema[order_by].dataType
+    if not isinstance(kind, T.IntegralType):
+        numbered = dense_positions(df.select(order_by), [order_by])
+        rows = numbered.where(F.col("position").isin(list(positions))).collect()
+        return [row[order_by] for row in sorted(rows, key=lambda row: row["position"]) for _ in range(positions.count(row["position"]))]
     values = df.select(F.col(order_by).cast("bigint").alias("_key")).where("_key IS NOT NULL")
     total, least, most = values.agg(F.count("*"), F.min("_key"), F.max("_key")).first()
     asked = [position for position in positions if position < total]
@@ -52,6 +59,13 @@ def keys_at_positions(df: DataFrame, order_by: str, positions: Sequence[int]) ->
         bits = shift
 
 
+def _literal(df: DataFrame, column: str, value) -> Column:
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StructType):
+        return F.struct(*[F.lit(value[field.name]).cast(field.dataType).alias(field.name) for field in kind])
+    return F.lit(value).cast(kind)
+
+
 def _range_at(ranges: list[tuple[int, int]], position: int) -> tuple[int, int]:
     """The range that holds a position, and the position within it."""
     for start, rows in ranges:
@@ -66,13 +80,13 @@ def kfold_assign(df: DataFrame, order_by: str, k: int = 5) -> DataFrame:
     folds are consecutive blocks whose sizes differ by one at most. With fewer
     rows than folds some folds are empty.
 
-    ``order_by`` is a column of unique whole numbers. Nothing is sorted, stored or
+    Of a column of unique whole numbers nothing is sorted, stored or
     shuffled: counts of ranges single out the first key of each block, which then
     tells the fold of each row where it is.
     """
     total = df.agg(F.count(order_by)).first()[0]
     starts = keys_at_positions(df, order_by, [-(-block * total // k) for block in range(1, k)])
-    passed = [(F.col(order_by) >= start).cast("int") for start in starts]
+    passed = [(F.col(order_by) >= _literal(df, order_by, start)).cast("int") for start in starts]
     return df.withColumn("fold", F.coalesce(reduce(add, passed, F.lit(1)), F.lit(1)))
 
 
@@ -107,7 +121,7 @@ def holdout(
     if max_test > 0:
         test = pin(test)
         over = keys_at_positions(test, order_by, [max_test])
-        test = test.where(F.col(order_by) < over[0]) if over else test
+        test = test.where(F.col(order_by) < _literal(test, order_by, over[0])) if over else test
     ranges = test.groupBy(key).agg(F.min(order_by).alias("_first"), F.max(order_by).alias("_last"))
     # A struct is not null, so that rows without a key meet their range, too.
     ranges = ranges.select(F.struct(key).alias("_of"), "_first", "_last")
