@@ -317,16 +317,17 @@ def exclusions_flattened(spark, sf_dir):
     return reshape.flatten_documents(sources.read_documents(spark, path, schemas.EXCLUSION_DOCUMENT))
 
 
-def _stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stored_documents(spark: SparkSession, sf_dir: str) -> str:
     path = fresh_path(spark, "documents")
-    sinks.replace_table(reshape.to_documents(_exclusions(spark, sf_dir)), path, ["user_id"])
-    return sources.read_table(spark, path, schemas.EXCLUSION_DOCUMENT)
+    sinks.replace_keyed(reshape.to_documents(_exclusions(spark, sf_dir)), path, ["user_id"])
+    return path
 
 
 @query
 def document_find(spark, sf_dir):
     """Documents of a list of users, one of whom does not exist."""
-    found = lookup.lookup(_stored_documents(spark, sf_dir), ASKED_USERS)
+    path = _stored_documents(spark, sf_dir)
+    found = lookup.lookup_stored(spark, path, ASKED_USERS, schema=schemas.EXCLUSION_DOCUMENT)
     return found.select("user_id", "found", "favorite_genre", F.size("blacklisted_movies").alias("entries"))
 
 
@@ -348,8 +349,8 @@ def rating_matrix_row(spark, sf_dir):
 def rating_matrix_fetch(spark, sf_dir):
     """Rows of some users from a stored matrix."""
     path = fresh_path(spark, "matrix")
-    sinks.replace_table(reshape.rating_matrix(views.ratings(spark, sf_dir)), path, ["user_id", "segment"])
-    return reshape.fetch_rows(sources.read_table(spark, path), ASKED_USERS)
+    sinks.replace_keyed(reshape.rating_matrix(views.ratings(spark, sf_dir)), path, ["user_id", "segment"])
+    return reshape.fetch_rows(sources.read_ids(spark, path, "user_id", ASKED_USERS), ASKED_USERS)
 
 
 @query
@@ -370,8 +371,8 @@ def profile_lookup(spark, sf_dir):
 def lookup_ids(spark, sf_dir):
     """Profiles of a list of ids, one of which does not exist."""
     path = fresh_path(spark, "users")
-    sinks.replace_table(views.users(spark, sf_dir), path, ["user_id"])
-    return lookup.lookup(sources.read_table(spark, path), ASKED_USERS)
+    sinks.replace_keyed(views.users(spark, sf_dir), path, ["user_id"])
+    return lookup.lookup_stored(spark, path, ASKED_USERS)
 
 
 # Tables and files
@@ -385,6 +386,17 @@ def keyed_table_upsert(spark, sf_dir):
     return sources.read_table(spark, path, schemas.RATING)
 
 
+@query
+def keyed_table_merge(spark, sf_dir):
+    """Each user's latest rating, replaced by the latest of 4 or more if there is one."""
+    path = fresh_path(spark, "merged")
+    latest = [F.desc("ts"), F.desc("item_id"), F.desc("rating")]
+    ratings = views.ratings(spark, sf_dir)
+    sinks.replace_keyed(ratings, path, ["user_id"], latest)
+    sinks.merge_keyed(ratings.where("rating >= 4"), path, ["user_id"], latest)
+    return sources.read_keyed(spark, path, schemas.RATING)
+
+
 @query
 def clustered_table_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "by_genre")

@@ -33,7 +33,7 @@ def _job(function: Callable[..., Paths]) -> Callable[..., Paths]:
 
 def _store(out: str, name: str, df: DataFrame, key: list[str]) -> str:
     path = f"{out}/{name}"
-    sinks.replace_table(df, path, key)
+    sinks.replace_keyed(df, path, key)
     return path
 
 
@@ -203,21 +203,20 @@ def evaluation_splits(
 def show_profiles(spark: SparkSession, table: str, user_ids: Sequence[int]) -> DataFrame:
     """Wide rows of the asked users as lines, one for each rank that the table
     holds; users who are absent have one line without."""
-    wide = sources.read_table(spark, table)
     keys = [f"user_{user_id:06d}" for user_id in user_ids]
-    hits = reshape.wide_to_full_list(wide.where(F.col("row_key").isin(keys)))
+    hits = reshape.wide_to_full_list(sources.read_ids(spark, table, "row_key", keys))
     asked = spark.createDataFrame([(key,) for key in keys], "row_key string")
     return lookup.lookup_each(hits, asked, "row_key").orderBy("row_key", "rank")
 
 
 def show_documents(spark: SparkSession, table: str, user_ids: Sequence[int]) -> DataFrame:
     """Lines of the asked users' documents; one line for a user without."""
-    documents = sources.read_table(spark, table, schemas.EXCLUSION_DOCUMENT)
-    found = reshape.flatten_documents(documents.where(F.col("user_id").isin(list(user_ids))))
+    documents = sources.read_ids(spark, table, "user_id", list(user_ids), schemas.EXCLUSION_DOCUMENT)
+    found = reshape.flatten_documents(documents)
     return lookup.lookup(found, list(user_ids)).orderBy("user_id", "avoid_rank")
 
 
 def show_rows(spark: SparkSession, table: str, user_ids: Sequence[int]) -> DataFrame:
     """Rows of any table keyed by user, such as favourites, with row keys."""
-    found = lookup.lookup(sources.read_table(spark, table), list(user_ids))
+    found = lookup.lookup_stored(spark, table, list(user_ids))
     return found.withColumn("row_key", row_key("user_id")).orderBy("user_id")

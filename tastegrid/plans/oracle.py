@@ -265,6 +265,12 @@ FROM users u LEFT JOIN active_favourites f ON u.user_id = f.user_id""",
         [_RATINGS],
         """SELECT * FROM ratings
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, item_id DESC, rating DESC) = 1""",
+    ),
+    "keyed_table_merge": _sql(
+        [_RATINGS],
+        """SELECT * FROM ratings
+QUALIFY row_number() OVER (
+  PARTITION BY user_id ORDER BY rating >= 4 DESC, ts DESC, item_id DESC, rating DESC) = 1""",
     ),
     "clustered_table_roundtrip": _sql(
         [*_AVG, _GENRE_ITEMS],

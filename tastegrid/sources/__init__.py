@@ -8,17 +8,31 @@ from tastegrid.sources.delimited import (
     split_bad_lines,
     with_input_order,
 )
-from tastegrid.sources.stored import path_exists, read_documents, read_export, read_first_available, read_table
+from tastegrid.sources.stored import (
+    manifest_path,
+    path_exists,
+    read_documents,
+    read_export,
+    read_first_available,
+    read_ids,
+    read_keyed,
+    read_manifest,
+    read_table,
+)
 from tastegrid.sources.vocabulary import outside_vocabulary, vocabulary
 
 __all__ = [
+    "manifest_path",
     "outside_vocabulary",
     "path_exists",
     "read_delimited",
     "read_documents",
     "read_export",
     "read_first_available",
+    "read_ids",
     "read_items",
+    "read_keyed",
+    "read_manifest",
     "read_ratings",
     "read_table",
     "read_users",

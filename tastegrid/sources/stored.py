@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -23,9 +24,51 @@ def read_documents(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).json(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
+    return reader.parquet(*([path] if isinstance(path, str) else path))
+
+
+def manifest_path(path: str) -> str:
+    """Where a keyed table keeps the key ranges of its files; reads of the folder pass over it."""
+    return f"{path.rstrip('/')}/_manifest"
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """(file, rows, least, most) of the files of a keyed table."""
+    return spark.read.parquet(manifest_path(path))
+
+
+def read_keyed(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, files: Sequence[str] | None = None
+) -> DataFrame:
+    """A keyed table as its manifest has it, or the rows of some of its ``files``."""
+    if files is None:
+        files = [row.file for row in read_manifest(spark, path).select("file").toLocalIterator()]
+    schema = schema or read_table(spark, path).schema
+    if not files:
+        return spark.createDataFrame([], schema)
+    return read_table(spark, [f"{path.rstrip('/')}/{name}" for name in files], schema)
+
+
+def read_ids(spark: SparkSession, path: str, key: str, ids: Sequence[int | str], schema: T.StructType | None = None) -> DataFrame:
+    """Rows with ``key``, the first key column of a table, in ``ids``.
+
+    Only files whose range of keys holds an id are opened. A table without a
+    manifest is filtered by the scan.
+    """
+    wanted = F.col(key).isin(list(ids))
+    if not path_exists(spark, manifest_path(path)):
+        return read_table(spark, path, schema).where(wanted)
+    ranges = read_manifest(spark, path)
+    if ranges.schema["least"].dataType.names[0] != key:
+        raise ValueError(f"the files of {path} are not in order of {key}")
+    low, high = F.col("least")[key], F.col("most")[key]
+    asked = F.array(*[F.lit(i) for i in ids])
+    # A range that starts at null holds everything up to its end.
+    hit = ranges.where(F.exists(asked, lambda i: F.coalesce(low <= i, F.lit(True)) & (i <= high)))
+    files = [row.file for row in hit.select("file").toLocalIterator()]
+    return read_keyed(spark, path, schema, files).where(wanted)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
