@@ -1,14 +1,19 @@
 """Decision lists and page text."""
 
+import math
 import re
 from collections import Counter
+from random import Random
+from xml.etree import ElementTree
 
+import duckdb
 import numpy as np
 import pytest
 from cases import edge_docs, edge_rows, empty_docs
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tastegrid.llm import html_text
 from tastegrid.llm.html_text import extract_main_text, main_text, smoothed
 from tastegrid.llm.quality import (
     RATIOS,
@@ -178,6 +183,143 @@ def test_smoothing_keeps_constants_and_sums_of_neighbours():
     assert smoothed(np.eye(1, 9, 4)[0]).argmax() == 4
 
 
+CHROME = ["class='header'", "id='header'", "class='site-header'", "class='top-bar'", "class='notification'", "class='reactions'"]
+
+
+@pytest.mark.parametrize("attribute", CHROME)
+def test_headers_and_notices_go_without_an_article(attribute):
+    body = f"<div class='content'><h1>Head</h1><p>{'word ' * 40}</p><p>End.</p></div>"
+    page = f"<body><div {attribute}>Some words of the site</div>{body}<div class='footer'>x</div></body>"
+    assert main_text(page).split("\n") == ["Head", " ".join(["word"] * 40), "End."]
+
+
+DOUBTFUL = [
+    "p class='social-history'", "p class='related'", "p class='alert'", "div class='search-engine'", "h2 id='comment'",
+    "section id='advertising'", "figure class='widget-photo'", "div class='article-header'", "div class='header'", "span class='alert'",
+]
+
+
+@pytest.mark.parametrize("element", DOUBTFUL)
+def test_doubtful_names_in_an_article_go_by_their_ratio(element):
+    start, end = f"<p>{'word ' * 40}</p>", f"</{element.split()[0]}>"
+    page = "<body><article>%s%s<p>End.</p></article><article><p>Two.</p></article></body>"
+    kept = main_text(page % (start, f"<{element}>A sentence of the article.{end}")).split("\n")
+    assert kept == [" ".join(["word"] * 40), "A sentence of the article.", "End.", "Two."]
+    links = main_text(page % (start, f"<{element}><a href='#'>one</a> <a href='#'>two</a>{end}")).split("\n")
+    certain = not element.startswith(("h2", "span")) and "header" not in element
+    assert ("one two" in links) is not certain
+
+
+def test_inline_elements_do_not_split_lines():
+    page = "<article><p>One <span class='comment'>two</span> three <span class='ad'>Advert</span> <span hidden>x</span>four.</p></article>"
+    assert main_text(page) == "One two three four."
+
+
+def _without_marks(html):
+    html = re.sub(r"<(/?)(article|nav|footer)\b[^>]*>", r"<\1div>", html)
+    return html.replace('<div class="ad">', "<div>")
+
+
+def test_clusters_find_the_article_when_nothing_marks_it(monkeypatch):
+    """Pages of the test tables with articles, menus, adverts and footers turned into
+    plain divisions: no line of an article is lost, and most pages give nothing else."""
+    pages = [row[0] for row in duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()]
+    want = [main_text(html) for html in pages]
+    bare = [_without_marks(html) for html in pages]
+
+    def exact():
+        return sum(main_text(html) == text for html, text in zip(bare, want)) / len(pages)
+
+    assert all(set(text.split("\n")) <= set(main_text(html).split("\n")) for html, text in zip(bare, want))
+    assert exact() > 0.8
+    monkeypatch.setattr(html_text, "smoothed", lambda ratios: ratios)
+    unsmoothed = [main_text(html) for html in bare]
+    monkeypatch.setattr(html_text, "smoothed", lambda ratios: np.ones(len(ratios)))
+    assert exact() == 0
+    monkeypatch.undo()
+    assert unsmoothed != [main_text(html) for html in bare]
+
+
+# A brute-force version for well-formed pages: a walk over the tree.
+
+
+def _walk(node, parent, hidden, lines):
+    """Appends [text, tags, parent] for each line; ``lines[-1]`` is the open one."""
+    inline = node.tag in ("b", "a")
+    line = node.tag in ("p", "h1", "li", "ul")
+    hidden = hidden or node.tag in ("nav", "aside", "footer", "form") or node.get("class") in ("ad", "comments", "site-header")
+    inner = parent if inline or line else node
+    if not inline:
+        lines.append(["", 0, inner])
+    lines[-1][1] += 1
+    if not hidden:
+        lines[-1][0] += node.text or ""
+    for child in node:
+        _walk(child, inner, hidden, lines)
+        if not hidden:
+            lines[-1][0] += child.tail or ""
+        if child.tag not in ("b", "a"):
+            lines[-1][2] = inner
+    lines[-1][1] += 1
+    if not inline:
+        lines.append(["", 0, parent])
+
+
+def brute_main_text(html):
+    lines = [["", 0, None]]
+    _walk(ElementTree.fromstring(html), None, False, lines)
+    lines = [(" ".join(text.split()), tags, parent) for text, tags, parent in lines if text.strip() or tags]
+    ratios = [len(text) / max(tags, 1) for text, tags, _ in lines]
+    smooth = []
+    for at in range(len(ratios)):
+        near = [k for k in range(len(ratios)) if abs(k - at) <= 2]
+        weights = [math.exp(-0.5 * (k - at) ** 2) for k in near]
+        smooth.append(sum(w * ratios[k] for w, k in zip(weights, near)) / sum(weights))
+    ordered, best, border = sorted(smooth), math.inf, min(smooth)
+    for cut in range(1, len(ordered)):
+        low, high = ordered[:cut], ordered[cut:]
+        means = sum(low) / len(low), sum(high) / len(high)
+        cost = sum((x - means[0]) ** 2 for x in low) + sum((x - means[1]) ** 2 for x in high)
+        if cost < best - 1e-9:
+            best, border = cost, sum(means) / 2 if means[1] >= 4 * means[0] else min(smooth)
+    content = [parent for (text, _, parent), ratio in zip(lines, smooth) if text and ratio >= border]
+    return "\n".join(text for text, _, parent in lines if text and any(parent is one for one in content))
+
+
+def _random_page(random):
+    def words(least, most):
+        return " ".join("w" * random.randint(1, 9) for _ in range(random.randint(least, most)))
+
+    def inside(depth):
+        parts = []
+        for _ in range(random.randint(1, 4)):
+            kind = random.choice(["p", "p", "p", "h1", "div", "div", "ul", "nav", "aside", "ad", "form", "comments", "site-header"])
+            if kind == "p":
+                parts.append(f"<p>{words(0, 40)} <b>{words(1, 3)}</b> {words(0, 9)}</p>")
+            elif kind == "h1":
+                parts.append(f"<h1>{words(1, 4)}</h1>")
+            elif kind == "ul":
+                parts.append("<ul>" + "".join(f"<li><a href='#'>{words(1, 2)}</a></li>" for _ in range(4)) + "</ul>")
+            elif kind in ("ad", "comments", "site-header"):
+                parts.append(f"<div class='{kind}'><p>{words(1, 30)}</p></div>")
+            elif kind != "div":
+                parts.append(f"<{kind}>{words(1, 9)}</{kind}>")
+            elif depth:
+                parts.append(f"<div>{inside(depth - 1)}</div>")
+        return "".join(parts)
+
+    return f"<html><body>{inside(3)}{inside(3)}</body></html>"
+
+
+def test_unmarked_pages_against_a_walk_over_the_tree():
+    random, some = Random(7), 0
+    for _ in range(400):
+        page = _random_page(random)
+        assert main_text(page) == brute_main_text(page), page
+        some += main_text(page) != ""
+    assert some > 300
+
+
 def test_extract_on_edge_rows(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     rows = [(1, "u", PAGE, "x", "y"), (1, "u", PAGE, "x", "y"), (2, None, None, None, None), (None, "v", "", "", ""),
