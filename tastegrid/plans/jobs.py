@@ -187,9 +187,7 @@ def evaluation_splits(
     trains on the others. Rows are sorted by user and item in each part.
     ``max_test`` limits the test rows of a holdout, 0 being no limit.
     """
-    lines = fresh_path(spark, "rating_lines")
-    sources.with_input_order(sources.read_ratings(spark, ratings)).write.parquet(lines)
-    rows = sources.read_table(spark, lines)
+    rows = sources.with_input_order(sources.read_ratings(spark, ratings))
     parts = {"folds": (splits.kfold_assign(rows, "line", folds), "fold")}
     for start, stop in holdouts:
         parts[f"holdout_{start}_{stop}"] = (splits.holdout(rows, "line", start, stop, max_test), "role")

@@ -6,11 +6,13 @@ import hashlib
 from collections.abc import Callable, Mapping, Sequence
 from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tastegrid.sinks.tables import swap_in
-from tastegrid.sources.stored import path_exists, read_table
+from tastegrid.sources.stored import files_below, path_exists, read_table
 
 
 def result_path(base: str, name: str, params: Mapping[str, object]) -> str:
@@ -21,18 +23,18 @@ def result_path(base: str, name: str, params: Mapping[str, object]) -> str:
 
 
 def inputs_version(spark: SparkSession, paths: Sequence[str]) -> str:
-    """Changes with the names, lengths and times of the files below ``paths``."""
+    """Changes with the names, lengths and times of the files below ``paths``.
+    Spark lists and sums them; the driver gets one row per path."""
     seen = hashlib.md5()
     for path in paths:
-        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-        files = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        listed = []
-        if files.exists(jvm_path):
-            found = files.listFiles(jvm_path, True)
-            while found.hasNext():
-                one = found.next()
-                listed.append(f"{one.getPath()} {one.getLen()} {one.getModificationTime()}")
-        seen.update("\n".join([path, *sorted(listed)]).encode())
+        try:
+            hashes = [F.xxhash64(F.lit(seed), "path", "length", "modified").cast("decimal(20, 0)") for seed in (1, 2)]
+            found = files_below(spark, path).agg(F.count("*"), *map(F.sum, hashes)).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            found = ()
+        seen.update("\n".join([path, *map(str, found)]).encode())
     return seen.hexdigest()
 
 

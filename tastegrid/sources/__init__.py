@@ -9,6 +9,7 @@ from tastegrid.sources.delimited import (
     with_input_order,
 )
 from tastegrid.sources.stored import (
+    files_below,
     manifest_path,
     path_exists,
     read_documents,
@@ -22,6 +23,7 @@ from tastegrid.sources.stored import (
 from tastegrid.sources.vocabulary import outside_vocabulary, vocabulary
 
 __all__ = [
+    "files_below",
     "manifest_path",
     "outside_vocabulary",
     "path_exists",

@@ -18,6 +18,8 @@ from pyspark.sql import types as T
 
 from tastegrid import schemas
 from tastegrid.functions.flags import labels_from_flags
+from tastegrid.operators.ranking import dense_positions, salted_join
+from tastegrid.session import pin
 
 LATIN_1 = "ISO-8859-1"
 BAD_LINE = "_bad_line"
@@ -130,22 +132,21 @@ def with_input_order(df: DataFrame, name: str = "line") -> DataFrame:
     """Add a sortable, unique place of each row in the files of a fresh scan:
     number of the file by path, piece of the file, row.
 
-    Store the result before using it twice: a second scan may cut the files in
-    other pieces.
+    The rows are stored with path, piece and row, as a second scan may cut the
+    files in other pieces. Files are numbered from the paths that occur, which
+    are read from the stored column alone.
     """
-    # The listing and the scan differ in the number of slashes behind the scheme.
-    listed = sorted(re.sub(r"^(\w+:)/+", r"\1/", path) for path in df.inputFiles())
-    paths = [(path, number) for number, path in enumerate(listed)]
-    files = df.sparkSession.createDataFrame(paths, "_path string, _file int")
-    placed = df.select(
-        "*",
-        F.regexp_replace("_metadata.file_path", r"^(\w+:)/+", "$1/").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_piece"),
-        F.monotonically_increasing_id().alias("_row"),
+    placed = pin(
+        df.select(
+            "*",
+            F.col("_metadata.file_path").alias("_path"),
+            F.col("_metadata.file_block_start").alias("_piece"),
+            F.monotonically_increasing_id().alias("_row"),
+        )
     )
-    number = F.coalesce("_file", F.raise_error(F.concat(F.lit("file not listed: "), "_path")).cast("int"))
-    place = F.struct(number.alias("file"), F.col("_piece").alias("piece"), F.col("_row").alias("row"))
-    return placed.join(F.broadcast(files), "_path", "left").select(*df.columns, place.alias(name))
+    files = dense_positions(placed.select("_path").distinct(), ["_path"], "_file")
+    place = F.struct(F.col("_file").cast("int").alias("file"), F.col("_piece").alias("piece"), F.col("_row").alias("row"))
+    return salted_join(placed, files, "_path", "_row").select(*df.columns, place.alias(name))
 
 
 def split_bad_lines(

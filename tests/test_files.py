@@ -162,6 +162,24 @@ def test_replacing_keeps_the_old_table_until_the_new_one_is_whole(spark, tmp_pat
     assert os.listdir(tmp_path) == ["t"]
 
 
+def test_version_of_inputs_follows_every_file(spark, tmp_path):
+    (tmp_path / "in" / "deep").mkdir(parents=True)
+    version = lambda: sinks.inputs_version(spark, [str(tmp_path / "in"), str(tmp_path / "absent")])
+    seen = [version()]
+    for name in ("a", "deep/b", "deep/c"):
+        write(tmp_path / "in" / name, ["line"])
+        seen.append(version())
+    (tmp_path / "in" / "deep" / "b").rename(tmp_path / "in" / "b")
+    seen.append(version())
+    os.utime(tmp_path / "in" / "a", (1, 1))
+    seen.append(version())
+    assert len(set(seen)) == len(seen) and version() == seen[-1]
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(1 << 50)
+    assert type(spark).getActiveSession() is spark
+    plan = sources.files_below(spark, str(tmp_path / "in"))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[1]
+
+
 def test_export_roundtrip_and_differences(spark, tmp_path):
     df = spark.createDataFrame(
         [(1, 'A "quoted", title', 4.3333, 3), (2, "back\\slash", 1.0, 1), (3, "  padded  ", 2.0, 1)], schemas.ITEM_AVERAGE
@@ -344,7 +362,7 @@ def test_input_order_over_several_file_pieces(spark, tmp_path):
     path = write(tmp_path / "r", [f"{i % 50}\t{i}\t3\t{i}" for i in range(3000)])
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     lines = sources.with_input_order(sources.read_ratings(spark, path))
-    assert lines.rdd.getNumPartitions() > 3
+    assert lines.select("line.piece").distinct().count() > 3
     assert [r.ts for r in lines.orderBy("line").collect()] == list(range(3000))
     spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
