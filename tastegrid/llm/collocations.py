@@ -32,6 +32,11 @@ _HASH_BITS = 40
 _BITS_EACH, _LEAST_BITS, _MOST_BITS = 32, 1 << 20, 1 << 28
 # Bits of a row of Spark's bitmap functions.
 _BITMAP_BITS = 32768
+# Between the language and the words of a window. The least character, so that in
+# the order of windows those that begin with a phrase are neighbours.
+_PART = "\0"
+# Windows of several words in a batch.
+_WINDOWS_EACH = 1 << 17
 UNKNOWN = "und"
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -202,6 +207,104 @@ def _may_be_frequent(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
+def _escaped(texts: pa.Array) -> pa.Array:
+    """Texts without zero characters, which part the words of a window."""
+    return pc.replace_substring(pc.replace_substring(texts, "\x01", "\x01\x02"), _PART, "\x01\x01")
+
+
+def _unescaped(text: str) -> str:
+    return text.replace("\x01\x01", _PART).replace("\x01\x02", "\x01")
+
+
+def _joined(words: pa.Array, at: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The ``sizes`` words from each place of ``at`` on."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    places = np.arange(offsets[-1]) + np.repeat(at - offsets[:-1], sizes)
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), words.take(pa.array(places))), _PART)
+
+
+def _windows(batch: pa.RecordBatch, bitmap: np.ndarray, longest: int) -> Iterator[pa.RecordBatch]:
+    """(key, times) of each place where a phrase may begin: the language and the
+    words from there on as long as each pair of neighbours may be frequent. Equal
+    windows of one word, which are most, are put together."""
+    words, owner, place = _chunk_words(batch)
+    if not len(words):
+        return
+    langs, times = batch.column("lang"), batch.column("times").to_numpy()
+    of_words, of_pairs = _lang_hashes_of(words, owner, langs)
+    at = np.flatnonzero((place < batch.column("own").to_numpy()[owner]) & _may_be_frequent(bitmap, of_words))
+    hopeful = _may_be_frequent(bitmap, of_pairs) & (owner[1:] == owner[:-1])
+    last = np.append(np.flatnonzero(~hopeful), len(words) - 1)
+    sizes = np.minimum(last[np.searchsorted(last, at)] - at + 1, longest)
+    if any(pc.any(pc.match_substring(column, mark)).as_py() for column in (words, langs) for mark in (_PART, "\x01")):
+        words, langs = _escaped(words), _escaped(langs)
+    lone = at[sizes == 1]
+    table = pa.table({"lang": langs.take(pa.array(owner[lone])), "word": words.take(pa.array(lone)), "times": times[owner[lone]]})
+    folded = table.group_by(["lang", "word"]).aggregate([("times", "sum")]).combine_chunks()
+    for part in folded.to_batches():
+        keys = pc.binary_join_element_wise(part.column("lang"), part.column("word"), _PART)
+        yield pa.RecordBatch.from_arrays([keys, part.column("times_sum")], names=["key", "times"])
+    at, sizes = at[sizes > 1], sizes[sizes > 1]
+    for start in range(0, len(at), _WINDOWS_EACH):
+        some = at[start : start + _WINDOWS_EACH]
+        keys = pc.binary_join_element_wise(
+            langs.take(pa.array(owner[some])), _joined(words, some, sizes[start : start + _WINDOWS_EACH]), _PART
+        )
+        yield pa.RecordBatch.from_arrays([keys, pa.array(times[owner[some]])], names=["key", "times"])
+
+
+def _counted_rows(found: list[tuple[str, int]], words: int) -> pa.RecordBatch:
+    parts = [key.split(_PART) for key, _ in found]
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array([_unescaped(part[0]) for part in parts], pa.string()),
+            pa.array([words] * len(found), pa.int32()),
+            pa.array([_unescaped(" ".join(part[1:])) for part in parts], pa.string()),
+            pa.array([times for _, times in found], pa.int64()),
+        ],
+        names=["lang", "words", "phrase", "times"],
+    )
+
+
+def _prefix_counts(batches: Iterator[pa.RecordBatch], least: int, longest: int) -> Iterator[pa.RecordBatch]:
+    """Counts of the phrases that windows begin with; windows come in order of
+    their keys, so those of a phrase are neighbours. Only the first and the last
+    phrase of each length can go on in another task: they are given whatever
+    their count, others from ``least`` on."""
+    # By length: the phrase that the last windows began with, its count, and
+    # whether it was the first of the task.
+    held: dict[int, tuple[str, int, bool]] = {}
+    for batch in _gathered(batches):
+        split = pc.split_pattern(string_column(batch, "key"), _PART)
+        offsets, flat, times = _offsets(split), split.flatten(), batch.column("times").to_numpy()
+        sizes = np.diff(offsets) - 1
+        for size in range(1, longest + 1):
+            rows = np.flatnonzero(sizes >= size)
+            if not len(rows):
+                continue
+            phrases = _joined(flat, offsets[rows], np.full(len(rows), size + 1))
+            changed = pc.not_equal(phrases.slice(1), phrases.slice(0, len(rows) - 1)).to_numpy(zero_copy_only=False)
+            starts = np.concatenate([[0], np.flatnonzero(changed) + 1])
+            sums = np.add.reduceat(times[rows], starts)
+            first, found = phrases[0].as_py(), []
+            begun = size not in held
+            if not begun and held[size][0] == first:
+                sums[0] += held[size][1]
+                begun = held[size][2]
+            elif not begun and (held[size][2] or held[size][1] >= least):
+                found.append(held[size][:2])
+            given = sums >= least
+            given[0] |= begun
+            given[-1] = False
+            where = np.flatnonzero(given)
+            found += zip(phrases.take(pa.array(starts[where])).to_pylist(), sums[where].tolist(), strict=True)
+            held[size] = (phrases[int(starts[-1])].as_py(), int(sums[-1]), begun and len(starts) == 1)
+            if found:
+                yield _counted_rows(found, size)
+    for size, (phrase, count, _) in held.items():
+        yield _counted_rows([(phrase, count)], size)
+
+
 def phrase_counts(
     docs: DataFrame, least: int = 100, longest: int = 5, text_col: str = "text", lang_col: str = "lang"
 ) -> DataFrame:
@@ -210,44 +313,26 @@ def phrase_counts(
 
     Returns (lang, words, phrase, times, n), ``n`` being all words of the
     language. A first pass over the dictionary finds frequent words and pairs of
-    neighbours by hash; the second counts phrases all of whose pairs are among
-    them, as no other can be frequent, word by word.
+    neighbours by hash; the second gives one window from each place, the words up
+    to the first pair that is not among them, as no phrase over it can be
+    frequent. Windows in order are counted by all their beginnings, word by word
+    (SUFFIX-sigma, Berberich and Bedathur, 2013, but by ranges of whole windows,
+    so that a very frequent first word is spread).
     """
     spark = docs.sparkSession
     dictionary = pin(parse(docs, text_col, lang_col, longest))
     bitmap = _filter_of(spark, checkpointed(_frequent_hashes(dictionary, least)))
 
-    def count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def window_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _gathered(batches):
-            words, owner, place = _chunk_words(batch)
-            langs, times = batch.column("lang"), batch.column("times").to_numpy()
-            of_words, of_pairs = _lang_hashes_of(words, owner, langs)
-            begins = (place < batch.column("own").to_numpy()[owner]) & _may_be_frequent(bitmap.value, of_words)
-            hopeful = _may_be_frequent(bitmap.value, of_pairs) & (owner[1:] == owner[:-1])
-            for size in range(1, longest + 1):
-                if size > 1:
-                    # All pairs of the phrase, which so is inside of one chunk.
-                    begins = begins[: len(words) - size + 1] & hopeful[size - 2 :]
-                at = np.flatnonzero(begins)
-                if not len(at):
-                    continue
-                places = (at[:, None] + np.arange(size)).ravel()
-                offsets = pa.array(np.arange(0, len(places) + 1, size), pa.int32())
-                phrases = pc.binary_join(pa.ListArray.from_arrays(offsets, words.take(pa.array(places))), " ")
-                table = pa.table({"lang": langs.take(pa.array(owner[at])), "phrase": phrases, "times": times[owner[at]]})
-                folded = table.group_by(["lang", "phrase"]).aggregate([("times", "sum")]).combine_chunks()
-                for part in folded.to_batches():
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            part.column("lang"),
-                            pa.array(np.full(part.num_rows, size, dtype=np.int32)),
-                            part.column("phrase"),
-                            part.column("times_sum"),
-                        ],
-                        names=["lang", "words", "phrase", "times"],
-                    )
-
-    counted = dictionary.mapInArrow(count_task, "lang string, words int, phrase string, times long")
+            yield from _windows(batch, bitmap.value, longest)
+
+    def prefix_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _prefix_counts(batches, least, longest)
+
+    windows = dictionary.mapInArrow(window_task, "key string, times long").groupBy("key").agg(F.sum("times").alias("times"))
+    ordered = windows.repartitionByRange("key").sortWithinPartitions("key")
+    counted = ordered.mapInArrow(prefix_task, "lang string, words int, phrase string, times long")
     counts = counted.groupBy("lang", "words", "phrase").agg(F.sum("times").alias("times"))
     totals = dictionary.groupBy("lang").agg(F.sum(F.col("own") * F.col("times")).alias("n"))
     return counts.where(F.col("times") >= least).join(totals, "lang")

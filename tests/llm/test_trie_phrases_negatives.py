@@ -197,6 +197,74 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
     assert real(np.array([2], dtype=np.uint8), np.array([1, 9, 2], dtype=np.uint64)).tolist() == [True, True, False]
 
 
+def test_no_step_makes_more_rows_than_there_are_words(spark, monkeypatch):
+    """Where all pairs are frequent, a place gives one window, not a row for each
+    length that a phrase may have."""
+    rng = random.Random(5)
+    vocabulary = [f"w{k}" for k in range(20)]
+    rows = [(" ".join(rng.choices(vocabulary, k=100)), "en") for _ in range(200)]
+    made, real = defaultdict(lambda: spark.sparkContext.accumulator(0)), type(spark.range(1)).mapInArrow
+
+    def counting(df, task, schema):
+        total = made[schema]
+
+        def counted(batches):
+            for batch in task(batches):
+                total.add(batch.num_rows)
+                yield batch
+
+        return real(df, counted, schema)
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", counting)
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    assert {tuple(row) for row in collocations.collocations(docs, 5).collect()} == slow_phrases(rows, 5, 5, 2000)
+    assert all(0 < total.value <= 20000 for total in made.values()) and len(made) >= 3
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_phrases_over_range_ends_and_of_least_characters(spark, parts):
+    """Windows of a phrase may be dealt over tasks and batches; words may hold
+    characters that come before a space."""
+    rng = random.Random(7)
+    vocabulary = ["a", "a\0", "a\0\1", "a\1", "\1\0", "\1\1", "\1\2", "a\2", "b", "b!", "a'", "\0"]
+    rows = [(" ".join(rng.choices(vocabulary[: rng.randint(2, 12)], k=rng.randint(0, 30))), rng.choice(["x", "x\0a", "x\1", None])) for _ in range(400)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        docs = spark.createDataFrame(rows, "text string, lang string")
+        got = collocations.collocations(docs, 8, 5, 3000).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {tuple(row) for row in got} == slow_phrases(rows, 8, 5, 3000)
+
+
+@pytest.mark.parametrize("each", [1, 3, 1000])
+def test_beginnings_are_counted_over_batches_and_tasks(monkeypatch, each):
+    rng = random.Random(3)
+    windows = Counter("\0".join(["en", *rng.choices(["a", "ab", "b", "c"], k=rng.randint(1, 5))]) for _ in range(600))
+    keys = sorted(windows, key=str.encode)
+    monkeypatch.setattr(collocations, "_FOLDED_BYTES", 1)
+    expected, got = Counter(), Counter()
+    for key, times in windows.items():
+        words = key.split("\0")[1:]
+        expected.update({" ".join(words[:size]): times for size in range(1, len(words) + 1)})
+    tasks = [keys[:100], [], keys[100:101], keys[101:]]
+    for task in tasks:
+        runs = [task[at : at + each] for at in range(0, len(task), each)]
+        batches = (pa.RecordBatch.from_arrays([pa.array(run, pa.string()), pa.array([windows[key] for key in run])], names=["key", "times"]) for run in runs)
+        given = Counter()
+        for batch in collocations._prefix_counts(batches, 4, 5):
+            for row in batch.to_pylist():
+                assert row["lang"] == "en" and row["words"] == len(row["phrase"].split())
+                given[row["phrase"]] += 1
+                got[row["phrase"]] += row["times"]
+        assert all(count == 1 for count in given.values())
+    assert {x: a for x, a in got.items() if a >= 4} == {x: a for x, a in expected.items() if a >= 4}
+    assert sum(a < 4 for a in got.values()) <= 2 * 5 * len(tasks)
+
+
 def test_products_beyond_64_bits_are_exact(spark):
     big = 3 * 10**12
     n = 10**15 + 9
